@@ -409,7 +409,7 @@ def _event_log() -> str:
         for code in EVENT_NAMES
     )
     return f"""
-SELECT offerNumber, allYn, offerTypeCode, CAST(count(*) AS INTEGER) AS cells,
+SELECT offerNumber, allYn, offerTypeCode, 0 AS page, CAST(count(*) AS INTEGER) AS cells,
        string_agg(eventCode, ',' ORDER BY eventCode) AS eventCodes,
        CAST(sum(entries) AS INTEGER) AS logEntries
 FROM (SELECT offerNumber, allYn, offerTypeCode, eventCode, cell, count(*) AS entries

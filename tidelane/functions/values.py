@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,11 +23,12 @@ def mean(value: Column) -> Column:
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner"
 ) -> DataFrame:
-    """Join on ``keys`` where a null key equals a null key; one copy of the keys stays."""
-    other = {key: f"__right_{key}" for key in keys}
-    matches = [F.col(key).eqNullSafe(F.col(name)) for key, name in other.items()]
-    joined = left.join(right.withColumnsRenamed(other), reduce(Column.__and__, matches), how)
-    return joined.drop(*other.values())
+    """Join on ``keys`` where a null key equals a null key; one copy of the keys stays.
+
+    The keys are compared as one struct, which is never null itself.
+    """
+    key = F.struct(*keys).alias("__key")
+    return left.select("*", key).join(right.select(key, "*").drop(*keys), "__key", how).drop("__key")
 
 
 def cleaned(text: Column) -> Column:

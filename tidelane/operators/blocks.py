@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidelane.functions.values import null_safe_join
-
 
 def look_back(
     rows: DataFrame,
@@ -22,34 +20,37 @@ def look_back(
     task holds a whole group: ``block`` (which must not decrease along
     ``order``) cuts every group into runs, a window works inside the runs, and
     one summary row per run carries the last value and the weight total into
-    the next run.  ``rows`` is read twice, so let it end in a shuffle that
-    Spark can reuse.
+    the next run.
+
+    ``order`` should name every column but the keys and the weight.  Then both
+    the rows and the summaries read the same shuffle, by run, and only the
+    summaries move again.
     """
-    cut = rows.withColumn("__block", block)
-    run = [*keys, "__block"]
-    inside = Window.partitionBy(*run).orderBy(*order)
-    detail = cut.withColumns(
+    # Structs, so that missing key values compare equal and one hash serves all steps.
+    run = F.struct(*keys, block.alias("block")).alias("__run")
+    runs = rows.select(run, "*").drop(*keys).repartition("__run")
+    inside = Window.partitionBy("__run").orderBy(*order)
+    detail = runs.withColumns(
         {
             "__nth": F.row_number().over(inside),
             "__previous": F.lag(value).over(inside),
-            "__before": F.sum(weight).over(
-                inside.rowsBetween(Window.unboundedPreceding, -1)
-            ),
+            "__before": F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, -1)),
         }
     )
-    runs = cut.groupBy(*run).agg(
-        F.sum(weight).alias("__weight"), F.max_by(value, F.struct(*order)).alias("__last")
+    totals = (
+        runs.groupBy("__run")
+        .agg(F.sum(weight).alias("__weight"), F.max(F.struct(*order)).alias("__last"))
+        .withColumn("__group", F.struct(*[F.col(f"__run.{key}") for key in keys]))
     )
-    across = Window.partitionBy(*keys).orderBy("__block")
-    carried = runs.select(
-        *run,
+    across = Window.partitionBy("__group").orderBy("__run.block")
+    carried = totals.select(
+        "__run",
         F.sum("__weight").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("__offset"),
-        F.lag("__last").over(across).alias("__carried"),
+        F.lag(f"__last.{value}").over(across).alias("__carried"),
     )
-    joined = null_safe_join(detail, carried, run)
     opening = F.when(F.col("__offset").isNull(), default).otherwise(F.col("__carried"))
-    return joined.select(
-        *rows.columns,
+    return detail.join(carried, "__run").select(
+        *[F.col(f"__run.{name}") if name in keys else name for name in rows.columns],
         F.when(F.col("__nth") == 1, opening).otherwise(F.col("__previous")).alias("previous"),
         (F.coalesce("__offset", F.lit(0)) + F.coalesce("__before", F.lit(0))).alias("before"),
     )

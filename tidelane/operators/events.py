@@ -17,6 +17,9 @@ LOG_ENTRY = [
     "leftQty", "leftAmt", "tradeClosing",
 ]
 
+# Versions of an offer in one document.
+PAGE_VERSIONS = 10_000
+
 # Event codes with their names, and the host every event carries.
 EVENT_NAMES = {
     "01": "offerPlaced",
@@ -28,13 +31,16 @@ EVENT_NAMES = {
 EVENT_HOST = "F9_SYSTETM_ADMIN"
 
 
-def events(tables: Tables, current_week: str) -> DataFrame:
+def events(
+    tables: Tables, current_week: str, page_versions: int = PAGE_VERSIONS
+) -> DataFrame:
     """One row per offer and event with its log.
 
     All five events come out of one aggregate over the offer lines: each line
     contributes a log entry to the events it qualifies for, and what an event
     asks of the whole offer (last version, last deal time) is read from the
-    version rows, which are few.
+    version rows, which are few.  ``page`` counts runs of ``page_versions``
+    versions.
     """
     lines = _lines(tables)
     expired = F.col("baseYearWeek") < current_week
@@ -64,6 +70,9 @@ def events(tables: Tables, current_week: str) -> DataFrame:
             "lastExpiryOfOffer": F.max("lastExpiry").over(offer),
             "lastExpiredVersion": F.max("expiredVersion").over(offer),
             "lastVersion": F.max("offerChangeSeq").over(offer),
+            "page": F.floor(
+                (F.dense_rank().over(offer.orderBy("offerChangeSeq")) - 1) / page_versions
+            ).cast("int"),
             # Equal entries of a closed offer count once.
             "closedLeft": _sum_of("log05", "leftQty"),
         }
@@ -82,8 +91,8 @@ def events(tables: Tables, current_week: str) -> DataFrame:
         _cell("05", current & closed, F.col("lastDealOfOffer")),
     ]
     return (
-        known.select(*OFFER_KEYS, F.explode(F.array_compact(F.array(*cells))).alias("event"))
-        .select(*OFFER_KEYS, "event.*")
+        known.select(*OFFER_KEYS, "page", F.explode(F.array_compact(F.array(*cells))).alias("event"))
+        .select(*OFFER_KEYS, "page", "event.*")
     )
 
 
@@ -97,11 +106,16 @@ def event_rows(tables: Tables, current_week: str, code: str | None = None) -> Da
     )
 
 
-def offer_event_log(tables: Tables, current_week: str) -> DataFrame:
-    """Documents of ``events``: one per offer, a cell per event, a log in each cell."""
-    return nest(
-        events(tables, current_week), OFFER_KEYS, EVENT_CELL, "eventCell", repeated=True
-    )
+def offer_event_log(
+    tables: Tables, current_week: str, page_versions: int = PAGE_VERSIONS
+) -> DataFrame:
+    """Documents of ``events``: one per offer, a cell per event, a log in each cell.
+
+    An offer with more than ``page_versions`` versions continues on further
+    pages.
+    """
+    rows = events(tables, current_week, page_versions)
+    return nest(rows, [*OFFER_KEYS, "page"], EVENT_CELL, "eventCell", repeated=True)
 
 
 def _lines(tables: Tables) -> DataFrame:

@@ -165,7 +165,10 @@ def route_pairs(
     discharge = (F.col("TRDE_LOC_TP_CD") == DISCHARGE) & registered
     unfold = F.explode if loaded_only else F.explode_outer
     return (
-        routes.groupBy(*version, registration)
+        # Placed by version, the rows serve this grouping and the join on the
+        # version that follows with a single shuffle.
+        routes.repartition(*version)
+        .groupBy(*version, registration)
         .agg(
             F.collect_list(
                 F.when(loading if loaded_only else loading & registered, place)

@@ -32,6 +32,9 @@ DETAIL_CELL = [
     "changeRate",
 ]
 
+# Digits of a 20-digit time down to the minute.
+RUN_DIGITS = 12
+
 # The one container type and quantity unit of the market watch,
 # and the two states of a week.
 CONTAINER = "01"
@@ -67,11 +70,15 @@ def mw_sum(fact: DataFrame, current_week: str, dedup_carriers: bool = False) ->
     return nest(mw_sum_rows(fact, current_week, dedup_carriers), ROUTE_KEYS, SUM_CELL)
 
 
-def mw_hst_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame:
+def mw_hst_rows(
+    fact: DataFrame, dedup_carriers: bool = False, run_digits: int = RUN_DIGITS
+) -> DataFrame:
     """Deals of a route and week in time order, each with its price change.
 
     A deal shows once per distinct carrier name.  The look-back runs before
     that repetition: within the copies of a deal the price does not change.
+    However busy a route and week, one task sees no more of it than the deals
+    that share the first ``run_digits`` digits of their time.
     """
     deals = (
         weighted(fact, dedup_carriers)
@@ -93,7 +100,7 @@ def mw_hst_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame:
     traced = look_back(
         deals,
         keys=[*TERMS, "baseYearWeek"],
-        block=F.substring("timestamp", 1, 8),
+        block=F.substring("timestamp", 1, run_digits),
         order=[
             "timestamp", "referenceEventNumber", "referenceEventChangeNumber", "dealPrice",
             "dealQty", "dealAmt", "carrierName",

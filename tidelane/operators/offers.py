@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelane.functions.calendar import week_closing
-from tidelane.functions.values import ratio
+from tidelane.functions.values import null_safe_join, ratio
+from tidelane.operators.blocks import look_back
 from tidelane.operators.fact import (
     OFFER,
     ROUTE,
@@ -43,6 +44,9 @@ DEAL_LOG = [
     "dealAmt", "offerQty", "leftQty", "leftPrice", "leftAmt",
 ]
 
+# Versions of an offer and week that one task looks back over.
+VERSIONS_PER_RUN = 1024
+
 # Filler of the week lists, and the status codes of an offer.
 ALL = "all"
 OPEN = "0"
@@ -185,44 +189,64 @@ def week_detail_rows(tables: Tables) -> DataFrame:
     A version's deal quantity is what the remaining quantity fell by since the
     version before.
     """
-    lines = tables["FTR_OFER_LINE_ITEM"].join(
-        next_version_deals(tables["FTR_DEAL"]), OFFER, "left"
+    lines = (
+        tables["FTR_OFER_LINE_ITEM"]
+        .join(next_version_deals(tables["FTR_DEAL"]), OFFER, "left")
+        .select(
+            F.col("OFER_NR").alias("offerNumber"),
+            F.col("BSE_YW").alias("baseYearWeek"),
+            F.col("OFER_CHNG_SEQ").alias("offerChangeSeq"),
+            F.col("DEAL_DT").alias("eventTimestamp"),
+            F.col("DEAL_NR").alias("referenceEventNumber"),
+            F.col("DEAL_CHNG_SEQ").alias("referenceEventChangeSeq"),
+            F.col("OFER_REMN_QTY").alias("leftQty"),
+            F.col("OFER_PRCE").alias("leftPrice"),
+            F.col("OFER_QTY").alias("offerQty"),
+            F.col("DEAL_PRCE").alias("dealPrice"),
+            F.lit(1).alias("one"),
+        )
+    )
+    week = ["offerNumber", "baseYearWeek"]
+    traced = look_back(
+        lines,
+        keys=week,
+        block=F.floor(F.col("offerChangeSeq") / VERSIONS_PER_RUN),
+        order=[
+            "offerChangeSeq", "eventTimestamp", "referenceEventNumber", "referenceEventChangeSeq",
+            "leftQty", "leftPrice", "offerQty", "dealPrice",
+        ],
+        value="leftQty",
+        weight="one",
+        default=F.lit(0),
+    )
+    logged = (
+        traced.withColumn(
+            "dealQty",
+            F.when(F.col("offerChangeSeq") == 0, F.lit(0)).otherwise(
+                F.col("previous") - F.col("leftQty")
+            ),
+        )
+        .withColumn("dealAmt", F.col("dealQty") * F.col("dealPrice"))
+        .withColumn(
+            "leftAmt",
+            F.when(F.col("leftQty") != 0, F.col("leftQty") * F.col("leftPrice")).otherwise(
+                F.lit(0)
+            ),
+        )
     )
-    # One offer and week holds one row per version and deal of that version.
-    week = Window.partitionBy("OFER_NR", "BSE_YW")
-    versions = week.orderBy("OFER_CHNG_SEQ", "DEAL_DT", "DEAL_NR", "DEAL_CHNG_SEQ", *AMOUNTS)
-    logged = lines.select(
-        F.col("OFER_NR").alias("offerNumber"),
-        F.col("BSE_YW").alias("baseYearWeek"),
-        F.col("OFER_CHNG_SEQ").alias("offerChangeSeq"),
-        F.col("DEAL_DT").alias("eventTimestamp"),
-        F.col("DEAL_NR").alias("referenceEventNumber"),
-        F.col("DEAL_CHNG_SEQ").alias("referenceEventChangeSeq"),
-        F.when(F.col("OFER_CHNG_SEQ") == 0, F.lit(0))
-        .otherwise(F.lag("OFER_REMN_QTY", 1, 0).over(versions) - F.col("OFER_REMN_QTY"))
-        .alias("dealQty"),
-        F.col("DEAL_PRCE").alias("dealPrice"),
-        F.col("OFER_QTY").alias("offerQty"),
-        F.col("OFER_REMN_QTY").alias("leftQty"),
-        F.col("OFER_PRCE").alias("leftPrice"),
-        F.when(F.col("OFER_REMN_QTY") != 0, F.col("OFER_REMN_QTY") * F.col("OFER_PRCE"))
-        .otherwise(F.lit(0))
-        .alias("leftAmt"),
-    ).withColumn("dealAmt", F.col("dealQty") * F.col("dealPrice"))
-    whole = Window.partitionBy("offerNumber", "baseYearWeek")
-    totals = logged.withColumns(
-        {
-            "aggDealQty": F.sum("dealQty").over(whole),
-            "aggDealAmt": F.sum("dealAmt").over(whole),
-            "aggOfferQty": F.sum("offerQty").over(whole),
-            "aggLeftQty": F.min("leftQty").over(whole),
-            "aggLeftAmt": F.min("leftAmt").over(whole),
-            "lastVersion": F.max("offerChangeSeq").over(whole),
-        }
+    totals = logged.groupBy(*week).agg(
+        F.sum("dealQty").alias("aggDealQty"),
+        F.sum("dealAmt").alias("aggDealAmt"),
+        F.sum("offerQty").alias("aggOfferQty"),
+        F.min("leftQty").alias("aggLeftQty"),
+        F.min("leftAmt").alias("aggLeftAmt"),
     )
-    first_or_dealt = (F.col("offerChangeSeq") == 0) | (F.col("dealQty") > 0)
+    # As a rank filter, "of the last version" drops the other versions before the shuffle.
+    newest = Window.partitionBy(*week).orderBy(F.col("offerChangeSeq").desc())
+    last = logged.withColumn("nth", F.rank().over(newest)).filter(F.col("nth") == 1)
+    dealt = last.filter((F.col("offerChangeSeq") == 0) | (F.col("dealQty") > 0))
     return (
-        totals.filter((F.col("offerChangeSeq") == F.col("lastVersion")) & first_or_dealt)
+        null_safe_join(dealt, totals, week)
         .withColumns(
             {
                 "aggDealPrice": ratio(F.col("aggDealAmt"), F.col("aggDealQty")),

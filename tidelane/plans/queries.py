@@ -250,6 +250,7 @@ def offer_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.aggregate("eventCell", F.lit(0), lambda n, cell: n + F.size(cell.eventLog))
     return documents.select(
         *events.OFFER_KEYS,
+        "page",
         F.size("eventCell").alias("cells"),
         joined_field("eventCell", "eventCode").alias("eventCodes"),
         entries.alias("logEntries"),
