@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidelane.functions.values import null_safe_join
 from tidelane.operators import market
-from tidelane.operators.fact import DEAL, ROUTE, Tables, trade_fact
+from tidelane.operators.fact import DEAL, ROUTE, ROUTE_WEEK, Tables, trade_fact
 
 # The tables whose growth triggers an update.
 WATCHED = [
@@ -20,7 +20,6 @@ WATCHED = [
 ]
 # The watched tables that feed the fact.
 FEEDING = WATCHED[:4]
-ROUTE_WEEK = [*ROUTE, "baseYearWeek"]
 
 
 def max_id(tables: Tables, names: list[str] = WATCHED) -> DataFrame:
@@ -92,17 +91,6 @@ def week_topics(fact: DataFrame) -> DataFrame:
     return fact.select(*ROUTE_WEEK).distinct()
 
 
-def restrict(fact: DataFrame, topics: DataFrame, null_keys: bool = False) -> DataFrame:
-    """Rows of ``fact`` whose route (and week) is among ``topics``.
-
-    A missing port or week matches nothing, unless ``null_keys`` lets it match
-    a missing one.
-    """
-    if null_keys:
-        return null_safe_join(fact, topics, topics.columns, "left_semi")
-    return fact.join(topics, topics.columns, "left_semi")
-
-
 def update_metrics(changed_deal_rows: DataFrame, fact: DataFrame) -> DataFrame:
     """Counts of one update: new deals, fact rows, touched keys."""
     intervals = 3

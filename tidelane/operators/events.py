@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelane.functions.calendar import week_closing
@@ -32,7 +34,10 @@ EVENT_HOST = "F9_SYSTETM_ADMIN"
 
 
 def events(
-    tables: Tables, current_week: str, page_versions: int = PAGE_VERSIONS
+    tables: Tables,
+    current_week: str,
+    page_versions: int = PAGE_VERSIONS,
+    codes: Iterable[str] = tuple(EVENT_NAMES),
 ) -> DataFrame:
     """One row per offer and event with its log.
 
@@ -40,7 +45,7 @@ def events(
     contributes a log entry to the events it qualifies for, and what an event
     asks of the whole offer (last version, last deal time) is read from the
     version rows, which are few.  ``page`` counts runs of ``page_versions``
-    versions.
+    versions.  Only the events in ``codes`` are computed.
     """
     lines = _lines(tables)
     expired = F.col("baseYearWeek") < current_week
@@ -79,17 +84,15 @@ def events(
     )
     current = F.col("offerChangeSeq") == F.col("lastVersion")
     closed = (F.col("closedLeft") == 0) | (F.col("lastWeek") < current_week)
-    cells = [
-        _cell("01", F.size("log01") > 0, placed_at(F.col("offerNumber"))),
-        _cell("02", F.size("log02") > 0, F.col("lastDealOfVersion")),
-        _cell(
-            "03",
-            F.col("expiredVersion") == F.col("lastExpiredVersion"),
-            F.col("lastExpiryOfOffer"),
-        ),
-        _cell("04", F.col("left") == 0, F.col("lastDealOfOffer")),
-        _cell("05", current & closed, F.col("lastDealOfOffer")),
-    ]
+    expired_last = F.col("expiredVersion") == F.col("lastExpiredVersion")
+    rules = {
+        "01": (F.size("log01") > 0, placed_at(F.col("offerNumber"))),
+        "02": (F.size("log02") > 0, F.col("lastDealOfVersion")),
+        "03": (expired_last, F.col("lastExpiryOfOffer")),
+        "04": (F.col("left") == 0, F.col("lastDealOfOffer")),
+        "05": (current & closed, F.col("lastDealOfOffer")),
+    }
+    cells = [_cell(code, *rules[code]) for code in codes]
     return (
         known.select(*OFFER_KEYS, "page", F.explode(F.array_compact(F.array(*cells))).alias("event"))
         .select(*OFFER_KEYS, "page", "event.*")
@@ -98,9 +101,8 @@ def events(
 
 def event_rows(tables: Tables, current_week: str, code: str | None = None) -> DataFrame:
     """Log entries of all events, or of the one with ``code``, as flat rows."""
-    wanted = events(tables, current_week)
-    if code is not None:
-        wanted = wanted.filter(F.col("eventCode") == code)
+    codes = tuple(EVENT_NAMES) if code is None else (code,)
+    wanted = events(tables, current_week, codes=codes)
     return wanted.select(*OFFER_KEYS, *EVENT_CELL[:4], F.explode("eventLog").alias("entry")).select(
         *OFFER_KEYS, *EVENT_CELL[:4], "entry.*"
     )

@@ -6,11 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidelane.functions.values import null_safe_join
+
 Tables = Mapping[str, DataFrame]
 
 DEAL = ["DEAL_NR", "DEAL_CHNG_SEQ"]
 OFFER = ["OFER_NR", "OFER_CHNG_SEQ"]
 ROUTE = ["polCode", "podCode"]
+ROUTE_WEEK = [*ROUTE, "baseYearWeek"]
 
 # Location type codes of the two ends of a route, and the selling side.
 LOADING = "02"
@@ -43,6 +46,7 @@ def trade_fact(
     mdm_cryr: DataFrame | None = None,
     topics: DataFrame | None = None,
     deals: DataFrame | None = None,
+    null_keys: bool = False,
 ) -> DataFrame:
     """``stats_raw`` with its carriers folded into two counts per row.
 
@@ -53,7 +57,8 @@ def trade_fact(
 
     ``topics`` keeps only the routes (and weeks, if it has them) it lists and
     ``deals`` only the deal versions it lists; both cut the inputs before the
-    joins.
+    joins.  A missing port or week matches no topic, unless ``null_keys`` lets
+    it match a missing one.
     """
     headers = deal_headers(tables["FTR_DEAL"])
     routes = deal_routes(tables["FTR_DEAL_RTE"])
@@ -63,11 +68,14 @@ def trade_fact(
     if topics is None:
         fact = headers.join(routes, DEAL, "left").join(lines, DEAL, "left")
     else:
-        fact = headers.join(routes.join(topics, ROUTE, "left_semi"), DEAL)
-        if "baseYearWeek" in topics.columns:
-            fact = fact.join(lines, DEAL).join(topics, [*ROUTE, "baseYearWeek"], "left_semi")
+        ends = topics.select(*ROUTE).distinct()
+        if null_keys:
+            located = restrict(headers.join(routes, DEAL, "left"), ends, null_keys=True)
         else:
-            fact = fact.join(lines, DEAL, "left")
+            located = headers.join(restrict(routes, ends), DEAL)
+        fact = located.join(lines, DEAL, "left")
+        if "baseYearWeek" in topics.columns:
+            fact = restrict(fact, topics, null_keys)
     return fact.join(_carrier_counts(tables, mdm_cryr), DEAL, "left").withColumns(
         {
             "carrierRows": F.coalesce("carrierRows", F.lit(1)),
@@ -76,6 +84,13 @@ def trade_fact(
     )
 
 
+def restrict(rows: DataFrame, topics: DataFrame, null_keys: bool = False) -> DataFrame:
+    """Rows whose route (and week) is among ``topics``."""
+    if null_keys:
+        return null_safe_join(rows, topics, topics.columns, "left_semi")
+    return rows.join(topics, topics.columns, "left_semi")
+
+
 def stats_raw_carrier_set(fact: DataFrame, tables: Tables, changed: Tables) -> DataFrame:
     """Fact of the changed rows with the carriers of a deal as one sorted set.
 

@@ -339,7 +339,8 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = everything.join(touched, fact.DEAL, "left_anti")
     topics = changes.route_topics(changes.delta_fact(tables, changed))
     stored = market.mw_sum_rows(before, CURRENT_WEEK)
-    fresh = market.mw_sum_rows(changes.restrict(everything, topics, null_keys=True), CURRENT_WEEK)
+    recomputed = fact.trade_fact(tables, topics=topics, null_keys=True)
+    fresh = market.mw_sum_rows(recomputed, CURRENT_WEEK)
     return _sum_output(changes.upsert_by_key(stored, fresh, topics, null_keys=True))
 
 

@@ -46,43 +46,51 @@ def publish(frame: DataFrame, topic: str, send: Sender, rows_per_message: int =
     json_documents(frame).foreachPartition(send_partition)
 
 
-def write_bucketed(frame: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> None:
-    """Write a collection in hash buckets of its replacement keys."""
+def write_keyed(frame: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> None:
+    """Write a collection whose rows can later be replaced by ``keys``."""
     _write_buckets(_with_bucket(frame, keys, buckets), path, "static")
 
 
-def replace_keys(
-    spark: SparkSession,
-    path: str,
-    fresh: DataFrame,
-    replaced: DataFrame,
-    buckets: int = BUCKETS,
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a collection written by ``write_keyed``."""
+    return spark.read.parquet(path).filter("live").drop("live", "bucket")
+
+
+def replace_keyed(
+    spark: SparkSession, path: str, fresh: DataFrame, replaced: DataFrame, buckets: int = BUCKETS
 ) -> None:
-    """Replace the rows of the ``replaced`` keys in a bucketed collection by ``fresh``.
+    """Replace the rows of the ``replaced`` keys by ``fresh``.
 
-    Only the buckets that hold a replaced key are read and rewritten.  Running
-    it twice leaves the same collection, so a batch may be replayed.
+    Only the hash buckets that hold a replaced key are read and rewritten, in
+    one job, and a bucket changes as a whole.  Running it twice leaves the
+    same collection, so a batch may be replayed.  ``replaced`` has the columns
+    the collection is keyed by, and ``fresh`` only rows of those keys.
     """
     keys = replaced.columns
-    marked = _with_bucket(replaced, keys, buckets)
+    marked = _with_bucket(replaced, keys, buckets).drop("live")
     # At most ``buckets`` numbers.
     touched = [row.bucket for row in marked.select("bucket").distinct().collect()]
     if not touched:
         return
-    stored = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-    fresh = _with_bucket(fresh, keys, buckets).filter(F.col("bucket").isin(touched))
-    merged = upsert_by_key(stored, fresh, marked, null_keys=True)
-    # A bucket that lost all its rows would not be rewritten, so its end is marked.
-    _write_buckets(merged, path, "dynamic")
+    stored = spark.read.parquet(path).filter(F.col("live") & F.col("bucket").isin(touched))
+    merged = upsert_by_key(
+        stored, _with_bucket(fresh, keys, buckets), marked.drop("bucket"), null_keys=True
+    )
+    # A row that is not live keeps a bucket that lost all others in the write.
+    kept = spark.createDataFrame([(bucket, False) for bucket in touched], "bucket int, live boolean")
+    _write_buckets(merged.unionByName(kept, allowMissingColumns=True), path, "dynamic")
 
 
 def _with_bucket(frame: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    return frame.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return frame.withColumns({"live": F.lit(True), "bucket": bucket})
 
 
 def _write_buckets(frame: DataFrame, path: str, mode: str) -> None:
+    # Rebalancing gathers a bucket's rows, but splits a bucket too large for one task.
     (
-        frame.write.mode("overwrite")
+        frame.hint("rebalance", "bucket")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy("bucket")
         .parquet(path)
