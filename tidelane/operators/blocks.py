@@ -19,12 +19,12 @@ def look_back(
     The result is that of a window over ``keys`` ordered by ``order``, but no
     task holds a whole group: ``block`` (which must not decrease along
     ``order``) cuts every group into runs, a window works inside the runs, and
-    one summary row per run carries the last value and the weight total into
-    the next run.
+    the last row of a run carries its value and the weight so far into the next
+    run.
 
     ``order`` should name every column but the keys and the weight.  Then both
-    the rows and the summaries read the same shuffle, by run, and only the
-    summaries move again.
+    the rows and the last rows read the same shuffle, by run, and only the
+    last rows move again.
     """
     # Structs, so that missing key values compare equal and one hash serves all steps.
     run = F.struct(*keys, block.alias("block")).alias("__run")
@@ -34,23 +34,27 @@ def look_back(
         {
             "__nth": F.row_number().over(inside),
             "__previous": F.lag(value).over(inside),
-            "__before": F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, -1)),
+            "__before": F.coalesce(
+                F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ),
+            "__ends": F.lead(F.lit(False), 1, True).over(inside),
         }
     )
-    totals = (
-        runs.groupBy("__run")
-        .agg(F.sum(weight).alias("__weight"), F.max(F.struct(*order)).alias("__last"))
-        .withColumn("__group", F.struct(*[F.col(f"__run.{key}") for key in keys]))
+    ends = detail.filter("__ends").select(
+        "__run",
+        F.struct(*[F.col(f"__run.{key}") for key in keys]).alias("__group"),
+        (F.col("__before") + F.col(weight)).alias("__weight"),
+        F.col(value).alias("__last"),
     )
     across = Window.partitionBy("__group").orderBy("__run.block")
-    carried = totals.select(
+    carried = ends.select(
         "__run",
         F.sum("__weight").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("__offset"),
-        F.lag(f"__last.{value}").over(across).alias("__carried"),
+        F.lag("__last").over(across).alias("__carried"),
     )
     opening = F.when(F.col("__offset").isNull(), default).otherwise(F.col("__carried"))
     return detail.join(carried, "__run").select(
         *[F.col(f"__run.{name}") if name in keys else name for name in rows.columns],
         F.when(F.col("__nth") == 1, opening).otherwise(F.col("__previous")).alias("previous"),
-        (F.coalesce("__offset", F.lit(0)) + F.coalesce("__before", F.lit(0))).alias("before"),
+        (F.coalesce("__offset", F.lit(0)) + F.col("__before")).alias("before"),
     )

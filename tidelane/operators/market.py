@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelane.functions.calendar import chart_week, day_of
+from tidelane.functions.stamps import stamp, stamp_price, stamp_time
 from tidelane.functions.values import TOTAL, ratio
 from tidelane.operators.blocks import look_back
 from tidelane.operators.nest import PAGE_ROWS, nest
@@ -168,10 +169,10 @@ def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame
     several = F.col("repeats") > 1
     ends = {
         name: F.when(several, F.greatest(price, F.lit(0))).otherwise(price)
-        for name, price in (("open", F.col("first.dealPrice")), ("close", F.col("last.dealPrice")))
+        for name, price in _ends().items()
     }
     along = Window.partitionBy(*TERMS, "baseYearWeek", "interval").orderBy("intervalTimestamp")
-    priced = bucketed.withColumns({**ends, "intervalTimestamp": F.col("last.DEAL_DT")})
+    priced = bucketed.withColumns({**ends, "intervalTimestamp": stamp_time(F.col("last"))})
     return market_keys(with_change(priced, along, "close")).select(
         *WEEK_KEYS, "interval", "xAxis", "intervalTimestamp", "open", "low", "high", "close",
         F.col("volume").cast(TOTAL).alias("volume"), "changeValue", "changeRate",
@@ -220,25 +221,27 @@ def _weekly(fact: DataFrame, current_week: str, dedup_carriers: bool) -> DataFra
     several = F.col("repeats") > 1
     ends = {
         name: F.when(several, F.coalesce(price, F.lit(0))).otherwise(price)
-        for name, price in (("open", F.col("first.dealPrice")), ("close", F.col("last.dealPrice")))
+        for name, price in _ends().items()
     }
     return market_keys(weekly).withColumns(
         {
             **ends,
             "status": status,
-            "latestEventDate": F.col("last.DEAL_DT"),
+            "latestEventDate": stamp_time(F.col("last")),
             "volume": F.col("volume").cast(TOTAL),
         }
     )
 
 
 def _first_and_last() -> list[Column]:
-    # The price of the first and last deal rides in the compared struct; deal
-    # number and version settle equal times.
-    deal = F.struct("DEAL_DT", "DEAL_NR", "DEAL_CHNG_SEQ", "dealPrice")
+    deal = stamp(F.col("DEAL_DT"), F.col("dealPrice"))
     return [F.min(deal).alias("first"), F.max(deal).alias("last")]
 
 
+def _ends() -> dict[str, Column]:
+    return {"open": stamp_price(F.col("first")), "close": stamp_price(F.col("last"))}
+
+
 def _spread() -> list[Column]:
     return [
         F.max("dealPrice").alias("high"),

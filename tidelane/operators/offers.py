@@ -21,7 +21,7 @@ from tidelane.operators.fact import (
     offer_routes,
     week_lines,
 )
-from tidelane.operators.nest import PAGE_ROWS, nest, nest_pages
+from tidelane.operators.nest import PAGE_ROWS, nest, paged
 
 VERSION = ["offerNumber", "offerChangeSeq"]
 USER = ["userId", "offerTypeCode"]
@@ -86,16 +86,18 @@ def next_version_deals(deals: DataFrame) -> DataFrame:
     )
 
 
-def latest_version(tables: Tables) -> DataFrame:
+def latest_version(tables: Tables, headers: DataFrame | None = None) -> DataFrame:
     """For each offer and week, the line of the highest version.
 
+    ``headers`` stands in for the offers' own headers and may add columns.
+
     The rank filter drops all but one row per offer and week in each map task,
     before the shuffle.
     """
     order = [F.col("OFER_CHNG_SEQ").desc(), *AMOUNTS, "EMP_NR", "OFER_TP_CD", "ALL_YN"]
     newest = Window.partitionBy("OFER_NR", "BSE_YW").orderBy(*order)
     return (
-        offer_headers(tables["FTR_OFER"])
+        (offer_headers(tables["FTR_OFER"]) if headers is None else headers)
         .join(week_lines(tables["FTR_OFER_LINE_ITEM"], OFFER, AMOUNTS), OFFER, "left")
         .withColumn("nth", F.row_number().over(newest))
         .filter(F.col("nth") == 1)
@@ -126,24 +128,38 @@ def route_counts(tables: Tables) -> DataFrame:
     )
 
 
-def summary_rows(tables: Tables, current_week: str) -> DataFrame:
-    """One row per offer version still current in some week: lines, status, routes, carriers."""
+def summary_rows(
+    tables: Tables, current_week: str, page_rows: int | None = None
+) -> DataFrame:
+    """One row per offer version still current in some week: lines, status, routes, carriers.
+
+    With ``page_rows``, ``page`` spreads the offers of a user and side over
+    pages of about that many rows.  The offer headers, which are narrow and at
+    least as many, decide it before anything is joined to them.
+    """
+    headers = offer_headers(tables["FTR_OFER"])
+    if page_rows is not None:
+        headers = paged(headers, ["EMP_NR", "OFER_TP_CD"], "OFER_NR", page_rows)
+    page = [] if page_rows is None else ["page"]
     return (
-        _line_items(tables, current_week)
+        _line_items(tables, current_week, headers, page)
         .join(_named_versions(offer_carriers(tables)), VERSION, "left")
         .join(route_counts(tables), VERSION, "left")
-        .select(*USER, *SUMMARY_CELL)
+        .select(*USER, *page, *SUMMARY_CELL)
     )
 
 
-def _line_items(tables: Tables, current_week: str) -> DataFrame:
+def _line_items(
+    tables: Tables, current_week: str, headers: DataFrame, page: list[str]
+) -> DataFrame:
     left_amount = F.when(
         F.col("OFER_REMN_QTY") != 0, F.col("OFER_REMN_QTY") * F.col("OFER_PRCE")
     ).otherwise(F.lit(0))
     lines = (
-        latest_version(tables)
+        latest_version(tables, headers)
         .join(next_version_deals(tables["FTR_DEAL"]), OFFER, "left")
         .select(
+            *page,
             F.col("EMP_NR").alias("userId"),
             F.col("OFER_TP_CD").alias("offerTypeCode"),
             F.col("OFER_NR").alias("offerNumber"),
@@ -162,7 +178,7 @@ def _line_items(tables: Tables, current_week: str) -> DataFrame:
             F.coalesce("DEAL_CHNG_SEQ", "OFER_CHNG_SEQ").alias("lineReferenceEventChangeSeq"),
         )
     )
-    items = lines.groupBy(*USER, *VERSION, "allYn").agg(
+    items = lines.groupBy(*USER, *page, *VERSION, "allYn").agg(
         F.sort_array(F.collect_set(F.struct(*LINE_ITEM))).alias("lineItem"),
         F.max("lineEventTimestamp").alias("eventTimestamp"),
         F.max("lineReferenceEventNumber").alias("referenceEventNumber"),
@@ -179,8 +195,8 @@ def _line_items(tables: Tables, current_week: str) -> DataFrame:
 
 def offer_summary(tables: Tables, current_week: str, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Documents of ``summary_rows``: per user and side, a cell per offer version."""
-    rows = summary_rows(tables, current_week)
-    return nest_pages(rows, USER, SUMMARY_CELL, "offerNumber", "cell", page_rows)
+    rows = summary_rows(tables, current_week, page_rows)
+    return nest(rows, [*USER, "page"], SUMMARY_CELL, "cell")
 
 
 def week_detail_rows(tables: Tables) -> DataFrame:
