@@ -29,9 +29,8 @@ def _ratio(part: str, whole: str) -> str:
     return f"CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0)"
 
 
-def _closing(code: str) -> str:
-    """Saturday of a trade week, read from a generated calendar."""
-    return f"(SELECT max(closing) FROM weektable w WHERE w.BSE_YW = {code})"
+def _rounded(value: str) -> str:
+    return f"floor(({value}) * 1000000 + 0.5) / 1000000"
 
 
 CALENDAR = f"""
@@ -138,7 +137,7 @@ def _sum_select(source: str, lagged: str) -> str:
 SELECT {ROUTE}, baseYearWeek,
        CASE WHEN baseYearWeek >= '{WEEK}' THEN 'on Market' ELSE 'Trade Closed' END AS status,
        open, low, high, close, volume, CAST({change} AS DECIMAL(18,2)) AS changeValue,
-       round({_ratio(change, 'close')}, 6) AS changeRate, latestEventDate
+       {_rounded(_ratio(change, 'close'))} AS changeRate, latestEventDate
 FROM ({_weekly(source)})"""
 
 
@@ -151,7 +150,7 @@ def _history(source: str) -> str:
     return f"""
 SELECT {ROUTE}, baseYearWeek, idx, DEAL_DT AS timestamp, DEAL_NR AS referenceEventNumber,
        DEAL_CHNG_SEQ AS referenceEventChangeNumber, dealQty, dealPrice, dealAmt,
-       {change} AS priceChange, round({_ratio(change, 'dealPrice')}, 6) AS priceRate
+       {change} AS priceChange, {_rounded(_ratio(change, 'dealPrice'))} AS priceRate
 FROM (SELECT *, lag(dealPrice, 1, 0) OVER ({along}) AS lagged, row_number() OVER ({along}) AS idx
       FROM (SELECT DISTINCT * EXCLUDE (carrierCode) FROM {source}
             WHERE dealQty <> 0 AND offerTypeCode = 'S'))"""
@@ -182,7 +181,7 @@ FROM (SELECT {keys}, '{interval}' AS interval, max(dealPrice) AS high, min(dealP
 SELECT {ROUTE}, baseYearWeek, interval, xAxis, intervalTimestamp,
        CAST(open AS DECIMAL(18,2)) AS open, low, high, CAST(close AS DECIMAL(18,2)) AS close,
        volume, CAST(changeValue AS DECIMAL(18,2)) AS changeValue,
-       round({_ratio('changeValue', 'close')}, 6) AS changeRate
+       {_rounded(_ratio('changeValue', 'close'))} AS changeRate
 FROM ({' UNION ALL '.join(parts)})"""
 
 
@@ -226,8 +225,8 @@ FROM (SELECT {SERIES}, {interval} AS xAxis,
              CAST(sum(value) AS DOUBLE) / CAST(count(value) AS DOUBLE) AS value
       FROM quotes GROUP BY {SERIES}, {interval})""")
     return f"""
-SELECT {SERIES}, interval, xAxis, intervalTimestamp, round(value, 6) AS value,
-       round(change, 6) AS changeValue, round({_ratio('change', 'value')}, 6) AS changeRate,
+SELECT {SERIES}, interval, xAxis, intervalTimestamp, {_rounded('value')} AS value,
+       {_rounded('change')} AS changeValue, {_rounded(_ratio('change', 'value'))} AS changeRate,
        CAST(0 AS DOUBLE) AS volume
 FROM ({' UNION ALL '.join(parts)})"""
 
@@ -420,7 +419,7 @@ GROUP BY offerNumber, allYn, offerTypeCode"""
 WEEK_DETAIL = f"""
 SELECT DISTINCT offerNumber, baseYearWeek, offerChangeSeq,
        CAST(aggDealQty AS DECIMAL(28,2)) AS aggDealQty,
-       round({_ratio('aggDealAmt', 'aggDealQty')}, 6) AS aggDealPrice,
+       {_rounded(_ratio('aggDealAmt', 'aggDealQty'))} AS aggDealPrice,
        CAST(aggDealAmt AS DECIMAL(28,2)) AS aggDealAmt,
        CAST(aggOfferQty AS DECIMAL(28,2)) AS aggOfferQty,
        CAST(aggLeftQty AS DECIMAL(28,2)) AS aggLeftQty, leftPrice AS aggLeftPrice,
@@ -483,14 +482,15 @@ FROM (SELECT DISTINCT f.EMP_NR AS userId, f.OFER_TP_CD AS offerTypeCode, pol.loc
       LEFT JOIN mdm_port p2 ON p2.locCd = pod.loc)
 GROUP BY userId, offerTypeCode"""
 
-BOOK = """
+BOOK = f"""
 SELECT DISTINCT TRDE_MKT_TP_CD AS marketTypeCode, OFER_TP_CD AS offerTypeCode,
        BSE_YW AS baseYearWeek, OFER_PYMT_TRM_CD AS paymentTermCode,
        OFER_RD_TRM_CD AS rdTermCode, TRDE_CONT_TP_CD AS containerTypeCode, polCode, podCode,
        OFER_NR AS tradeOfferNumber, OFER_CHNG_SEQ AS tradeOfferChangeSeq, carrierCode,
        coalesce(carrierCount, 0) AS carrierCount, polCode AS headPolCode, podCode AS headPodCode,
        polName AS headPolName, podName AS headPodName, polCount, podCount,
-       round(avgQty, 6) AS avgQty, round(avgPrice, 6) AS avgPrice, ALL_YN AS allYn, minYearWeek,
+       {_rounded('avgQty')} AS avgQty,
+       {_rounded('avgPrice')} AS avgPrice, ALL_YN AS allYn, minYearWeek,
        maxYearWeek, maxPrice, minPrice
 FROM (SELECT OFER_NR, max(OFER_CHNG_SEQ) AS OFER_CHNG_SEQ FROM ftr_ofer GROUP BY OFER_NR)
 JOIN (SELECT OFER_NR, OFER_CHNG_SEQ, loc AS polCode, locNm AS polName,

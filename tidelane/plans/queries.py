@@ -68,7 +68,8 @@ def registry() -> dict[str, Query]:
 
 
 def rounded(name: str) -> Column:
-    return F.round(F.col(name), 6).alias(name)
+    """Six decimals, halves up, in plain double arithmetic that any engine repeats exactly."""
+    return (F.floor(F.col(name) * 1e6 + 0.5) / 1e6).alias(name)
 
 
 def whole(name: str) -> Column:
@@ -260,7 +261,7 @@ def offer_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mw_bidask_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bidask.mw_bidask_rows(offer_tables(spark, sf_dir))
     return rows.withColumns(
-        {"avgQty": F.round("avgQty", 6), "avgPrice": F.round("avgPrice", 6)}
+        {"avgQty": rounded("avgQty"), "avgPrice": rounded("avgPrice")}
     )
 
 
