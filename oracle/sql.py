@@ -553,10 +553,28 @@ UNION ALL SELECT 'weekDetailTopics', count(*) * 3 FROM weeks
 UNION ALL SELECT 'dealHistoryTopics', count(*) FROM weeks"""
 
 
-def _json_text() -> str:
-    fields = ["polCode", "podCode", "baseYearWeek", "status", "latestEventDate"]
-    parts = [f"""CASE WHEN {f} IS NOT NULL THEN '"{f}":"' || {f} || '"' END""" for f in fields]
-    return f"SELECT '{{' || concat_ws(',', {', '.join(parts)}) || '}}' AS value"
+def _json_object(texts: list[str], numbers: list[str], *more: str) -> str:
+    """JSON text of some columns; a missing value leaves its field out."""
+    parts = {f: f"""'"{f}":"' || {f} || '"'""" for f in texts}
+    parts |= {f: f"""'"{f}":' || {f}""" for f in numbers}
+    return f"'{{' || concat_ws(',', {', '.join([*parts.values(), *more])}) || '}}'"
+
+
+def _json_documents() -> str:
+    cell = ", ".join(
+        [
+            f"""'"{f}":"' || {f} || '"'""" if f in ("baseYearWeek", "status", "latestEventDate")
+            else f"""'"{f}":' || {f}"""
+            for f in ("baseYearWeek", "status", "open", "low", "high", "close", "volume",
+                      "changeValue", "changeRate", "latestEventDate")
+        ]
+    )
+    cells = f"""'"Cell":[' || string_agg('{{' || concat_ws(',', {cell}) || '}}', ','
+                 ORDER BY baseYearWeek NULLS FIRST) || ']'"""
+    keys = ROUTE_NAMES.split(", ")
+    return f"""
+SELECT {_json_object(keys, [], cells)} AS value
+FROM ({_sum_select('fact', '0')}) GROUP BY {ROUTE_NAMES}"""
 
 
 def statements() -> dict[str, str]:
@@ -650,7 +668,7 @@ SELECT count(*) FILTER (maxId > processedId) AS advancedTables,
         "cdc_topics_week": f"{changed} SELECT * FROM weeks",
         "cdc_metrics": f"{changed} {METRICS}",
         "upsert_by_key": f"{deals} {_sum_select('fact', '0')}",
-        "json_payload": f"{deals} {_json_text()} FROM ({_sum_select('fact', '0')})",
+        "json_payload": f"{deals} {_json_documents()}",
         "topic_name": f"""{deals}
 SELECT DISTINCT DEAL_NR, '/topic/01_01_01_' || polCode || '_' || podCode || '_01' AS topic
 FROM rte""",

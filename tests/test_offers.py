@@ -216,11 +216,13 @@ def test_late_deal_moves_the_closing(spark):
 
 def test_event_documents(spark):
     tables = versions(spark, [100, 0], deals=[deal("D1", 1, "20200105")])
-    [document] = events.offer_event_log(tables, NOW).collect()
+    documents = events.offer_event_log(tables, NOW)
+    [document] = documents.collect()
     assert [cell.eventCode for cell in document.eventCell] == ["01", "02", "04", "05"]
     assert document.eventCell[0].eventLog[0].referenceEventNumber == NUMBER
     paged = events.offer_event_log(tables, NOW, page_versions=1)
     assert rows(paged.select("page", F.size("eventCell"))) == [(0, 1), (1, 3)]
+    assert rows(flatten(paged, "eventCell")) == rows(flatten(documents, "eventCell"))
 
 
 def test_book_shows_the_last_version(spark):

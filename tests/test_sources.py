@@ -27,8 +27,10 @@ def test_tables_on_parquet_and_views(spark, tmp_path):
     assert rows(read["FTR_DEAL"]) == rows(tables["FTR_DEAL"])
     sinks.append(tables["MDM_CRYR"], f"{tmp_path}/MDM_CRYR")
     assert readers.read_parquet(spark, f"{tmp_path}/MDM_CRYR").count() == 4
-    readers.register(read)
+    readers.register(read, cached=True)
     assert readers.registered(spark, ["FTR_DEAL"])["FTR_DEAL"].count() == 1
+    for table in read.values():
+        table.unpersist()
 
 
 def test_empty_and_inline(spark):

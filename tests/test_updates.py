@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tests.frames import deal_tables, rows, time
 from tidelane.functions.values import topic_name
 from tidelane.operators import changes, market
-from tidelane.operators.fact import ROUTE, trade_fact
+from tidelane.operators.fact import ROUTE, restrict, trade_fact
 from tidelane.plans import market_watch
 from tidelane.plans.market_watch import Store
 from tidelane.sources import sinks
@@ -86,13 +86,13 @@ def test_incremental_equals_full_restricted_to_topics(spark):
     full = trade_fact(tables)
     assert same(
         changes.mw_sum_incr(tables, routes, NOW),
-        market.mw_sum(changes.restrict(full, routes), NOW),
+        market.mw_sum(restrict(full, routes), NOW),
     )
     assert same(
-        changes.mw_hst_incr(tables, weeks), market.mw_hst(changes.restrict(full, weeks))
+        changes.mw_hst_incr(tables, weeks), market.mw_hst(restrict(full, weeks))
     )
     detail = changes.mw_wkdetail_incr(tables, weeks)
-    assert same(detail, market.mw_wkdetail(changes.restrict(full, weeks)))
+    assert same(detail, market.mw_wkdetail(restrict(full, weeks)))
     order = [row.interval for row in detail.collect()]
     assert order == sorted(order, reverse=True)
 
@@ -182,6 +182,8 @@ def test_stream_equals_full_build(spark, tmp_path):
     query = stream.run(spark, root, store, NOW, checkpoint, files_per_batch=2)
     query.awaitTermination()
     assert query.exception() is None
+    seen = sum(p.observedMetrics["changes"].rows for p in query.recentProgress if p.numInputRows)
+    assert seen == sum(late[name].count() for name in changes.FEEDING)
     rebuilt = Store(str(tmp_path / "full"), buckets=4)
     market_watch.full_build(spark, after, rebuilt, NOW)
     assert documents_of(spark, store) == documents_of(spark, rebuilt)

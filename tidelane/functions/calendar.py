@@ -48,6 +48,11 @@ def us_week(day: Column) -> Column:
     return (F.year(saturday) * 100 + week_of_saturday(saturday)).cast("string")
 
 
+def current_week() -> Column:
+    """Trade week of today; jobs take the week as an argument instead."""
+    return us_week(F.current_date())
+
+
 def iso_week(day: Column) -> Column:
     """ISO week ``yyyyWW`` of a date, as a string."""
     return (F.extract(F.lit("YEAROFWEEK"), day) * 100 + F.weekofyear(day)).cast("string")

@@ -42,45 +42,35 @@ def events(
     """One row per offer and event with its log.
 
     All five events come out of one aggregate over the offer lines: each line
-    contributes a log entry to the events it qualifies for, and what an event
-    asks of the whole offer (last version, last deal time) is read from the
-    version rows, which are few.  ``page`` counts runs of ``page_versions``
-    versions.  Only the events in ``codes`` are computed.
+    contributes a log entry to the events it qualifies for.  What an event
+    asks of the whole offer (last version, last deal time) comes from a narrow
+    aggregate joined back per ``page``, a run of ``page_versions`` versions, so
+    that not even the versions of one offer have to meet in one task.  Only
+    the events in ``codes`` are computed.
     """
-    lines = _lines(tables)
+    page = F.floor(F.col("offerChangeSeq") / page_versions).cast("int").alias("page")
+    lines = _lines(tables).select("*", page)
     expired = F.col("baseYearWeek") < current_week
     dealt = F.col("DEAL_NR").isNotNull()
     own, deal = ("offerNumber", "offerChangeSeq"), ("DEAL_NR", "DEAL_CHNG_SEQ")
     closing = F.when(F.col("DEAL_DT") > F.col("closing"), F.col("DEAL_DT")).otherwise(
         F.col("closing")
     )
-    versions = lines.groupBy(*OFFER_KEYS, "offerChangeSeq").agg(
+    versions = lines.groupBy(*OFFER_KEYS, "page", "offerChangeSeq").agg(
         _log(F.col("offerChangeSeq") == 0, placed_at(F.col("offerNumber")), own).alias("log01"),
         _log((F.col("offerChangeSeq") > 0) & dealt, F.col("DEAL_DT"), deal).alias("log02"),
         _log(expired, F.col("closing"), own).alias("log03"),
         _log(F.lit(True), F.col("DEAL_DT"), own).alias("log04"),
         _log(F.lit(True), F.col("DEAL_DT"), own, closing).alias("log05"),
-        F.max("DEAL_DT").alias("lastDeal"),
-        F.max(F.when(expired, F.col("closing"))).alias("lastExpiry"),
+        F.max("DEAL_DT").alias("lastDealOfVersion"),
         F.max(F.when(expired, F.col("offerChangeSeq"))).alias("expiredVersion"),
         F.sum("leftQty").alias("left"),
         F.max("baseYearWeek").alias("lastWeek"),
     )
-    offer = Window.partitionBy("offerNumber")
-    version = Window.partitionBy("offerNumber", "offerChangeSeq")
-    known = versions.withColumns(
-        {
-            "lastDealOfVersion": F.max("lastDeal").over(version),
-            "lastDealOfOffer": F.max("lastDeal").over(offer),
-            "lastExpiryOfOffer": F.max("lastExpiry").over(offer),
-            "lastExpiredVersion": F.max("expiredVersion").over(offer),
-            "lastVersion": F.max("offerChangeSeq").over(offer),
-            "page": F.floor(
-                (F.dense_rank().over(offer.orderBy("offerChangeSeq")) - 1) / page_versions
-            ).cast("int"),
-            # Equal entries of a closed offer count once.
-            "closedLeft": _sum_of("log05", "leftQty"),
-        }
+    whole = _whole_offers(tables, current_week, page)
+    # Equal entries of a closed offer count once.
+    known = versions.join(whole, ["offerNumber", "page"]).withColumn(
+        "closedLeft", _sum_of("log05", "leftQty")
     )
     current = F.col("offerChangeSeq") == F.col("lastVersion")
     closed = (F.col("closedLeft") == 0) | (F.col("lastWeek") < current_week)
@@ -99,6 +89,29 @@ def events(
     )
 
 
+def _whole_offers(tables: Tables, current_week: str, page: Column) -> DataFrame:
+    """Per offer and page, what holds of the offer as a whole."""
+    expired = F.col("BSE_YW") < current_week
+    pages = (
+        tables["FTR_OFER_LINE_ITEM"]
+        .select(*OFFER, "BSE_YW")
+        .join(tables["FTR_DEAL"].select(*OFFER, "DEAL_DT"), OFFER, "left")
+        .withColumnsRenamed({"OFER_NR": "offerNumber", "OFER_CHNG_SEQ": "offerChangeSeq"})
+        .groupBy("offerNumber", page)
+        .agg(
+            F.max("DEAL_DT").alias("lastDealOfOffer"),
+            F.max(F.when(expired, F.col("BSE_YW"))).alias("lastExpiredWeek"),
+            F.max(F.when(expired, F.col("offerChangeSeq"))).alias("lastExpiredVersion"),
+            F.max("offerChangeSeq").alias("lastVersion"),
+        )
+    )
+    offer = Window.partitionBy("offerNumber")
+    facts = ["lastDealOfOffer", "lastExpiredWeek", "lastExpiredVersion", "lastVersion"]
+    return pages.select(
+        "offerNumber", "page", *[F.max(name).over(offer).alias(name) for name in facts]
+    ).withColumn("lastExpiryOfOffer", week_closing(F.col("lastExpiredWeek")))
+
+
 def event_rows(tables: Tables, current_week: str, code: str | None = None) -> DataFrame:
     """Log entries of all events, or of the one with ``code``, as flat rows."""
     codes = tuple(EVENT_NAMES) if code is None else (code,)
@@ -113,8 +126,7 @@ def offer_event_log(
 ) -> DataFrame:
     """Documents of ``events``: one per offer, a cell per event, a log in each cell.
 
-    An offer with more than ``page_versions`` versions continues on further
-    pages.
+    An offer's versions from ``page_versions`` on continue on further pages.
     """
     rows = events(tables, current_week, page_versions)
     return nest(rows, [*OFFER_KEYS, "page"], EVENT_CELL, "eventCell", repeated=True)

@@ -349,10 +349,7 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = market.mw_sum_rows(_fact(spark, sf_dir), CURRENT_WEEK).select(
-        "polCode", "podCode", "baseYearWeek", "status", "latestEventDate"
-    )
-    return json_documents(rows)
+    return json_documents(market.mw_sum(_fact(spark, sf_dir), CURRENT_WEEK))
 
 
 def topic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,8 +359,8 @@ def topic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = market.mw_sum_rows(_fact(spark, sf_dir), CURRENT_WEEK)
-    return json_documents(rows.sample(0.1, seed=42))
+    documents = market.mw_sum(_fact(spark, sf_dir), CURRENT_WEEK)
+    return json_documents(documents.sample(0.1, seed=42))
 
 
 # -- shared ------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -100,10 +101,14 @@ def or_empty(tables: Mapping[str, DataFrame], name: str, spark: SparkSession) ->
     return tables[name] if name in tables else empty(spark, TABLES[name])
 
 
-def register(tables: Mapping[str, DataFrame]) -> None:
-    """Make tables available to SQL under their names."""
+def register(tables: Mapping[str, DataFrame], cached: bool = False) -> None:
+    """Make tables available to SQL under their names; ``cached`` keeps them in memory and on disk.
+
+    ``DataFrame.unpersist`` on the registered table lets it go again.
+    """
     for name, table in tables.items():
-        table.createOrReplaceTempView(name)
+        kept = table.persist(StorageLevel.MEMORY_AND_DISK) if cached else table
+        kept.createOrReplaceTempView(name)
 
 
 def registered(spark: SparkSession, names: Iterable[str]) -> dict[str, DataFrame]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelane.operators.changes import FEEDING
@@ -55,6 +55,7 @@ def run(
 
     writer = (
         changed_deal_stream(spark, root, files_per_batch)
+        .observe("changes", F.count(F.lit(1)).alias("rows"))
         .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(process)
     )
