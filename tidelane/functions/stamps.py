@@ -43,9 +43,13 @@ def _shift() -> Column:
     return F.lit(str(_SHIFT)).cast("decimal(20,0)")
 
 
-def stamp_time(packed: Column) -> Column:
-    """Time string of a stamp, or null."""
-    moment = (packed / _shift()).cast("long")
+def stamp_moment(packed: Column) -> Column:
+    """Time of a stamp as a long that orders like the time; 0 if it had none."""
+    return (packed / _shift()).cast("long")
+
+
+def moment_time(moment: Column) -> Column:
+    """Time string of a moment, or null."""
     clock = moment % _DAY
     text = F.concat(
         ((moment - clock) / _DAY + _CENTURY).cast("long").cast("string"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelane.functions.calendar import chart_week, day_of
-from tidelane.functions.stamps import stamp, stamp_price, stamp_time
+from tidelane.functions.stamps import moment_time, stamp, stamp_moment, stamp_price
 from tidelane.functions.values import TOTAL, ratio
 from tidelane.operators.blocks import look_back
 from tidelane.operators.nest import PAGE_ROWS, nest
@@ -146,7 +146,12 @@ def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame
         .filter(F.col("dealPrice") != 0)
         .groupBy(*TERMS, "baseYearWeek", day.alias("day"))
         .agg(*_first_and_last(), *_spread())
-    )
+        .select(
+            *TERMS, "baseYearWeek", "day", "high", "low", "volume", "repeats",
+            *[price.alias(name) for name, price in _ends().items()],
+            stamp_moment(F.col("last")).alias("moment"),
+        )
+    )
     buckets = F.array(
         F.struct(F.lit("daily").alias("interval"), F.col("day").alias("xAxis")),
         F.struct(F.lit("weekly").alias("interval"), chart_week(day_of(F.col("day"))).alias("xAxis")),
@@ -157,8 +162,10 @@ def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame
         .select("*", "bucket.*")
         .groupBy(*TERMS, "baseYearWeek", "interval", "xAxis")
         .agg(
-            F.min("first").alias("first"),
-            F.max("last").alias("last"),
+            # Days of a bucket have different moments, so these have no ties.
+            F.min_by("open", "moment").alias("open"),
+            F.max_by("close", "moment").alias("close"),
+            F.max("moment").alias("moment"),
             F.max("high").alias("high"),
             F.min("low").alias("low"),
             F.sum("volume").alias("volume"),
@@ -168,11 +175,11 @@ def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame
     # A bucket of several rows shows no negative open or close.
     several = F.col("repeats") > 1
     ends = {
-        name: F.when(several, F.greatest(price, F.lit(0))).otherwise(price)
-        for name, price in _ends().items()
+        name: F.when(several, F.greatest(F.col(name), F.lit(0))).otherwise(F.col(name))
+        for name in ("open", "close")
     }
-    along = Window.partitionBy(*TERMS, "baseYearWeek", "interval").orderBy("intervalTimestamp")
-    priced = bucketed.withColumns({**ends, "intervalTimestamp": stamp_time(F.col("last"))})
+    along = Window.partitionBy(*TERMS, "baseYearWeek", "interval").orderBy("moment")
+    priced = bucketed.withColumns({**ends, "intervalTimestamp": moment_time(F.col("moment"))})
     return market_keys(with_change(priced, along, "close")).select(
         *WEEK_KEYS, "interval", "xAxis", "intervalTimestamp", "open", "low", "high", "close",
         F.col("volume").cast(TOTAL).alias("volume"), "changeValue", "changeRate",
@@ -227,7 +234,7 @@ def _weekly(fact: DataFrame, current_week: str, dedup_carriers: bool) -> DataFra
         {
             **ends,
             "status": status,
-            "latestEventDate": stamp_time(F.col("last")),
+            "latestEventDate": moment_time(stamp_moment(F.col("last"))),
             "volume": F.col("volume").cast(TOTAL),
         }
     )
