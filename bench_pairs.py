@@ -76,6 +76,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench-pairs")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
