@@ -200,6 +200,15 @@ def test_events_of_an_expired_offer(spark):
     assert codes(versions(spark, [100], week="202009")) == {"01": 1, "03": 1, "05": 1}
 
 
+def test_last_expiry_skips_weeks_the_calendar_lacks(spark):
+    tables = offer_tables(spark, [offer()], [line("201901", 5), line("201953", 5)])
+    expired = events.event_rows(tables, NOW, "03")
+    assert rows(expired, "baseYearWeek", "eventTimestamp", "lastEventTimestamp") == [
+        ("201901", "20190105010000000000", "20190105010000000000"),
+        ("201953", None, "20190105010000000000"),
+    ]
+
+
 def test_offer_for_all_weeks_closes_by_the_same_rule(spark):
     """The rule that asks all weeks to lie both ahead and behind never applies."""
     tables = offer_tables(

@@ -100,16 +100,16 @@ def _whole_offers(tables: Tables, current_week: str, page: Column) -> DataFrame:
         .groupBy("offerNumber", page)
         .agg(
             F.max("DEAL_DT").alias("lastDealOfOffer"),
-            F.max(F.when(expired, F.col("BSE_YW"))).alias("lastExpiredWeek"),
+            F.max(F.when(expired, week_closing(F.col("BSE_YW")))).alias("lastExpiryOfOffer"),
             F.max(F.when(expired, F.col("offerChangeSeq"))).alias("lastExpiredVersion"),
             F.max("offerChangeSeq").alias("lastVersion"),
         )
     )
     offer = Window.partitionBy("offerNumber")
-    facts = ["lastDealOfOffer", "lastExpiredWeek", "lastExpiredVersion", "lastVersion"]
+    facts = ["lastDealOfOffer", "lastExpiryOfOffer", "lastExpiredVersion", "lastVersion"]
     return pages.select(
         "offerNumber", "page", *[F.max(name).over(offer).alias(name) for name in facts]
-    ).withColumn("lastExpiryOfOffer", week_closing(F.col("lastExpiredWeek")))
+    )
 
 
 def event_rows(tables: Tables, current_week: str, code: str | None = None) -> DataFrame:
