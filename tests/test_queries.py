@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracle.sql import statements
+from tidelane.plans.queries import registry
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = ["nation", "customer", "supplier", "orders", "lineitem"]
@@ -22,10 +24,10 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(statements()))
 def test_query_matches_sql(spark, database, name):
-    frame = entry.queries()[name](spark, str(DATA))
-    expected = database.sql(entry.oracle_sql()[name])
+    frame = registry()[name](spark, str(DATA))
+    expected = database.sql(statements()[name])
     columns = sorted(frame.columns)
     assert columns == sorted(expected.columns)
     order = [expected.columns.index(column) for column in columns]
@@ -34,7 +36,8 @@ def test_query_matches_sql(spark, database, name):
 
 
 def test_only_the_sample_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"sample_json"}
+    assert set(registry()) - set(statements()) == {"sample_json"}
+    assert set(registry()) <= set(entry.queries())
 
 
 def test_entry(spark):
