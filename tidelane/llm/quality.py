@@ -148,10 +148,12 @@ class Network:
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """The temperature with the least log loss on other documents."""
+        if not len(y):
+            return
         logits = self.logits(x)
         grid = np.exp(np.linspace(np.log(0.2), np.log(10), 200))
         losses = [np.mean(np.logaddexp(0, np.where(y > 0, -1, 1) * logits / t)) for t in grid]
-        self.temperature = float(grid[int(np.argmin(losses))]) if len(y) else 1.0
+        self.temperature = float(grid[int(np.argmin(losses))])
 
 
 def held_out(doc_id: Column) -> Column:

@@ -46,7 +46,8 @@ def _matrices(frame: DataFrame, rows: int) -> DataFrame:
 
 
 def _read(ids: pa.Scalar, values: pa.Scalar, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids.as_buffer(), np.int64), np.frombuffer(values.as_buffer(), np.int64).reshape(-1, dim)
+    names = np.frombuffer(ids.as_buffer(), np.int64)
+    return names, np.frombuffer(values.as_buffer(), np.int64).reshape(len(names), dim)
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:

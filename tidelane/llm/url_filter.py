@@ -136,7 +136,8 @@ def _scored(urls: DataFrame, models: dict[bool, Model], url_col: str = "url") ->
 
 
 def threshold(scored: DataFrame) -> float:
-    """The score from which a URL is accepted: fewest errors, good and bad ones weighing the same; 0 without both.
+    """The score from which a URL is accepted: fewest errors, good and bad ones weighing the same, amid
+    the gap between the scores around it; 0 without both.
 
     Scores are counted in a thousandth of a nat; at most the range of scores in such steps reaches
     the driver, which the smoothing bounds.
@@ -150,7 +151,8 @@ def threshold(scored: DataFrame) -> float:
     errors = np.r_[0, np.cumsum(good)] / good.sum() + 1 - np.r_[0, np.cumsum(bad)] / bad.sum()
     best = np.flatnonzero(errors == errors.min())
     cut = int(best[len(best) // 2])
-    return (rows[cut].step if cut < len(rows) else rows[-1].step + 1) / 1000
+    steps = [rows[0].step - 1, *(r.step for r in rows), rows[-1].step + 1]
+    return (steps[cut] + 1 + steps[cut + 1]) / 2000
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], *, url_col: str = "url", held_out: int = 5) -> DataFrame:
