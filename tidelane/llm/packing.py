@@ -15,6 +15,7 @@ import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,12 @@ class WordEncoder:
             self.words[word] = self.parts[letters] + self.parts[marks]
 
 
+@cache
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder for all tasks that a worker runs."""
+    return WordEncoder(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` of every piece of every row.
 
@@ -90,7 +97,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, id_col: str
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist()), strict=True):
