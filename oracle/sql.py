@@ -57,9 +57,9 @@ ln AS (
 
 MASTERS = """
 mdm_cryr AS (
-  SELECT 'C' || s_suppkey AS carrierCode, s_name AS carrierName FROM supplier WHERE s_suppkey < 10),
+  SELECT 'C' || s_suppkey AS carrierCode, s_name AS carrierName FROM supplier),
 mdm_port AS (
-  SELECT 'P' || n_nationkey AS locCd, n_name AS locNm FROM nation WHERE n_nationkey < 4)"""
+  SELECT 'P' || n_nationkey AS locCd, n_name AS locNm FROM nation)"""
 
 MARKET = "CASE WHEN o_orderstatus = 'P' THEN '02' ELSE '01' END"
 SIDE = "CASE WHEN o_orderstatus = 'O' THEN 'B' ELSE 'S' END"
@@ -83,15 +83,15 @@ ftr_cryr AS (
   SELECT DISTINCT l_orderkey * 100 + l_suppkey % 12 AS ID,
          'D' || {_pad('l_orderkey', 10)} AS DEAL_NR, CAST(0 AS BIGINT) AS DEAL_CHNG_SEQ,
          'C' || (l_suppkey % 12) AS carrierCode
-  FROM ln WHERE seq < 2),
+  FROM ln),
 ftr_rte AS (
-  SELECT o_orderkey * 10 + 2 AS ID, 'D' || {_pad('o_orderkey', 10)} AS DEAL_NR,
+  SELECT o_orderkey * 100 + 20 + c_nationkey % 5 AS ID, 'D' || {_pad('o_orderkey', 10)} AS DEAL_NR,
          CAST(0 AS BIGINT) AS DEAL_CHNG_SEQ, '02' AS tp, 'P' || (c_nationkey % 5) AS loc
   FROM o JOIN customer ON o_custkey = c_custkey
   UNION ALL
-  SELECT l_orderkey * 10 + 3, 'D' || {_pad('l_orderkey', 10)}, CAST(0 AS BIGINT), '03',
+  SELECT DISTINCT l_orderkey * 100 + 30 + s_nationkey % 5, 'D' || {_pad('l_orderkey', 10)}, CAST(0 AS BIGINT), '03',
          'P' || (s_nationkey % 5)
-  FROM ln JOIN supplier ON l_suppkey = s_suppkey WHERE seq = 0),
+  FROM ln JOIN supplier ON l_suppkey = s_suppkey),
 rte AS (
   SELECT k.DEAL_NR, k.DEAL_CHNG_SEQ, pol.loc AS polCode, pod.loc AS podCode
   FROM (SELECT DISTINCT DEAL_NR, DEAL_CHNG_SEQ FROM ftr_rte) k
@@ -249,7 +249,7 @@ ov AS (
          'U' || (o_custkey % 50) AS EMP_NR,
          coalesce(sum(CASE WHEN seq > 0 THEN qty END) OVER (PARTITION BY o_orderkey ORDER BY seq),
                   0) AS dealt
-  FROM o JOIN ln ON o_orderkey = l_orderkey WHERE seq < 4),
+  FROM o JOIN ln ON o_orderkey = l_orderkey),
 ftr_ofer AS (
   SELECT OFER_NR, OFER_CHNG_SEQ, {SIDE} AS OFER_TP_CD, EMP_NR,
          CAST(o_orderkey % 2 AS VARCHAR) AS ALL_YN, {MARKET} AS TRDE_MKT_TP_CD,

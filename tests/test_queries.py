@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from oracle.sql import statements
 from tidelane.plans.queries import registry
+from tidelane.sources.bindings import deal_tables, offer_tables
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = ["nation", "customer", "supplier", "orders", "lineitem"]
@@ -42,3 +43,15 @@ def test_only_the_sample_has_no_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_no_line_is_cut_from_the_bindings(spark):
+    tables, offers = deal_tables(spark, str(DATA)), offer_tables(spark, str(DATA))
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet")
+    assert offers["FTR_OFER"].count() == lines.count()
+    carriers = lines.selectExpr("l_orderkey", "l_suppkey % 12").distinct().count()
+    assert tables["FTR_DEAL_CRYR"].count() == carriers
+    suppliers = spark.read.parquet(f"{DATA}/supplier.parquet")
+    ports = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+    ports = ports.selectExpr("l_orderkey", "s_nationkey % 5").distinct().count()
+    assert tables["FTR_DEAL_RTE"].filter("TRDE_LOC_TP_CD = '03'").count() == ports

@@ -17,8 +17,6 @@ LINE_ORDER = [
     "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
 ]
 
-# An offer has at most this many versions in the binding.
-VERSIONS = 4
 OFFERED = 100
 
 
@@ -58,9 +56,8 @@ def deal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.greatest(OFFERED - F.col("DEAL_QTY"), F.lit(0)).cast(MONEY).alias("OFER_REMN_QTY"),
         )
     )
-    top = source.top_lines()
     carriers = (
-        top.filter("seq < 2")
+        source.table("lineitem")
         .select(
             "l_orderkey", _carrier().alias("OFER_CRYR_CD"), (F.col("l_suppkey") % 12).alias("code")
         )
@@ -75,23 +72,24 @@ def deal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     loading = orders.join(source.table("customer"), F.expr("o_custkey = c_custkey")).select(
         F.col("o_orderkey").alias("order"),
         F.lit("02").alias("TRDE_LOC_TP_CD"),
-        _port(F.col("c_nationkey")).alias("TRDE_LOC_CD"),
+        (F.col("c_nationkey") % 5).alias("port"),
     )
     discharge = (
-        top.filter("seq < 1")
+        source.table("lineitem")
         .join(source.table("supplier"), F.expr("l_suppkey = s_suppkey"))
         .select(
             F.col("l_orderkey").alias("order"),
             F.lit("03").alias("TRDE_LOC_TP_CD"),
-            _port(F.col("s_nationkey")).alias("TRDE_LOC_CD"),
+            (F.col("s_nationkey") % 5).alias("port"),
         )
+        .distinct()
     )
     routes = loading.unionByName(discharge).select(
-        (F.col("order") * 10 + F.col("TRDE_LOC_TP_CD").cast("long")).alias("ID"),
+        (F.col("order") * 100 + F.col("TRDE_LOC_TP_CD").cast("long") * 10 + F.col("port")).alias("ID"),
         _deal_number(F.col("order")).alias("DEAL_NR"),
         F.lit(0).cast("long").alias("DEAL_CHNG_SEQ"),
         F.lit(1).cast("long").alias("OFFER_REG_SEQ"),
-        "TRDE_LOC_CD",
+        _port(F.col("port")).alias("TRDE_LOC_CD"),
         "TRDE_LOC_TP_CD",
     )
     return {
@@ -107,10 +105,9 @@ def deal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def offer_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Offer tables, the deals struck on those offers, and the masters."""
     source = _Star(spark, sf_dir)
-    top = source.top_lines()
     orders = source.orders()
     version = F.col("seq")
-    offers = orders.join(top, F.expr("o_orderkey = l_orderkey")).withColumns(
+    offers = orders.join(source.numbered_lines(), F.expr("o_orderkey = l_orderkey")).withColumns(
         {
             "OFER_NR": F.concat(
                 F.lit("F"), digits(F.col("day")), _padded(F.col("o_orderkey"), 12)
@@ -120,7 +117,7 @@ def offer_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         }
     )
     headers = offers.select(
-        (F.col("o_orderkey") * 10 + version).alias("ID"),
+        (F.col("o_orderkey") * 1000000 + version).alias("ID"),
         "OFER_NR",
         "OFER_CHNG_SEQ",
         _side().alias("OFER_TP_CD"),
@@ -213,13 +210,8 @@ class _Star:
     def orders(self) -> DataFrame:
         return self.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
 
-    def top_lines(self) -> DataFrame:
-        """First lines of each order, numbered from 0.
-
-        The rank filter lets Spark keep only ``VERSIONS`` rows per order in
-        each map task before the shuffle, so a huge order costs no more than a
-        small one.
-        """
+    def numbered_lines(self) -> DataFrame:
+        """Every line of each order, numbered from 0; each is a version of its offer."""
         ordered = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
         running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         quantity = F.col("l_quantity").cast(MONEY)
@@ -233,7 +225,6 @@ class _Star:
                 F.first(quantity).over(running).alias("opening"),
                 F.sort_array(F.collect_set(_carrier()).over(running)).alias("carriers"),
             )
-            .filter(F.col("nth") <= VERSIONS)
             .select(
                 "l_orderkey",
                 "l_suppkey",
@@ -245,8 +236,8 @@ class _Star:
         )
 
     def masters(self) -> dict[str, DataFrame]:
-        carriers = self.table("supplier").filter("s_suppkey < 10")
-        ports = self.table("nation").filter("n_nationkey < 4")
+        carriers = self.table("supplier")
+        ports = self.table("nation")
         return {
             "MDM_CRYR": carriers.select(
                 F.concat(F.lit("C"), F.col("s_suppkey").cast("string")).alias("CRYR_CD"),
