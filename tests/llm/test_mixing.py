@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 
-from tidelane.llm.mixing import TOPICS, mix, profiled, rake
+from tidelane.llm.mixing import TOPICS, mix, profiled, rake, tempered
 
 
 def test_raking_meets_all_margins():
@@ -54,3 +54,10 @@ def test_edges(spark):
     got = mix(frame, classes={"source": ["s0"], "lang": ["en"], "topic": list(TOPICS)}).collect()
     assert len(got) == 4 and all(0 <= r.probability <= 1 for r in got)
     assert mix(frame.limit(0), classes={"source": ["s0"]}).collect() == []
+
+
+def test_tempered_shares():
+    shares = tempered({"a": 800, "b": 100, "other": 100}, 0.5)
+    assert sum(shares.values()) == pytest.approx(1) and shares["other"] == pytest.approx(0.1)
+    assert shares["a"] / shares["b"] == pytest.approx(8**0.5)
+    assert tempered({"other": 5}, 0.5) == {"other": 1.0} and tempered({}, 0.5) == {}

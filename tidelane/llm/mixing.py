@@ -100,10 +100,12 @@ def _scale(p: np.ndarray, tokens: np.ndarray, wanted: float) -> float:
 
 
 def tempered(tokens: dict[str, float], power: float) -> Margin:
-    """Shares in proportion to a power of the tokens; under 1, small classes gain."""
-    raised = {k: v**power for k, v in tokens.items() if v > 0}
-    total = sum(raised.values())
-    return {k: v / total for k, v in raised.items()}
+    """Shares in proportion to a power of the tokens; under 1, small classes gain. ``other`` keeps its share."""
+    total = sum(tokens.values())
+    raised = {k: v**power for k, v in tokens.items() if v > 0 and k != OTHER}
+    other = tokens.get(OTHER, 0) / total if total else 0.0
+    shares = {k: (1 - other) * v / sum(raised.values()) for k, v in raised.items()}
+    return shares | ({OTHER: other} if other else {})
 
 
 def mix(
