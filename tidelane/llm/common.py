@@ -16,6 +16,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Bytes of text that numpy works on at once; a longer text is worked on alone.
 BLOCK_BYTES = 1 << 20
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -35,10 +37,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` written to the shared folder and read again, which also cuts its lineage."""
-    path = shared_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """``frame`` written to the shared folder and read again, which also cuts its lineage.
+
+    Once the table is written nothing reads the shuffle files of that job again, so Spark drops them then.
+    """
+    spark = frame.sparkSession
+    path = shared_path(spark, name)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:
