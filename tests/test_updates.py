@@ -212,3 +212,15 @@ def test_messages(spark, tmp_path):
 def test_topic_name_is_cleaned(spark):
     document = spark.createDataFrame([('{"polCode":"K R","podCode":"C.N_1"}',)], "j string")
     assert rows(document.select(topic_name(F.col("j")))) == [("/topic/01_01_01_KR_CN_1_01",)]
+
+
+def test_without_a_mark_every_id_is_new(spark):
+    table = spark.createDataFrame([(-5,), (0,), (7,), (None,)], "ID long")
+    none = spark.createDataFrame([], "tableName string, maxId long")
+    some = spark.createDataFrame([("FTR_DEAL", 0)], "tableName string, maxId long")
+    ids = lambda processed: sorted(r.ID for r in changes.delta({"FTR_DEAL": table}, processed, ["FTR_DEAL"])["FTR_DEAL"].collect())
+    assert ids(none) == [-5, 0, 7]
+    assert ids(some) == [7]
+    below = table.filter("ID < 0")
+    lag = changes.lag_behind(changes.max_id({"FTR_DEAL": below}, ["FTR_DEAL"]), none).first()
+    assert lag.advanced is True

@@ -39,7 +39,7 @@ def lag_behind(source: DataFrame, processed: DataFrame) -> DataFrame:
         "tableName",
         "maxId",
         "processedId",
-        (F.col("maxId") > F.coalesce("processedId", F.lit(-1))).alias("advanced"),
+        F.coalesce(F.col("maxId") > F.col("processedId"), F.col("maxId").isNotNull()).alias("advanced"),
     )
 
 
@@ -58,7 +58,7 @@ def delta(tables: Tables, processed: DataFrame, names: list[str] = FEEDING) -> d
 
 def _above(table: DataFrame, processed: DataFrame, name: str) -> DataFrame:
     mark = processed.filter(F.col("tableName") == name).select("maxId").scalar()
-    return table.filter(F.col("ID") > F.coalesce(mark, F.lit(-1)))
+    return table.filter(F.col("ID").isNotNull() & (mark.isNull() | (F.col("ID") > mark)))
 
 
 def next_marks(lag: DataFrame) -> DataFrame:

@@ -69,9 +69,10 @@ def events(
     )
     whole = _whole_offers(tables, current_week, page)
     # Equal entries of a closed offer count once.
-    known = versions.join(whole, ["offerNumber", "page"]).withColumn(
-        "closedLeft", _sum_of("log05", "leftQty")
-    )
+    whole = whole.withColumnsRenamed({"offerNumber": "wholeNumber", "page": "wholePage"})
+    same = (F.col("offerNumber") == F.col("wholeNumber")) & F.col("page").eqNullSafe(F.col("wholePage"))
+    known = versions.join(whole, same).drop("wholeNumber", "wholePage")
+    known = known.withColumn("closedLeft", _sum_of("log05", "leftQty"))
     current = F.col("offerChangeSeq") == F.col("lastVersion")
     closed = (F.col("closedLeft") == 0) | (F.col("lastWeek") < current_week)
     expired_last = F.col("expiredVersion") == F.col("lastExpiredVersion")
