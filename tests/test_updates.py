@@ -224,3 +224,12 @@ def test_without_a_mark_every_id_is_new(spark):
     below = table.filter("ID < 0")
     lag = changes.lag_behind(changes.max_id({"FTR_DEAL": below}, ["FTR_DEAL"]), none).first()
     assert lag.advanced is True
+
+
+def test_another_number_of_buckets_doubles_no_rows(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    table = spark.range(40).withColumn("value", F.lit("old"))
+    sinks.write_keyed(table, path, ["id"], 4)
+    sinks.replace_keyed(spark, path, spark.range(3).withColumn("value", F.lit("new")), spark.range(3), 7)
+    found = sorted((r.id, r.value) for r in sinks.read_keyed(spark, path).collect())
+    assert found == [(i, "new" if i < 3 else "old") for i in range(40)]

@@ -53,7 +53,7 @@ def write_keyed(frame: DataFrame, path: str, keys: list[str], buckets: int = BUC
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a collection written by ``write_keyed``."""
-    return spark.read.parquet(path).filter("live").drop("live", "bucket")
+    return spark.read.parquet(path).filter("live").drop("live", "bucket", "buckets")
 
 
 def replace_keyed(
@@ -65,9 +65,13 @@ def replace_keyed(
     one job, and a bucket changes as a whole.  Running it twice leaves the
     same collection, so a batch may be replayed.  ``replaced`` has the columns
     the collection is keyed by, and ``fresh`` only rows of those keys.
+    A collection keeps the number of buckets it was written with; ``buckets``
+    counts for an empty one.
     """
     keys = replaced.columns
-    marked = _with_bucket(replaced, keys, buckets).drop("live")
+    written = spark.read.parquet(path).select("buckets").first()
+    buckets = written.buckets if written else buckets
+    marked = _with_bucket(replaced, keys, buckets).drop("live", "buckets")
     # At most ``buckets`` numbers.
     touched = [row.bucket for row in marked.select("bucket").distinct().collect()]
     if not touched:
@@ -77,13 +81,13 @@ def replace_keyed(
         stored, _with_bucket(fresh, keys, buckets), marked.drop("bucket"), null_keys=True
     )
     # A row that is not live keeps a bucket that lost all others in the write.
-    kept = spark.createDataFrame([(bucket, False) for bucket in touched], "bucket int, live boolean")
+    kept = spark.createDataFrame([(bucket, False, buckets) for bucket in touched], "bucket int, live boolean, buckets int")
     _write_buckets(merged.unionByName(kept, allowMissingColumns=True), path, "dynamic")
 
 
 def _with_bucket(frame: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    return frame.withColumns({"live": F.lit(True), "bucket": bucket})
+    return frame.withColumns({"live": F.lit(True), "bucket": bucket, "buckets": F.lit(buckets)})
 
 
 def _write_buckets(frame: DataFrame, path: str, mode: str) -> None:
