@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from itertools import islice
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tidelane.operators.changes import upsert_by_key
 
@@ -13,6 +15,8 @@ Sender = Callable[[str, str], None]
 
 BUCKETS = 64
 
+_MANIFEST = "version long, buckets int, generations map<int, string>"
+
 
 def overwrite(frame: DataFrame, path: str) -> None:
     """Replace a collection."""
@@ -48,12 +52,13 @@ def publish(frame: DataFrame, topic: str, send: Sender, rows_per_message: int =
 
 def write_keyed(frame: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> None:
     """Write a collection whose rows can later be replaced by ``keys``."""
-    _write_buckets(_with_bucket(frame, keys, buckets), path, "static")
+    _write_buckets(frame, path, keys, buckets, list(range(buckets)), _newest(frame.sparkSession, path))
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a collection written by ``write_keyed``."""
-    return spark.read.parquet(path).filter("live").drop("live", "bucket", "buckets")
+    state = _newest(spark, path)
+    return _read_buckets(spark, path, state, list(state.generations))
 
 
 def replace_keyed(
@@ -61,41 +66,81 @@ def replace_keyed(
 ) -> None:
     """Replace the rows of the ``replaced`` keys by ``fresh``.
 
-    Only the hash buckets that hold a replaced key are read and rewritten, in
-    one job, and a bucket changes as a whole.  Running it twice leaves the
-    same collection, so a batch may be replayed.  ``replaced`` has the columns
-    the collection is keyed by, and ``fresh`` only rows of those keys.
-    A collection keeps the number of buckets it was written with; ``buckets``
-    counts for an empty one.
+    Only the hash buckets that hold a replaced key are read and rewritten, as a new generation.
+    Readers follow the manifest, one row of which is added last; a job that dies before leaves the
+    collection as it was.  Running it twice leaves the same collection, so a batch may be replayed.
+    ``replaced`` has the columns the collection is keyed by, and ``fresh`` only rows of those keys.
+    A collection keeps the number of buckets it was written with; ``buckets`` counts for a new one.
     """
     keys = replaced.columns
-    written = spark.read.parquet(path).select("buckets").first()
-    buckets = written.buckets if written else buckets
-    marked = _with_bucket(replaced, keys, buckets).drop("live", "buckets")
+    state = _newest(spark, path)
+    if state is None:
+        return write_keyed(fresh, path, keys, buckets)
+    marked = replaced.select(_bucket(keys, state.buckets)).distinct()
     # At most ``buckets`` numbers.
-    touched = [row.bucket for row in marked.select("bucket").distinct().collect()]
-    if not touched:
-        return
-    stored = spark.read.parquet(path).filter(F.col("live") & F.col("bucket").isin(touched))
-    merged = upsert_by_key(
-        stored, _with_bucket(fresh, keys, buckets), marked.drop("bucket"), null_keys=True
-    )
-    # A row that is not live keeps a bucket that lost all others in the write.
-    kept = spark.createDataFrame([(bucket, False, buckets) for bucket in touched], "bucket int, live boolean, buckets int")
-    _write_buckets(merged.unionByName(kept, allowMissingColumns=True), path, "dynamic")
+    touched = [row.bucket for row in marked.collect()]
+    if touched:
+        stored = _read_buckets(spark, path, state, touched)
+        merged = upsert_by_key(stored, fresh, replaced, null_keys=True)
+        _write_buckets(merged, path, keys, state.buckets, touched, state)
+
+
+def drop_old(spark: SparkSession, path: str) -> None:
+    """Delete the buckets that the newest manifest row does not name.
+
+    For times when nothing reads or replaces: a reader may still follow an older row.
+    """
+    kept = {f"{generation}/bucket={bucket}" for bucket, generation in _newest(spark, path).generations.items()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data")
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for generation in files.listStatus(root):
+        for bucket in files.listStatus(generation.getPath()):
+            at = bucket.getPath()
+            if bucket.isDirectory() and f"{generation.getPath().getName()}/{at.getName()}" not in kept:
+                files.delete(at, True)
+
 
+def _newest(spark: SparkSession, path: str) -> Row | None:
+    """Newest row of a collection's manifest, or None where there is no collection."""
+    try:
+        manifest = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return manifest.orderBy(F.col("version").desc()).first()
 
-def _with_bucket(frame: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    return frame.withColumns({"live": F.lit(True), "bucket": bucket, "buckets": F.lit(buckets)})
 
+def _read_buckets(spark: SparkSession, path: str, state: Row, wanted: list[int]) -> DataFrame:
+    folders = [f"{path}/data/{state.generations[bucket]}/bucket={bucket}" for bucket in wanted]
+    return spark.read.parquet(*folders).filter("live").drop("live")
 
-def _write_buckets(frame: DataFrame, path: str, mode: str) -> None:
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _write_buckets(
+    frame: DataFrame, path: str, keys: list[str], buckets: int, touched: list[int], state: Row | None
+) -> None:
+    """Write the ``touched`` buckets as a new generation, then switch to it."""
+    spark, generation = frame.sparkSession, uuid4().hex
+    placed = frame.select("*", F.lit(True).alias("live"), _bucket(keys, buckets))
+    # A row that is not live makes a folder even for a bucket without others.
+    marks = spark.createDataFrame([(bucket, False) for bucket in touched], "bucket int, live boolean")
     # Rebalancing gathers a bucket's rows, but splits a bucket too large for one task.
     (
-        frame.hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy("bucket")
-        .parquet(path)
+        placed.unionByName(marks, allowMissingColumns=True)
+        .hint("rebalance", "bucket")
+        .write.partitionBy("bucket")
+        .parquet(f"{path}/data/{generation}")
     )
+    kept = state.generations if state and state.buckets == buckets else {}
+    version = state.version + 1 if state else 0
+    _switch(spark, path, (version, buckets, {**kept, **dict.fromkeys(touched, generation)}))
+
+
+def _switch(spark: SparkSession, path: str, state: tuple) -> None:
+    """Add a row to the manifest: one file, which is there as a whole or not at all."""
+    row = spark.createDataFrame([state], _MANIFEST).coalesce(1)
+    row.write.mode("append").parquet(f"{path}/manifest")
