@@ -541,8 +541,11 @@ changed AS (SELECT DISTINCT DEAL_NR, DEAL_CHNG_SEQ FROM ({DELTA})),
 delta_fact AS (SELECT * FROM fact SEMI JOIN changed USING (DEAL_NR, DEAL_CHNG_SEQ)),
 routes AS (SELECT DISTINCT polCode, podCode FROM delta_fact),
 weeks AS (SELECT DISTINCT polCode, podCode, baseYearWeek FROM delta_fact),
-in_routes AS (SELECT * FROM fact SEMI JOIN routes USING (polCode, podCode)),
-in_weeks AS (SELECT * FROM fact SEMI JOIN weeks USING (polCode, podCode, baseYearWeek))"""
+in_routes AS (SELECT * FROM fact f SEMI JOIN routes r ON f.polCode IS NOT DISTINCT FROM r.polCode
+              AND f.podCode IS NOT DISTINCT FROM r.podCode),
+in_weeks AS (SELECT * FROM fact f SEMI JOIN weeks w ON f.polCode IS NOT DISTINCT FROM w.polCode
+             AND f.podCode IS NOT DISTINCT FROM w.podCode
+             AND f.baseYearWeek IS NOT DISTINCT FROM w.baseYearWeek)"""
 
 METRICS = """
 SELECT 'newDeals' AS metric, count(DISTINCT DEAL_NR) AS n FROM ftr_deal
@@ -582,12 +585,12 @@ def statements() -> dict[str, str]:
     week_keys = f"{ROUTE_NAMES}, baseYearWeek"
     book_keys = (
         "marketTypeCode, offerTypeCode, baseYearWeek, paymentTermCode, rdTermCode, "
-        "containerTypeCode, polCode, podCode, 0 AS page"
+        "containerTypeCode, polCode, podCode, CAST(substr(tradeOfferNumber, 2, 6) AS INTEGER) AS page"
     )
     previous_week = f"lag(close, 1, 0) OVER (PARTITION BY {TERMS} ORDER BY baseYearWeek)"
     return {
         "stats_raw": f"{deals} SELECT * FROM fact",
-        "stats_raw_carrier_set": f"""{deals}
+        "stats_raw_carrier_set": f"""{changed}
 SELECT d.DEAL_NR, d.DEAL_CHNG_SEQ, l.BSE_YW, d.DEAL_DT, d.offerTypeCode AS OFER_TP_CD,
        c.carrierItem, r.polCode, r.podCode, l.DEAL_AMT, l.DEAL_PRCE, l.DEAL_QTY,
        l.DEAL_PRCE AS OFER_PRCE,
@@ -602,7 +605,8 @@ LEFT JOIN (SELECT DEAL_NR, DEAL_CHNG_SEQ,
                              ORDER BY carrierCode) AS carrierItem
            FROM ftr_cryr LEFT JOIN mdm_cryr USING (carrierCode) GROUP BY DEAL_NR, DEAL_CHNG_SEQ) c
   USING (DEAL_NR, DEAL_CHNG_SEQ)
-WHERE d.offerTypeCode = 'S'""",
+WHERE d.offerTypeCode = 'S'
+  AND (DEAL_NR, DEAL_CHNG_SEQ) IN (SELECT (DEAL_NR, DEAL_CHNG_SEQ) FROM changed)""",
         "mw_sum_flat": f"{deals} {_sum_select('fact', '0')}",
         "mw_sum_wow": f"{deals} {_sum_select('fact', previous_week)}",
         "mw_sum_cells": deals
@@ -645,10 +649,10 @@ FROM summary s
 LEFT JOIN cryr c ON c.OFER_NR = s.offerNumber AND c.OFER_CHNG_SEQ = s.offerChangeSeq
 LEFT JOIN rtcnt USING (offerNumber, offerChangeSeq)""",
         "offer_summary_cells": f"""{offers}
-SELECT userId, offerTypeCode, 0 AS page, CAST(count(*) AS INTEGER) AS cells,
-       CAST(count(*) FILTER (offerStatus = '0') AS INTEGER) AS openCells,
+SELECT userId, offerTypeCode, CAST(substr(offerNumber, 2, 6) AS INTEGER) AS page,
+       CAST(count(*) AS INTEGER) AS cells, CAST(count(*) FILTER (offerStatus = '0') AS INTEGER) AS openCells,
        CAST(sum(lineCount) AS INTEGER) AS lineItems, max(eventTimestamp) AS lastEvent
-FROM summary GROUP BY userId, offerTypeCode""",
+FROM summary GROUP BY ALL""",
         "offer_week_detail": f"{offers} {WEEK_DETAIL}",
         "offer_week_list": f"{offers}{_week_list()}",
         "offer_route_list": f"{offers} {ROUTE_LIST}",
@@ -669,6 +673,8 @@ SELECT count(*) FILTER (maxId > processedId) AS advancedTables,
         "cdc_metrics": f"{changed} {METRICS}",
         "upsert_by_key": f"{deals} {_sum_select('fact', '0')}",
         "json_payload": f"{deals} {_json_documents()}",
+        "sample_json": f"""{deals} {_json_documents()}
+HAVING CAST('0x' || substr(md5(concat_ws('|', {ROUTE_NAMES})), 1, 8) AS BIGINT) < 429496729""",
         "topic_name": f"""{deals}
 SELECT DISTINCT DEAL_NR, '/topic/01_01_01_' || polCode || '_' || podCode || '_01' AS topic
 FROM rte""",

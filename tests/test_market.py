@@ -4,7 +4,7 @@ from pyspark.sql import Window, functions as F
 
 from tests.frames import deal_tables, rows, time
 from tidelane.operators import market
-from tidelane.operators.fact import stats_raw, stats_raw_carrier_set, trade_fact
+from tidelane.operators.fact import DEAL, stats_raw, stats_raw_carrier_set, trade_fact
 from tidelane.operators.nest import flatten
 
 NOW = "202010"
@@ -157,10 +157,11 @@ def test_carrier_master_argument(spark):
 
 def test_carrier_set(spark):
     tables = deal_tables(spark, THREE[:1], ["C2", "C1", "C9"])
-    old = stats_raw(tables)
-    folded = stats_raw_carrier_set(old, tables, tables)
+    folded = stats_raw_carrier_set(tables)
     [(items,)] = rows(folded, "carrierItem")
     assert [tuple(i) for i in items] == [("C1", "One"), ("C2", "Two"), ("C9", None)]
     without = {**tables, "FTR_DEAL_CRYR": tables["FTR_DEAL_CRYR"].limit(0)}
-    assert stats_raw_carrier_set(old, tables, without) is old
-    assert stats_raw_carrier_set(old, tables, {}) is old
+    deals = tables["FTR_DEAL"].select(*DEAL)
+    assert rows(stats_raw_carrier_set(without, deals), "carrierItem") == [(None,)]
+    assert stats_raw_carrier_set(tables, deals.limit(0)).schema == folded.schema
+    assert stats_raw_carrier_set(tables, deals.limit(0)).count() == 0

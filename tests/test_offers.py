@@ -101,15 +101,13 @@ def test_summary_refers_to_deal_or_offer(spark):
 
 
 def test_summary_pages_lose_nothing(spark):
-    numbers = ["F" + time("20200101", n) for n in range(40)]
+    numbers = ["F" + time(day, n) for day in ("20200101", "20200201") for n in range(20)]
     tables = offer_tables(
         spark, [offer(number=n) for n in numbers], [line("202012", 5, number=n) for n in numbers]
     )
-    whole = offers.offer_summary(tables, NOW)
-    paged = offers.offer_summary(tables, NOW, page_rows=8)
-    assert rows(whole, "page") == [(0,)]
-    assert paged.count() > 1
-    assert rows(flatten(paged, "cell"), "offerNumber") == rows(flatten(whole, "cell"), "offerNumber")
+    paged = offers.offer_summary(tables, NOW)
+    assert rows(paged, "page") == [(202001,), (202002,)]
+    assert rows(flatten(paged, "cell"), "offerNumber") == [(n,) for n in numbers]
 
 
 def test_latest_version_per_week(spark):

@@ -31,6 +31,15 @@ def null_safe_join(
     return left.select("*", key).join(right.select(key, "*").drop(*keys), "__key", how).drop("__key")
 
 
+def sampled(rows: DataFrame, keys: Iterable[str], fraction: float) -> DataFrame:
+    """About ``fraction`` of the rows, picked by a hash of their ``keys``.
+
+    The same rows come at any partitioning, and rows with equal keys together.
+    """
+    hashed = F.conv(F.substring(F.md5(F.concat_ws("|", *keys)), 1, 8), 16, 10).cast("long")
+    return rows.filter(hashed < int(fraction * 16**8))
+
+
 def cleaned(text: Column) -> Column:
     """Drop everything but letters, digits, underscore and hyphen."""
     return F.regexp_replace(text, "[^a-zA-Z0-9_-]", "")

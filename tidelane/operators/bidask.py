@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelane.functions.values import mean
 from tidelane.operators.fact import DISCHARGE, LOADING, OFFER, Tables
-from tidelane.operators.nest import PAGE_ROWS, nest_pages
+from tidelane.operators.nest import nest_pages
 
 BOOK_KEYS = [
     "marketTypeCode", "offerTypeCode", "baseYearWeek", "paymentTermCode", "rdTermCode",
@@ -63,10 +63,9 @@ def mw_bidask_rows(tables: Tables) -> DataFrame:
     )
 
 
-def mw_bidask(tables: Tables, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Documents of ``mw_bidask_rows``: per route, week and terms, a cell per offer."""
-    rows = mw_bidask_rows(tables)
-    return nest_pages(rows, BOOK_KEYS, BOOK_CELL, "tradeOfferNumber", page_rows=page_rows)
+def mw_bidask(tables: Tables) -> DataFrame:
+    """Documents of ``mw_bidask_rows``: per route, week, terms and month of offer, a cell per offer."""
+    return nest_pages(mw_bidask_rows(tables), BOOK_KEYS, BOOK_CELL, "tradeOfferNumber")
 
 
 def _latest_offers(offers: DataFrame) -> DataFrame:

@@ -110,18 +110,17 @@ def update_metrics(changed_deal_rows: DataFrame, fact: DataFrame) -> DataFrame:
 
 def mw_sum_incr(tables: Tables, topics: DataFrame, current_week: str) -> DataFrame:
     """Weekly summary of the touched routes, from the current tables."""
-    return market.mw_sum(trade_fact(tables, topics=topics), current_week)
+    return market.mw_sum(trade_fact(tables, topics=topics, null_keys=True), current_week)
 
 
 def mw_hst_incr(tables: Tables, topics: DataFrame) -> DataFrame:
     """Deal history of the touched routes and weeks, from the current tables."""
-    return market.mw_hst(trade_fact(tables, topics=topics))
+    return market.mw_hst(trade_fact(tables, topics=topics, null_keys=True))
 
 
 def mw_wkdetail_incr(tables: Tables, topics: DataFrame) -> DataFrame:
-    """Resampled OHLC of the touched routes and weeks, latest interval name first."""
-    detail = market.mw_wkdetail(trade_fact(tables, topics=topics))
-    return detail.orderBy(F.col("interval").desc())
+    """Resampled OHLC of the touched routes and weeks, from the current tables."""
+    return market.mw_wkdetail(trade_fact(tables, topics=topics, null_keys=True))
 
 
 def upsert_by_key(

@@ -91,29 +91,23 @@ def restrict(rows: DataFrame, topics: DataFrame, null_keys: bool = False) -> Dat
     return rows.join(topics, topics.columns, "left_semi")
 
 
-def stats_raw_carrier_set(fact: DataFrame, tables: Tables, changed: Tables) -> DataFrame:
-    """Fact of the changed rows with the carriers of a deal as one sorted set.
+def stats_raw_carrier_set(tables: Tables, deals: DataFrame | None = None) -> DataFrame:
+    """Selling deals with their routes and week lines, carriers as one sorted set.
 
-    Returns ``fact`` unchanged when deals, carriers, routes or lines have no
-    changed row.
+    ``deals`` keeps only the deal versions it lists, such as those with a
+    changed row in some table; they are joined with the current tables.
     """
-    watched = ["FTR_DEAL", "FTR_DEAL_CRYR", "FTR_DEAL_RTE", "FTR_DEAL_LINE_ITEM"]
-    if any(name not in changed for name in watched):
-        return fact
-    deals = changed["FTR_DEAL"].filter(F.col("OFER_TP_CD") == SELL)
-    if deals.isEmpty() or any(changed[name].isEmpty() for name in watched[1:]):
-        return fact
+    headers = tables["FTR_DEAL"].filter(F.col("OFER_TP_CD") == SELL)
+    if deals is not None:
+        headers = headers.join(deals, DEAL, "left_semi")
     amounts = ["DEAL_AMT", "DEAL_PRCE", "DEAL_QTY", "OFER_PRCE", "OFER_QTY", "OFER_REMN_QTY"]
+    names = carrier_names(tables["MDM_CRYR"])
     return (
-        deals.select(*DEAL, "DEAL_DT", "OFER_TP_CD")
+        headers.select(*DEAL, "DEAL_DT", "OFER_TP_CD")
         .distinct()
-        .join(week_lines(changed["FTR_DEAL_LINE_ITEM"], DEAL, amounts), DEAL, "left")
-        .join(deal_routes(changed["FTR_DEAL_RTE"]), DEAL, "left")
-        .join(
-            carrier_sets(changed["FTR_DEAL_CRYR"], carrier_names(tables["MDM_CRYR"]), DEAL),
-            DEAL,
-            "left",
-        )
+        .join(week_lines(tables["FTR_DEAL_LINE_ITEM"], DEAL, amounts), DEAL, "left")
+        .join(deal_routes(tables["FTR_DEAL_RTE"]), DEAL, "left")
+        .join(carrier_sets(tables["FTR_DEAL_CRYR"], names, DEAL), DEAL, "left")
         .select(*DEAL, "BSE_YW", "DEAL_DT", "OFER_TP_CD", "carrierItem", *ROUTE, *amounts)
     )
 

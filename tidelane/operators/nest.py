@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelane.functions.values import null_safe_join
-
 # A document array stays well below the size limit of one row.
 PAGE_ROWS = 100_000
 
@@ -27,36 +25,18 @@ def nest(
 
 
 def nest_pages(
-    rows: DataFrame,
-    keys: list[str],
-    fields: list[str],
-    spread: str,
-    cell: str = "Cell",
-    page_rows: int = PAGE_ROWS,
+    rows: DataFrame, keys: list[str], fields: list[str], number: str, cell: str = "Cell"
 ) -> DataFrame:
-    """``nest`` for groups of any size: a document is split into pages.
+    """``nest`` with a document per month of the offer numbers in the column ``number``.
 
-    A group of at most ``page_rows`` rows gives one document with ``page`` 0,
-    as ``nest`` does.  A larger one gives several, its rows spread by a hash of
-    ``spread``; no row is left out.
+    The page is read off the row itself, so the layout of a group does not depend on its size.
     """
-    return nest(paged(rows, keys, spread, page_rows), [*keys, "page"], fields, cell)
-
+    return nest(rows.withColumn("page", month_page(F.col(number))), [*keys, "page"], fields, cell)
 
-def paged(rows: DataFrame, keys: list[str], spread: str, page_rows: int) -> DataFrame:
-    """Add ``page``, 0 throughout unless the group has more than ``page_rows`` rows.
 
-    The oversize groups are counted first (partial counts per task).  When
-    there are none, adaptive execution drops the join altogether; when there
-    are, the large side is the preserved one, which it can split.
-    """
-    sizes = rows.groupBy(*keys).count().filter(F.col("count") > page_rows)
-    oversize = sizes.select(
-        *keys, F.ceil(F.col("count") * 2 / F.lit(page_rows)).alias("__pages")
-    )
-    joined = null_safe_join(rows, oversize, keys, "left")
-    page = F.pmod(F.xxhash64(spread), F.col("__pages"))
-    return joined.withColumn("page", F.coalesce(page, F.lit(0)).cast("int")).drop("__pages")
+def month_page(offer_number: Column) -> Column:
+    """Year and month that an offer number starts with after its letter, or 0."""
+    return F.coalesce(F.substring(offer_number, 2, 6).try_cast("int"), F.lit(0))
 
 
 def flatten(documents: DataFrame, cell: str = "Cell") -> DataFrame:

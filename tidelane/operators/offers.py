@@ -21,7 +21,7 @@ from tidelane.operators.fact import (
     offer_routes,
     week_lines,
 )
-from tidelane.operators.nest import PAGE_ROWS, nest, paged
+from tidelane.operators.nest import nest, nest_pages
 
 VERSION = ["offerNumber", "offerChangeSeq"]
 USER = ["userId", "offerTypeCode"]
@@ -56,13 +56,15 @@ SHUT = "1"
 def restricted(
     tables: Tables, users: DataFrame | None = None, offers: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Offer tables cut to the offers of ``users`` (``EMP_NR``) or to ``offers`` (``OFER_NR``)."""
+    """Offer tables cut to the offers of ``users`` (``EMP_NR``) or to ``offers`` (``OFER_NR``).
+
+    An offer stays whole, with versions and deals that other users entered; keep the wanted users
+    after the job.
+    """
     cut = dict(tables)
     if users is not None:
-        cut["FTR_OFER"] = cut["FTR_OFER"].join(users, "EMP_NR", "left_semi")
-        if "FTR_DEAL" in cut:
-            cut["FTR_DEAL"] = cut["FTR_DEAL"].join(users, "EMP_NR", "left_semi")
-        offers = cut["FTR_OFER"].select("OFER_NR").distinct()
+        owned = cut["FTR_OFER"].join(users, "EMP_NR", "left_semi")
+        offers = owned.select("OFER_NR").distinct()
     if offers is not None:
         for name, table in cut.items():
             if "OFER_NR" in table.columns:
@@ -86,18 +88,16 @@ def next_version_deals(deals: DataFrame) -> DataFrame:
     )
 
 
-def latest_version(tables: Tables, headers: DataFrame | None = None) -> DataFrame:
+def latest_version(tables: Tables) -> DataFrame:
     """For each offer and week, the line of the highest version.
 
-    ``headers`` stands in for the offers' own headers and may add columns.
-
     The rank filter drops all but one row per offer and week in each map task,
     before the shuffle.
     """
     order = [F.col("OFER_CHNG_SEQ").desc(), *AMOUNTS, "EMP_NR", "OFER_TP_CD", "ALL_YN"]
     newest = Window.partitionBy("OFER_NR", "BSE_YW").orderBy(*order)
     return (
-        (offer_headers(tables["FTR_OFER"]) if headers is None else headers)
+        offer_headers(tables["FTR_OFER"])
         .join(week_lines(tables["FTR_OFER_LINE_ITEM"], OFFER, AMOUNTS), OFFER, "left")
         .withColumn("nth", F.row_number().over(newest))
         .filter(F.col("nth") == 1)
@@ -128,38 +128,24 @@ def route_counts(tables: Tables) -> DataFrame:
     )
 
 
-def summary_rows(
-    tables: Tables, current_week: str, page_rows: int | None = None
-) -> DataFrame:
-    """One row per offer version still current in some week: lines, status, routes, carriers.
-
-    With ``page_rows``, ``page`` spreads the offers of a user and side over
-    pages of about that many rows.  The offer headers, which are narrow and at
-    least as many, decide it before anything is joined to them.
-    """
-    headers = offer_headers(tables["FTR_OFER"])
-    if page_rows is not None:
-        headers = paged(headers, ["EMP_NR", "OFER_TP_CD"], "OFER_NR", page_rows)
-    page = [] if page_rows is None else ["page"]
+def summary_rows(tables: Tables, current_week: str) -> DataFrame:
+    """One row per offer version still current in some week: lines, status, routes, carriers."""
     return (
-        _line_items(tables, current_week, headers, page)
+        _line_items(tables, current_week)
         .join(_named_versions(offer_carriers(tables)), VERSION, "left")
         .join(route_counts(tables), VERSION, "left")
-        .select(*USER, *page, *SUMMARY_CELL)
+        .select(*USER, *SUMMARY_CELL)
     )
 
 
-def _line_items(
-    tables: Tables, current_week: str, headers: DataFrame, page: list[str]
-) -> DataFrame:
+def _line_items(tables: Tables, current_week: str) -> DataFrame:
     left_amount = F.when(
         F.col("OFER_REMN_QTY") != 0, F.col("OFER_REMN_QTY") * F.col("OFER_PRCE")
     ).otherwise(F.lit(0))
     lines = (
-        latest_version(tables, headers)
+        latest_version(tables)
         .join(next_version_deals(tables["FTR_DEAL"]), OFFER, "left")
         .select(
-            *page,
             F.col("EMP_NR").alias("userId"),
             F.col("OFER_TP_CD").alias("offerTypeCode"),
             F.col("OFER_NR").alias("offerNumber"),
@@ -178,7 +164,7 @@ def _line_items(
             F.coalesce("DEAL_CHNG_SEQ", "OFER_CHNG_SEQ").alias("lineReferenceEventChangeSeq"),
         )
     )
-    items = lines.groupBy(*USER, *page, *VERSION, "allYn").agg(
+    items = lines.groupBy(*USER, *VERSION, "allYn").agg(
         F.sort_array(F.collect_set(F.struct(*LINE_ITEM))).alias("lineItem"),
         F.max("lineEventTimestamp").alias("eventTimestamp"),
         F.max("lineReferenceEventNumber").alias("referenceEventNumber"),
@@ -193,10 +179,9 @@ def _line_items(
     return items.withColumn("offerStatus", F.when(open_now, OPEN).otherwise(SHUT))
 
 
-def offer_summary(tables: Tables, current_week: str, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Documents of ``summary_rows``: per user and side, a cell per offer version."""
-    rows = summary_rows(tables, current_week, page_rows)
-    return nest(rows, [*USER, "page"], SUMMARY_CELL, "cell")
+def offer_summary(tables: Tables, current_week: str) -> DataFrame:
+    """Documents of ``summary_rows``: per user, side and month of offer, a cell per offer version."""
+    return nest_pages(summary_rows(tables, current_week), USER, SUMMARY_CELL, "offerNumber", "cell")
 
 
 def week_detail_rows(tables: Tables) -> DataFrame:

@@ -51,7 +51,8 @@ def refresh_users(
     """Recompute and replace the documents of ``users`` (``EMP_NR``)."""
     replaced = users.withColumnRenamed("EMP_NR", "userId").select("userId").distinct()
     for name, frame in by_user(restricted(tables, users=users), current_week).items():
-        replace_keyed(spark, f"{root}/{name}", frame, replaced, buckets)
+        wanted = frame.join(replaced, "userId", "left_semi")
+        replace_keyed(spark, f"{root}/{name}", wanted, replaced, buckets)
 
 
 def refresh_offers(

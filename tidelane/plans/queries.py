@@ -11,7 +11,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidelane.functions.values import MONEY, TOTAL, topic_name
+from tidelane.functions.values import MONEY, TOTAL, sampled, topic_name
 from tidelane.operators import bidask, changes, events, fact, index, market, offers
 from tidelane.operators.nest import joined_field
 from tidelane.sources.bindings import deal_tables, index_rows, offer_tables
@@ -97,8 +97,9 @@ def stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stats_raw_carrier_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = deal_tables(spark, sf_dir)
-    folded = fact.stats_raw_carrier_set(fact.stats_raw(tables), tables, tables)
+    """Deals of the top hundredth of the ids of any table."""
+    tables, changed = _delta(spark, sf_dir)
+    folded = fact.stats_raw_carrier_set(tables, changes.changed_deals(changed))
     return folded.withColumn("carrierItem", listed("carrierItem", "carrierCode", "carrierName"))
 
 
@@ -314,7 +315,9 @@ def cdc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mw_sum_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, topics = deal_tables(spark, sf_dir), cdc_topics_mw(spark, sf_dir)
-    recomputed = market.mw_sum_rows(fact.trade_fact(tables, topics=topics), CURRENT_WEEK)
+    recomputed = market.mw_sum_rows(
+        fact.trade_fact(tables, topics=topics, null_keys=True), CURRENT_WEEK
+    )
     return _sum_output(recomputed)
 
 
@@ -360,7 +363,7 @@ def topic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = market.mw_sum(_fact(spark, sf_dir), CURRENT_WEEK)
-    return json_documents(documents.sample(0.1, seed=42))
+    return json_documents(sampled(documents, market.ROUTE_KEYS, 0.1))
 
 
 # -- shared ------------------------------------------------------------------
