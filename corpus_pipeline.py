@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelane.llm import line_runs, mixing, ngram_join, packing, quality
 from tidelane.llm.common import stored
-from tidelane.llm.queries import CLASSES, tokenizer
+from tidelane.llm.queries import BUDGET, CLASSES, tokenizer
 
 #: No SQL can say the first, fourth and fifth stage; tests hold each against a plain version.
 ORACLE_SQL = None
@@ -34,8 +34,8 @@ def one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics have their target shares of tokens."""
-    return mixing.mix(docs, classes=CLASSES).filter("sampled").select(*docs.columns)
+    """Documents drawn so that sources, languages and topics have their target shares of 0.8 of the tokens."""
+    return mixing.mix(docs, classes=CLASSES, budget=BUDGET).filter("sampled").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

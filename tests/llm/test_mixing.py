@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 
-from tidelane.llm.mixing import TOPICS, mix, profiled, rake, tempered
+from tidelane.llm.mixing import TOPICS, mix, profiled, rake, reachable, tempered
 
 
 def test_raking_meets_all_margins():
@@ -38,6 +38,23 @@ def test_documents_follow_targets(spark):
     assert all(r.weight == pytest.approx(1 / r.probability) for r in got)
 
 
+def test_scarce_classes_do_not_bound_what_is_drawn(spark):
+    for size in (1000, 4000):
+        rows = [(i, "go " * 8 if i < 3 else "abc " * 8 if i % 2 else "xyz " * 8, f"s{i % 2}" if i % 50 else f"rare{i}", "en") for i in range(size)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+        got = mix(frame, classes={"source": 2, "lang": ["en", "de"], "topic": list(TOPICS)}, budget=0.8).collect()
+        assert sum(r.probability * r.n_tokens for r in got) == pytest.approx(0.8 * 8 * size, rel=1e-3)
+        assert all(r.probability == pytest.approx(1, abs=1e-3) for r in got if r.topic == "g-m")
+        for value, share in (("s0", 0.48), ("s1", 0.5), ("rare", 0.02)):
+            drawn = sum(r.probability * r.n_tokens for r in got if r.source.startswith(value))
+            assert drawn == pytest.approx(share * 0.8 * 8 * size, rel=0.01)
+
+
+def test_targets_of_scarce_classes_pass_to_others():
+    assert reachable(np.array([0.5, 0.25, 0.25, 0.0]), np.array([10, 500, 500, 9]), 500.0).tolist() == [10, 245, 245, 0]
+    assert reachable(np.array([0.5, 0.5]), np.array([3, 4]), 7.0).tolist() == [3, 4]
+
+
 def test_profile_equals_plain_count(spark):
     texts = ["Apple bee zoo", "9 -- x", "", None, "\u00e9t\u00e9 \t\nq", "no no a A", "w" * 3_000_000 + " b"]
     frame = spark.createDataFrame([(i, t, "mine") for i, t in enumerate(texts)], "doc_id long, text string, topic string")

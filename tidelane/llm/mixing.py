@@ -2,6 +2,8 @@
 
 Tokens are added up by cells of source, language and topic. Only classes that have a target are
 told apart, the others are one class, so cells are as many as the targets allow, whatever the data.
+What is drawn in all is a fixed share of the tokens: a class too scarce for its target is drawn
+whole, and the others make up for what it lacks.
 Raking scales the cells' sampling probabilities by one margin after the other until the expected
 tokens of every class are on target, with no probability above 1. Each document is then drawn by a
 hash of its id.
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidelane.llm.common import text_blocks, word_bounds
+from tidelane.llm.common import stored, text_blocks, word_bounds
 
 OTHER = "other"
 #: Topics told apart by which letters begin most words (the earlier one in a tie).
@@ -108,25 +110,57 @@ def tempered(tokens: dict[str, float], power: float) -> Margin:
     return shares | ({OTHER: other} if other else {})
 
 
+def reachable(share: np.ndarray, own: np.ndarray, drawn: float) -> np.ndarray:
+    """Targets by ``share`` that add up to ``drawn`` where no class has more than its ``own`` tokens.
+
+    What a scarce class lacks goes to the others in proportion to their shares.
+    """
+    target, open_ = np.zeros(len(own)), share > 0
+    while open_.any():
+        wish = share * (max(drawn - target.sum(), 0.0) / share[open_].sum())
+        scarce = open_ & (wish >= own)
+        if not scarce.any():
+            return np.where(open_, wish, target)
+        target, open_ = np.where(scarce, own, target), open_ & ~scarce
+    return target
+
+
 def mix(
-    docs: DataFrame, margins: dict[str, Margin] | None = None, *, classes: dict[str, list[str]] | None = None, power: float = 0.8,
-    budget: float | None = None, seed: int = 17, id_col: str = "doc_id",
+    docs: DataFrame, margins: dict[str, Margin] | None = None, *, classes: dict[str, list[str] | int] | None = None, power: float = 0.8,
+    budget: float = 0.8, seed: int = 17, id_col: str = "doc_id",
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``topic``, ``probability``, ``weight`` (its inverse) and ``sampled``.
 
     ``margins`` has the target share of each class of ``source``, ``lang`` and ``topic``; values
     without a target, and nulls, share what is left to 1 as ``other``. Without ``margins``, the
-    ``classes`` named (others are one) get shares by ``tempered`` of their tokens. ``budget`` is
-    the share of all tokens to draw; without it, it is the most for which every class has tokens
-    enough. Classes without any tokens pass their share on to the others. A document without
-    words is drawn like those of its cell; a cell without tokens is drawn whole, as it weighs nothing.
+    ``classes`` named (a number: so many with the most tokens; others are one) get shares by
+    ``tempered`` of their tokens. ``budget`` is the share of all tokens to draw, less where classes
+    with a share above 0 have not that many. A class with fewer tokens than its target is drawn
+    whole and the rest of its target is spread over the others (``reachable``), so that no scarce
+    class bounds what is drawn. A document without words is drawn like those of its cell; a cell
+    without tokens is drawn whole, as it weighs nothing.
     Rows with one id are drawn together, as are those with a null id. An empty table gives no rows.
     Columns named like the added ones are replaced; other columns stay.
     """
     docs = profiled(docs.drop("n_tokens", "topic", "probability", "weight", "sampled"))
-    names = list(margins or classes or {})
-    keys = {f"_c_{name}": class_of(F.col(name), margins[name] if margins else dict.fromkeys(classes[name], 0.0)) for name in names}
-    rows = docs.groupBy(*[v.alias(k) for k, v in keys.items()]).agg(F.sum("n_tokens").alias("tokens")).collect()
+    classes = dict(classes or {})
+    names = list(margins or classes)
+    heavy = [] if margins else [name for name in names if isinstance(classes[name], int)]
+
+    def key_of(name: str, column: Column) -> Column:
+        return class_of(column, margins[name] if margins else dict.fromkeys(classes[name], 0.0))
+
+    first = {name: F.col(name).cast("string") if name in heavy else key_of(name, F.col(name)) for name in names}
+    cells = docs.groupBy(*[v.alias(f"_c_{name}") for name, v in first.items()]).agg(F.sum("n_tokens").alias("tokens"))
+    if heavy:
+        cells = stored(cells, "mix-cells")
+        for name in heavy:
+            key = F.col(f"_c_{name}")
+            most = cells.filter(key != OTHER).groupBy(key).agg(F.sum("tokens").alias("tokens")).sort(F.desc("tokens"), key)
+            classes[name] = [r[0] for r in most.limit(classes[name]).collect()]
+        cells = cells.groupBy(*[key_of(name, F.col(f"_c_{name}")).alias(f"_c_{name}") for name in names]).agg(F.sum("tokens").alias("tokens"))
+    rows = cells.collect()
+    keys = {f"_c_{name}": key_of(name, F.col(name)) for name in names}
     axes = [sorted({r[k] for r in rows}) for k in keys]
     tokens = np.zeros([len(a) for a in axes], np.int64)
     for r in rows:
@@ -138,9 +172,8 @@ def mix(
         share = np.array([margin.get(x, max(0.0, 1 - sum(margin.values())) if x == OTHER else 0.0) for x in labels])
         share = np.where(own > 0, share, 0.0)
         shares.append((share / share.sum() if share.sum() else share, own))
-    most = min((float(o) / s for share, own in shares for s, o in zip(share, own, strict=True) if s > 0), default=0.0)
-    drawn = float(budget) * float(tokens.sum()) if budget is not None else min(most, float(tokens.sum()))
-    p = rake(tokens, [share * drawn for share, _ in shares]) if tokens.size else tokens
+    drawn = min([float(budget) * float(tokens.sum()), *(float(own[share > 0].sum()) for share, own in shares)])
+    p = rake(tokens, [reachable(share, own, drawn) for share, own in shares]) if tokens.size else tokens
     p = np.where(tokens > 0, p, 1.0)
     chance = F.lit(1.0)
     if tokens.size:

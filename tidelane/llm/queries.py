@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidelane.llm import fingerprints, line_runs, mixing, ngram_join, packing, pii, quality, topk, url_filter, warc
 from tidelane.llm.common import shared_path
 
-CLASSES = {"source": [f"src{i}" for i in range(20)], "lang": ["en", "de", "fr", "es"], "topic": list(mixing.TOPICS)}
+#: Sources are told apart by their tokens, the 20 heaviest; BUDGET is the share of all tokens that a mixture draws.
+CLASSES = {"source": 20, "lang": ["en", "de", "fr", "es"], "topic": list(mixing.TOPICS)}
+BUDGET = 0.8
 RULES = [
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
 ]
@@ -27,7 +29,7 @@ def tokenizer() -> str:
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's sampling probability, and whether it was drawn."""
-    drawn = mixing.mix(_table(spark, sf_dir, "documents"), classes=CLASSES)
+    drawn = mixing.mix(_table(spark, sf_dir, "documents"), classes=CLASSES, budget=BUDGET)
     return drawn.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "weight", "sampled")
 
 
