@@ -43,6 +43,13 @@ def test_edges(spark):
     assert top_k(empty, empty).collect() == []
 
 
+def test_repeated_rows_of_a_query_take_no_place(spark):
+    rows = [(0, [9, 9])] * 6 + [(i, [i % 7, 1]) for i in range(1, 30)]
+    frame = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    got = top_k(frame, frame.filter("vec_id = 0"), k=10).collect()
+    assert sorted(tuple(r) for r in got) == plain(rows, [rows[0]], 10)
+
+
 def test_whole_numbers(spark):
     rows = [([0.5, -0.0001],), ([float("nan")],), ([float("inf")],), ([None],), (None,), ([],)]
     got = spark.createDataFrame(rows, "x array<float>").select(whole_numbers(F.col("x"))).collect()

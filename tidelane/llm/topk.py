@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 #: Vectors in a tile and in a block of queries.
 TILE, BLOCK = 4096, 1024
 _SAFE = 1 << 52
+_LOWEST = np.iinfo(np.int64).min
 
 
 def _matrices(frame: DataFrame, rows: int) -> DataFrame:
@@ -98,8 +99,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
                 vec, x = _read(tile_ids, tile, dim.as_py())
                 query, q = _read(ids, values, dim.as_py())
                 score = product(q, x) if dim.as_py() else np.zeros((len(query), len(vec)), np.int64)
-                most = min(k + 1, len(vec))
-                # The (k + 1)-th highest of a query and all that tie with it: its own row may be among the first.
+                # A query's own rows, however many, come last before the selection, so that they take no place in it.
+                score[query[:, None] == vec] = _LOWEST
+                most = min(k, len(vec))
+                # The k-th highest of a query and all that tie with it.
                 least = np.partition(score, len(vec) - most, axis=1)[:, len(vec) - most]
                 row, column = np.nonzero(score >= least[:, None])
                 part = query[row], vec[column], score[row, column]
