@@ -45,5 +45,24 @@ def test_account_codes_and_context(spark):
     assert got[3]["card"].score == 1.0 and got[4]["card"].score == 0.8
 
 
+def test_account_codes_amid_capitals_digits_and_codes(spark):
+    german, british, none = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "XX1234567890123"
+    rest = 98 - int("".join(str(int(c, 36)) for c in "1234567890ABCZZ00")) % 97
+    unknown = f"ZZ{rest:02} 1234 5678 90AB C"
+    cases = [
+        f"{german} Please wait", f"{british} The", f"{german} AND", f"{british} 2024", f"{german} {british} {german}", f"{none} {german}",
+        f"AT12 {german} A", f"{german}9 x{german} {german}x", f"é😀 {british}, {british}.", unknown + " THEN 20", f"{german} 12345678901234567890 {british} X1",
+        f"AT12 {'AB12 CD34 ' * 2000}{german} A",
+    ]
+    wanted = [
+        [german], [british], [german], [british], [german, british, german], [german], [german], [], [british, british], [unknown],
+        [german, british], [german],
+    ]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")
+    for r in find_pii(frame).collect():
+        found = [(s.start, r.text[s.start : s.end]) for s in r.pii if s.kind == "iban"]
+        assert [code for _, code in found] == wanted[r.doc_id], r.text[:100]
+
+
 def test_empty(spark):
     assert find_pii(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -3,6 +3,8 @@
 All of it is DataFrame functions. ``split`` and ``regexp_extract_all`` cut a text by one pattern into
 gaps and matches in turn; their lengths give the places. Patterns are possessive and look behind
 only where that can't change a match, so that long runs of digits or letters take linear time.
+Account codes only have their starts proposed that way, each with all that may belong to it, as what
+follows a code may look like more of it; the country's length and the checksum find the end.
 """
 
 from __future__ import annotations
@@ -20,7 +22,18 @@ KINDS = {
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", ["ip", "host", "server", "address"]),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", None, ["card", "visa", "credit", "payment"]),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+", ["phone", "tel", "call", "mobile", "fax"]),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", None, ["iban", "account", "bank", "transfer"]),
+    "iban": (r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])))", None, ["iban", "account", "bank", "transfer"]),
+}
+#: Characters of an account code by country.
+CODE_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
 }
 BASE = ["email", "ip", "card", "phone"]
 #: Code points before a match in which context words count.
@@ -76,11 +89,7 @@ def _phone(match: Column) -> Column:
     return F.length(_digits(match)).between(8, 15)
 
 
-def _iban(match: Column) -> Column:
-    return mod97(F.replace(match, F.lit(" "), F.lit("")))
-
-
-CHECKS: dict[str, Callable[[Column], Column]] = {"email": _email, "ip": _ip, "card": _card, "phone": _phone, "iban": _iban}
+CHECKS: dict[str, Callable[[Column], Column]] = {"email": _email, "ip": _ip, "card": _card, "phone": _phone}
 #: Score of a span that passed its check, without and with a context word near before it.
 SCORES = {"email": (0.9, 1.0), "ip": (0.5, 0.9), "card": (0.8, 1.0), "phone": (0.6, 0.95), "iban": (0.9, 1.0)}
 
@@ -109,16 +118,63 @@ def spans_of(text: Column, kind: str) -> Column:
     return F.when(text.contains(needs), found).otherwise(none) if needs else found
 
 
+def code_of(proposed: Column) -> Column:
+    """The longest account code that ``proposed`` starts with and that ends before a blank or with it; null without one.
+
+    Its length is its country's, or 15 to 34 characters if that isn't known, and it passes mod-97.
+    """
+    groups = F.split(proposed, " ")
+    least, most = (F.coalesce(F.get(F.lit(list(CODE_LENGTHS.values())), F.array_position(F.lit(list(CODE_LENGTHS)), F.left(proposed, F.lit(2))).cast("int") - 1), F.lit(n)) for n in (15, 34))
+
+    def fits(code: Column) -> Column:
+        bare = F.replace(code, F.lit(" "), F.lit(""))
+        return F.when(F.length(bare).between(least, most), mod97(bare)).otherwise(False)
+
+    starts = F.transform(F.sequence(F.size(groups), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(groups, 1, n), " "))
+    return F.get(F.filter(starts, fits), F.lit(0))
+
+
+def code_spans_of(text: Column) -> Column:
+    """``spans_of`` account codes. No code begins inside the one before it."""
+    pattern, _, words = KINDS["iban"]
+    low, high = SCORES["iban"]
+    # A blank in front, as ``split`` leaves out an empty gap before an empty match at the start.
+    text = F.concat(F.lit(" "), text)
+    cut = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("proposed"))
+    cut = F.transform(cut, lambda x: F.struct(x["gap"].alias("gap"), x["proposed"].alias("proposed"), code_of(x["proposed"]).alias("code")))
+    near = rf"(?i)(?:{'|'.join(words)})"
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        before = F.right(F.concat(acc["before"], x["gap"]), F.lit(CONTEXT))
+        own = F.right(before, F.greatest(start - acc["end"], F.lit(0)).cast("int"))
+        score = F.when(own.rlike(near), high).otherwise(low)
+        end = start + F.length(x["code"])
+        span = F.struct(F.lit("iban").alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
+        found = x["code"].isNotNull() & (start >= acc["end"])
+        return F.struct(
+            start.alias("at"), F.when(found, end).otherwise(acc["end"]).alias("end"), before.alias("before"),
+            F.when(found, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+        )
+
+    # Places in the text as it was: the first gap has the blank in front.
+    start = F.struct(
+        F.lit(-1).cast("long").alias("at"), F.lit(0).cast("long").alias("end"), F.lit("").alias("before"), F.array().cast(_SPAN).alias("spans")
+    )
+    return F.aggregate(cut, start, step, lambda acc: acc["spans"])
+
+
 def find_pii(docs: DataFrame, *, text_col: str = "text", kinds: list[str] = list(KINDS)) -> DataFrame:  # noqa: B006
     """``docs`` with ``pii``: the spans of all kinds, by kind in the order given, then by start.
 
     A span's score says how sure it is: its kind's checksum or form alone, or also a context word
-    within ``CONTEXT`` code points before it, back to the last match of its kind. Null and empty
+    within ``CONTEXT`` code points before it, back to the last match (of account codes: the last code)
+    of its kind. Null and empty
     texts have no spans. Spans of different kinds may overlap. Every row and every other column
     stays as it is; a column named ``pii`` is replaced.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = {f"_pii_{kind}": spans_of(text, kind) for kind in kinds}
+    found = {f"_pii_{kind}": code_spans_of(text) if kind == "iban" else spans_of(text, kind) for kind in kinds}
     return docs.withColumns(found).withColumn("pii", F.concat(*[F.col(c) for c in found])).drop(*found)
 
 
