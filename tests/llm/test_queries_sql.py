@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(statements()))
 def test_query_matches_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark"):
         database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     frame = registry()[name](spark, str(DATA))
     expected = database.sql(statements()[name])

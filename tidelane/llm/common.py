@@ -69,15 +69,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def text_blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, UTF-8 bytes and offsets of runs of rows of about ``BLOCK_BYTES``; null is empty."""
+def text_blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, UTF-8 bytes and offsets of runs of rows of about ``size`` bytes; null is empty."""
     texts = texts.fill_null("").cast(pa.large_string())
     _, offsets, data = texts.buffers()
     bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     at = 0
     while at < len(texts):
-        end = int(np.searchsorted(bounds, bounds[at] + BLOCK_BYTES, "right")) - 1
+        end = int(np.searchsorted(bounds, bounds[at] + size, "right")) - 1
         end = min(max(end, at + 1), len(texts))
         yield at, data[bounds[at] : bounds[end]], bounds[at : end + 1] - bounds[at]
         at = end
@@ -102,10 +102,10 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return _usual_powers(base, 2 * BLOCK_BYTES) if n <= 2 * BLOCK_BYTES else _powers(base, n)
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end byte of every run of non-blanks; no word crosses a row's end."""
+def word_bounds(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end byte of every run of bytes outside ``space``; no word crosses a row's end."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~space[data]
     starts = inside[1:] & ~inside[:-1]
     ends = inside[:-1] & ~inside[1:]
     cut = bounds[1:-1]
@@ -116,16 +116,16 @@ def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(
-    data: np.ndarray, bounds: np.ndarray
+    data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE, lower: np.ndarray = _LOWER
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hash of each lower-cased (A-Z) word, first word of each row, starts and ends.
+    """64-bit hash of each word, its bytes taken by ``lower`` (A-Z to a-z), first word of each row, starts and ends.
 
     The hash is the word's polynomial modulo 2**64, taken from running sums, then mixed.
     """
-    starts, ends = word_bounds(data, bounds)
+    starts, ends = word_bounds(data, bounds, space)
     weights = _power_table(_BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * weights[: len(data)], out=sums[1:])
+    np.cumsum((lower[data].astype(np.uint64) + np.uint64(1)) * weights[: len(data)], out=sums[1:])
     back = _power_table(_BASE_INVERSE, len(data) + 1)
     hashes = mixed((sums[ends] - sums[starts]) * back[starts])
     return hashes, np.searchsorted(starts, bounds), starts, ends

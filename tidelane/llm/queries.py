@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidelane.llm import fingerprints, line_runs, mixing, ngram_join, packing, pii, quality, topk, url_filter, warc
+from tidelane.llm import (
+    decontaminate, fingerprints, line_runs, mixing, ngram_join, packing, periodic, pii, quality, topk, url_filter, warc, whitening,
+)
 from tidelane.llm.common import shared_path
 
 #: Sources are told apart by their tokens, the 20 heaviest; BUDGET is the share of all tokens that a mixture draws.
@@ -95,12 +97,69 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector along the 16 directions of most variance, scaled to variance one."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", whitening.grid(F.col("embedding")).alias("vector"))
+    found = whitening.whiten(vectors).withColumn("c", F.explode(F.arrays_zip("whitened", "explained", F.sequence(F.lit(1), F.size("whitened")).alias("component"))))
+    return found.select(
+        "vec_id", F.col("c.component").cast("int").alias("component"), "n", "deviation", F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"), "identity_error",
+    )
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that benchmark items hold in windows of 10, and those items."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"), drop="spans")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def _with_periods(doc_id: Column, text: Column) -> Column:
+    """The text, words of every tenth or so document (by crc32 of its id) repeated from a word on."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int")))), " ")
+
+    return F.when((h % 10 == 0) & (F.size(words) > 0), repeated(words)).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in each document, every tenth or so of which is made periodic, and it without repeats."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _with_periods(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.find_runs(docs)
+    less = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
+    order = lambda x, y: (
+        F.when(less(x, y) != 0, F.when(less(x, y) > 0, -1).otherwise(1))
+        .when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1))
+        .when(x["period"] != y["period"], F.when(x["period"] < y["period"], -1).otherwise(1)).otherwise(0)
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    sha = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"), sha(lines).alias("runs_sha256"),
+        sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_mix_sources, op2_fingerprints, op3_ngram_join, op4_top_k, op5_warc, op6_pii, op7_url_filter, op8_line_dedup,
-            op9_packing, op10_quality,
+            op9_packing, op10_quality, op11_whitening, op12_decontaminate, op13_periodic_runs,
         )
     }
 
@@ -150,6 +209,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
+DECONTAMINATE = r"""
+WITH b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), n AS (
+  SELECT item, w, least(len(w), 10) AS width FROM b WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item, width, array_to_string(w[k : k + width - 1], ' ') AS words
+  FROM (SELECT item, w, width, unnest(range(1, len(w) - width + 2)) AS k FROM n)
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), p AS (
+  SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), nexts AS (
+  SELECT rid, i, list(word) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS ws FROM p
+), spelled AS (
+  SELECT rid, i, width, array_to_string(ws[1 : width], ' ') AS words
+  FROM nexts, (SELECT DISTINCT width FROM windows) WHERE len(ws) >= width
+), hits AS (
+  SELECT rid, i, s.width, item FROM spelled s JOIN windows v ON s.words = v.words AND s.width = v.width
+), h AS (
+  SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(i, i + width)) AS place FROM hits) GROUP BY rid
+), t AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid
+)
+SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op4_top_k": TOP_K, "op5_warc": WARC, "op8_line_dedup": LINES}
+    return {"op4_top_k": TOP_K, "op5_warc": WARC, "op8_line_dedup": LINES, "op12_decontaminate": DECONTAMINATE}
