@@ -117,25 +117,24 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_periods(doc_id: Column, text: Column) -> Column:
-    """The text, words of every tenth or so document (by crc32 of its id) repeated from a word on."""
-    h = F.crc32(doc_id.cast("string"))
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """``docs``, words of every tenth or so text (by crc32 of the id) repeated from a word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
     g = F.floor(h / 10)
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-    def repeated(words: Column) -> Column:
-        n = F.size(words)
-        a = g % n
-        p = 1 + F.floor((n - a) / (3 + g % 8))
-        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int")))), " ")
-
-    return F.when((h % 10 == 0) & (F.size(words) > 0), repeated(words)).otherwise(text)
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size("words")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    repeated = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    # Columns of their own, so that the words are split once and not for each of them.
+    chosen = docs.withColumn("words", F.when(h % 10 == 0, split)).withColumns({"a": F.when(n > 0, a), "p": F.when(n > 0, p)})
+    text = F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return chosen.withColumn("text", text).drop("words", "a", "p")
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in each document, every tenth or so of which is made periodic, and it without repeats."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", _with_periods(F.col("doc_id"), F.col("text")).alias("text"))
-    found = periodic.find_runs(docs)
+    found = periodic.find_runs(_with_periods(_table(spark, sf_dir, "documents").select("doc_id", "text")))
     less = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
     order = lambda x, y: (
         F.when(less(x, y) != 0, F.when(less(x, y) > 0, -1).otherwise(1))
