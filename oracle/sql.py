@@ -617,6 +617,7 @@ WHERE d.offerTypeCode = 'S'
         "mw_hst_cells": deals
         + _cells(_history("fact"), f"{week_keys}, 0 AS page", "timestamp", "idx"),
         "mw_wkdetail_flat": f"{deals} {_detail('fact')}",
+        "mw_wkdetail_merged": f"{deals} {_detail('fact')}",
         "mw_wkdetail_cells": deals
         + _cells(_detail("fact"), f"{week_keys}, interval", "intervalTimestamp", "xAxis"),
         "mw_sum_incr": f"{changed} {_sum_select('in_routes', '0')}",

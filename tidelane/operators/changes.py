@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelane.functions.values import null_safe_join
 from tidelane.operators import market
-from tidelane.operators.fact import DEAL, ROUTE, ROUTE_WEEK, Tables, trade_fact
+from tidelane.operators.fact import DEAL, ROUTE, ROUTE_WEEK, Tables, flagged_fact, trade_fact
 
 # The tables whose growth triggers an update.
 WATCHED = [
@@ -53,12 +53,22 @@ def gate(lag: DataFrame, require_all: bool = False, watched: int = len(WATCHED))
 
 def delta(tables: Tables, processed: DataFrame, names: list[str] = FEEDING) -> dict[str, DataFrame]:
     """Rows of each table above its processed mark."""
-    return {name: _above(tables[name], processed, name) for name in names}
+    return {name: tables[name].filter(above) for name, above in above_marks(processed, names).items()}
 
 
-def _above(table: DataFrame, processed: DataFrame, name: str) -> DataFrame:
-    mark = processed.filter(F.col("tableName") == name).select("maxId").scalar()
-    return table.filter(F.col("ID").isNotNull() & (mark.isNull() | (F.col("ID") > mark)))
+def above_marks(processed: DataFrame, names: list[str] = FEEDING) -> dict[str, Column]:
+    """Per table, whether a row's ``ID`` is above its processed mark."""
+
+    def above(name: str) -> Column:
+        mark = processed.filter(F.col("tableName") == name).select("maxId").scalar()
+        return F.col("ID").isNotNull() & (mark.isNull() | (F.col("ID") > mark))
+
+    return {name: above(name) for name in names}
+
+
+def fact_with_changes(tables: Tables, processed: DataFrame, mdm_cryr: DataFrame | None = None) -> DataFrame:
+    """The whole fact, each row telling whether its deal has ``changed`` since the marks; one pass over each table."""
+    return flagged_fact(tables, above_marks(processed), mdm_cryr)
 
 
 def next_marks(lag: DataFrame) -> DataFrame:
@@ -94,18 +104,22 @@ def week_topics(fact: DataFrame) -> DataFrame:
 def update_metrics(changed_deal_rows: DataFrame, fact: DataFrame) -> DataFrame:
     """Counts of one update: new deals, fact rows, touched keys."""
     intervals = 3
-    deals = changed_deal_rows.agg(F.count_distinct("DEAL_NR").alias("n"))
-    rows = fact.agg(F.sum("carrierRows").alias("n"))
-    routes = route_topics(fact).agg(F.count(F.lit(1)).alias("n"))
-    weeks = week_topics(fact).agg(F.count(F.lit(1)).alias("n"))
-    counts = [
-        deals.select(F.lit("newDeals").alias("metric"), "n"),
-        rows.select(F.lit("updatedRows").alias("metric"), F.coalesce("n", F.lit(0)).alias("n")),
-        routes.select(F.lit("marketWatchTopics").alias("metric"), "n"),
-        weeks.select(F.lit("weekDetailTopics").alias("metric"), (F.col("n") * intervals).alias("n")),
-        weeks.select(F.lit("dealHistoryTopics").alias("metric"), "n"),
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    deals = changed_deal_rows.agg(F.count_distinct("DEAL_NR").alias("newDeals"))
+    weeks = fact.groupBy(*ROUTE_WEEK).agg(F.sum("carrierRows").alias("rows"))
+    found = weeks.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("updatedRows"),
+        # A route with a missing port is one, too.
+        F.count_distinct(F.struct(*ROUTE)).alias("marketWatchTopics"),
+        (F.count(F.lit(1)) * intervals).alias("weekDetailTopics"),
+        F.count(F.lit(1)).alias("dealHistoryTopics"),
+    )
+    return _listed(deals).unionByName(_listed(found))
+
+
+def _listed(counts: DataFrame) -> DataFrame:
+    """One row of counts as rows ``metric``, ``n``."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).alias("n")) for name in counts.columns])
+    return counts.select(F.inline(pairs))
 
 
 def mw_sum_incr(tables: Tables, topics: DataFrame, current_week: str) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidelane.functions.bloom import bloom, may_hold
 from tidelane.functions.values import null_safe_join
 
 Tables = Mapping[str, DataFrame]
@@ -60,6 +61,8 @@ def trade_fact(
     joins.  A missing port or week matches no topic, unless ``null_keys`` lets
     it match a missing one.
     """
+    if deals is not None:
+        tables = of_deals(tables, deals)
     headers = deal_headers(tables["FTR_DEAL"])
     routes = deal_routes(tables["FTR_DEAL_RTE"])
     lines = deal_lines(tables["FTR_DEAL_LINE_ITEM"])
@@ -84,6 +87,48 @@ def trade_fact(
     )
 
 
+def flagged_fact(tables: Tables, fresh: Mapping[str, Column], mdm_cryr: DataFrame | None = None) -> DataFrame:
+    """``trade_fact`` with ``changed``: whether any table has a row of the deal version that is new.
+
+    ``fresh`` tells new rows by a condition per table. The flags ride along the joins, each table
+    is read once, and nothing is joined twice.
+    """
+    of_deal = Window.partitionBy(*DEAL)
+    new = {name: F.coalesce(condition, F.lit(False)) for name, condition in fresh.items()}
+    headers = tables["FTR_DEAL"].withColumn("headerNew", new["FTR_DEAL"])
+    lines = tables["FTR_DEAL_LINE_ITEM"].withColumn("lineNew", new["FTR_DEAL_LINE_ITEM"])
+    routes = tables["FTR_DEAL_RTE"].withColumn("routeNew", new["FTR_DEAL_RTE"])
+    carriers = {**tables, "FTR_DEAL_CRYR": tables["FTR_DEAL_CRYR"].withColumn("carrierNew", new["FTR_DEAL_CRYR"])}
+    # A version's header rows, too, are flagged by each other.
+    flagged = (
+        deal_headers(headers, "headerNew")
+        .withColumn("headerNew", F.max("headerNew").over(of_deal))
+        .join(route_pairs(routes, DEAL, "OFFER_REG_SEQ", flag="routeNew"), DEAL, "left")
+        .join(deal_lines(lines, "lineNew").withColumn("lineNew", F.max("lineNew").over(of_deal)), DEAL, "left")
+        .join(_carrier_counts(carriers, mdm_cryr, "carrierNew"), DEAL, "left")
+    )
+    flags = ["headerNew", "routeNew", "lineNew", "carrierNew"]
+    changed = F.greatest(*[F.coalesce(flag, F.lit(False)) for flag in flags])
+    return flagged.withColumns(
+        {
+            "carrierRows": F.coalesce("carrierRows", F.lit(1)),
+            "carrierNames": F.coalesce("carrierNames", F.lit(1)),
+            "changed": changed,
+        }
+    ).drop(*flags)
+
+
+def of_deals(tables: Tables, deals: DataFrame) -> dict[str, DataFrame]:
+    """The deal tables without most rows of other deal versions than ``deals``.
+
+    A Bloom filter drops them before anything is aggregated or shuffled; what it lets through in
+    vain goes in the joins that follow.
+    """
+    words = bloom(deals.select(*DEAL))
+    parts = ["FTR_DEAL_LINE_ITEM", "FTR_DEAL_CRYR", "FTR_DEAL_RTE"]
+    return {**tables, **{name: tables[name].filter(may_hold(words, DEAL)) for name in parts}}
+
+
 def restrict(rows: DataFrame, topics: DataFrame, null_keys: bool = False) -> DataFrame:
     """Rows whose route (and week) is among ``topics``."""
     if null_keys:
@@ -99,6 +144,7 @@ def stats_raw_carrier_set(tables: Tables, deals: DataFrame | None = None) -> Dat
     """
     headers = tables["FTR_DEAL"].filter(F.col("OFER_TP_CD") == SELL)
     if deals is not None:
+        tables = of_deals(tables, deals)
         headers = headers.join(deals, DEAL, "left_semi")
     amounts = ["DEAL_AMT", "DEAL_PRCE", "DEAL_QTY", "OFER_PRCE", "OFER_QTY", "OFER_REMN_QTY"]
     names = carrier_names(tables["MDM_CRYR"])
@@ -127,7 +173,7 @@ def offer_raw(tables: Tables) -> DataFrame:
     )
 
 
-def deal_headers(deals: DataFrame) -> DataFrame:
+def deal_headers(deals: DataFrame, *more: str) -> DataFrame:
     return deals.filter(F.col("OFER_TP_CD") == SELL).select(
         *DEAL,
         "DEAL_DT",
@@ -135,16 +181,18 @@ def deal_headers(deals: DataFrame) -> DataFrame:
         F.col("OFER_RD_TRM_CD").alias("rdTermCode"),
         F.col("OFER_PYMT_TRM_CD").alias("paymentTermCode"),
         F.col("OFER_TP_CD").alias("offerTypeCode"),
+        *more,
     )
 
 
-def deal_lines(lines: DataFrame) -> DataFrame:
+def deal_lines(lines: DataFrame, *more: str) -> DataFrame:
     return lines.select(
         *DEAL,
         F.col("BSE_YW").alias("baseYearWeek"),
         F.col("DEAL_AMT").alias("dealAmt"),
         F.col("DEAL_PRCE").alias("dealPrice"),
         F.col("DEAL_QTY").alias("dealQty"),
+        *more,
     )
 
 
@@ -157,7 +205,7 @@ def offer_routes(routes: DataFrame, loaded_only: bool = False) -> DataFrame:
 
 
 def route_pairs(
-    routes: DataFrame, version: list[str], registration: str, loaded_only: bool = False
+    routes: DataFrame, version: list[str], registration: str, loaded_only: bool = False, flag: str | None = None
 ) -> DataFrame:
     """Pivot typed location rows into ``polCode``/``podCode`` rows.
 
@@ -165,7 +213,8 @@ def route_pairs(
     loading and one of discharge; should it list several, each pairs with
     each, and a missing end stays null, as the joins would have it.
     ``loaded_only`` starts from the ports of loading, so a registration
-    without one gives no row.
+    without one gives no row.  ``flag`` names a condition; each row then tells
+    whether any row of its version meets it.
     """
     # Inside a struct a null code still counts as a row of its type.
     place = F.struct(F.col("TRDE_LOC_CD").alias("code"))
@@ -173,20 +222,24 @@ def route_pairs(
     loading = F.col("TRDE_LOC_TP_CD") == LOADING
     discharge = (F.col("TRDE_LOC_TP_CD") == DISCHARGE) & registered
     unfold = F.explode if loaded_only else F.explode_outer
+    # Placed by version, the rows serve this grouping and the join on the
+    # version that follows with a single shuffle.
+    placed = routes.repartition(*version)
+    kept = []
+    if flag:
+        placed = placed.withColumn(flag, F.max(flag).over(Window.partitionBy(*version)))
+        kept = [flag]
     return (
-        # Placed by version, the rows serve this grouping and the join on the
-        # version that follows with a single shuffle.
-        routes.repartition(*version)
-        .groupBy(*version, registration)
+        placed.groupBy(*version, registration, *kept)
         .agg(
             F.collect_list(
                 F.when(loading if loaded_only else loading & registered, place)
             ).alias("pols"),
             F.collect_list(F.when(discharge, place)).alias("pods"),
         )
-        .select(*version, "pods", unfold("pols").alias("pol"))
-        .select(*version, "pol", F.explode_outer("pods").alias("pod"))
-        .select(*version, F.col("pol.code").alias("polCode"), F.col("pod.code").alias("podCode"))
+        .select(*version, *kept, "pods", unfold("pols").alias("pol"))
+        .select(*version, *kept, "pol", F.explode_outer("pods").alias("pod"))
+        .select(*version, *kept, F.col("pol.code").alias("polCode"), F.col("pod.code").alias("podCode"))
     )
 
 
@@ -214,18 +267,18 @@ def carrier_names(master: DataFrame) -> DataFrame:
     )
 
 
-def deal_carriers(tables: Tables, mdm_cryr: DataFrame | None = None) -> DataFrame:
+def deal_carriers(tables: Tables, mdm_cryr: DataFrame | None = None, *more: str) -> DataFrame:
     names = carrier_names(tables["MDM_CRYR"]) if "MDM_CRYR" in tables else mdm_cryr
     return (
         tables["FTR_DEAL_CRYR"]
-        .select(*DEAL, F.col("OFER_CRYR_CD").alias("carrierCode"))
+        .select(*DEAL, F.col("OFER_CRYR_CD").alias("carrierCode"), *more)
         .join(names, "carrierCode", "left")
     )
 
 
-def _carrier_counts(tables: Tables, mdm_cryr: DataFrame | None) -> DataFrame:
+def _carrier_counts(tables: Tables, mdm_cryr: DataFrame | None, *flags: str) -> DataFrame:
     return (
-        deal_carriers(tables, mdm_cryr)
+        deal_carriers(tables, mdm_cryr, *flags)
         .groupBy(*DEAL)
         .agg(
             F.count(F.lit(1)).alias("carrierRows"),
@@ -233,6 +286,7 @@ def _carrier_counts(tables: Tables, mdm_cryr: DataFrame | None) -> DataFrame:
                 F.count_distinct("carrierName")
                 + F.max(F.when(F.col("carrierName").isNull(), 1).otherwise(0))
             ).alias("carrierNames"),
+            *[F.max(flag).alias(flag) for flag in flags],
         )
     )
 

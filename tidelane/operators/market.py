@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelane.functions.calendar import chart_week, day_of
 from tidelane.functions.stamps import moment_time, stamp, stamp_moment, stamp_price
-from tidelane.functions.values import TOTAL, ratio
+from tidelane.functions.values import TOTAL, null_safe_join, ratio
 from tidelane.operators.blocks import look_back
 from tidelane.operators.nest import PAGE_ROWS, nest
 
@@ -35,6 +35,7 @@ DETAIL_CELL = [
 
 # Digits of a 20-digit time down to the minute.
 RUN_DIGITS = 12
+TOUCHED_WEEK = ["polCode", "podCode", "baseYearWeek"]
 
 # The one container type and quantity unit of the market watch,
 # and the two states of a week.
@@ -44,14 +45,17 @@ ON_MARKET = "on Market"
 CLOSED = "Trade Closed"
 
 
-def mw_sum_rows(fact: DataFrame, current_week: str, dedup_carriers: bool = False) -> DataFrame:
+def mw_sum_rows(
+    fact: DataFrame, current_week: str, dedup_carriers: bool = False, only_touched: bool = False
+) -> DataFrame:
     """Weekly OHLC, volume and latest deal per route; changes are against zero.
 
     ``changeValue`` equals ``close`` and ``changeRate`` is one: every week is
     its own partition of the look-back.  ``mw_sum_wow`` compares with the week
-    before.
+    before.  ``only_touched`` keeps the routes with a row that ``changed``
+    (see ``fact.flagged_fact``), which the aggregate finds on its way.
     """
-    return _weekly(fact, current_week, dedup_carriers).select(
+    return _weekly(fact, current_week, dedup_carriers, only_touched).select(
         *WEEK_KEYS, "status", "open", "low", "high", "close", "volume",
         F.col("close").alias("changeValue"),
         ratio(F.col("close"), F.col("close")).alias("changeRate"),
@@ -66,13 +70,15 @@ def mw_sum_wow(fact: DataFrame, current_week: str, dedup_carriers: bool = False)
     return with_change(weekly, weeks, "close").select(*WEEK_KEYS, *SUM_CELL[1:])
 
 
-def mw_sum(fact: DataFrame, current_week: str, dedup_carriers: bool = False) -> DataFrame:
+def mw_sum(
+    fact: DataFrame, current_week: str, dedup_carriers: bool = False, only_touched: bool = False
+) -> DataFrame:
     """Documents of ``mw_sum_rows``: one per route, a cell per week."""
-    return nest(mw_sum_rows(fact, current_week, dedup_carriers), ROUTE_KEYS, SUM_CELL)
+    return nest(mw_sum_rows(fact, current_week, dedup_carriers, only_touched), ROUTE_KEYS, SUM_CELL)
 
 
 def mw_hst_rows(
-    fact: DataFrame, dedup_carriers: bool = False, run_digits: int = RUN_DIGITS
+    fact: DataFrame, dedup_carriers: bool = False, run_digits: int = RUN_DIGITS, only_touched: bool = False
 ) -> DataFrame:
     """Deals of a route and week in time order, each with its price change.
 
@@ -80,11 +86,16 @@ def mw_hst_rows(
     that repetition: within the copies of a deal the price does not change.
     However busy a route and week, one task sees no more of it than the deals
     that share the first ``run_digits`` digits of their time.
+
+    ``only_touched`` keeps the routes and weeks with a row that ``changed``:
+    both the deals and the count of changes per week read one shuffle.
     """
+    flag = ["changed"] if only_touched else []
     deals = (
         weighted(fact, dedup_carriers)
-        .filter((F.col("dealQty") != 0) & (F.col("offerTypeCode") == "S"))
+        .filter(_traded() | F.col("changed") if only_touched else _traded())
         .select(
+            *flag,
             *TERMS,
             "baseYearWeek",
             F.col("DEAL_DT").alias("timestamp"),
@@ -95,9 +106,14 @@ def mw_hst_rows(
             "dealAmt",
             "carrierName",
             "carrierNames",
+            *(["offerTypeCode"] if only_touched else []),
         )
         .distinct()
     )
+    if only_touched:
+        # Counted, not just looked for, so that both sides keep the same distinct rows.
+        weeks = deals.groupBy(*TOUCHED_WEEK).agg(F.count_if("changed").alias("n")).filter("n > 0")
+        deals = null_safe_join(deals.filter(_traded()), weeks.drop("n"), TOUCHED_WEEK, "left_semi").drop("changed", "offerTypeCode")
     traced = look_back(
         deals,
         keys=[*TERMS, "baseYearWeek"],
@@ -121,8 +137,12 @@ def mw_hst_rows(
     )
 
 
+def _traded() -> Column:
+    return (F.col("dealQty") != 0) & (F.col("offerTypeCode") == "S")
+
+
 def mw_hst(
-    fact: DataFrame, dedup_carriers: bool = False, page_rows: int = PAGE_ROWS
+    fact: DataFrame, dedup_carriers: bool = False, page_rows: int = PAGE_ROWS, only_touched: bool = False
 ) -> DataFrame:
     """Documents of ``mw_hst_rows``: one per route and week, a cell per deal.
 
@@ -130,27 +150,64 @@ def mw_hst(
     deals, numbered by ``page``.
     """
     page = F.floor((F.col("idx") - 1) / page_rows).cast("int")
-    rows = mw_hst_rows(fact, dedup_carriers).withColumn("page", page)
+    rows = mw_hst_rows(fact, dedup_carriers, only_touched=only_touched).withColumn("page", page)
     return nest(rows, [*WEEK_KEYS, "page"], HISTORY_CELL)
 
 
-def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame:
+def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False, only_touched: bool = False) -> DataFrame:
     """OHLC of a route and week resampled to days, weeks and months of the deal time.
 
     Deals collapse to days first; only those day rows are then repeated for
-    the coarser intervals.
+    the coarser intervals.  ``only_touched`` keeps the routes and weeks with a
+    row that ``changed``.
+    """
+    days = day_states(fact, dedup_carriers, only_touched)
+    return wkdetail_of_states(_touched(days, TOUCHED_WEEK) if only_touched else days)
+
+
+def day_states(fact: DataFrame, dedup_carriers: bool = False, flagged: bool = False) -> DataFrame:
+    """State of each route, week and day: first and last deal, high, low, volume and repeats.
+
+    States of disjoint sets of rows merge (``merged_states``), so they can be
+    stored and deals that come late be added without the others.
     """
+    # A row without a price opens no day, but its change counts.
+    traded = F.col("dealPrice") != 0
     day = F.substring("DEAL_DT", 1, 8)
-    days = (
-        weighted(fact, dedup_carriers)
-        .filter(F.col("dealPrice") != 0)
-        .groupBy(*TERMS, "baseYearWeek", day.alias("day"))
-        .agg(*_first_and_last(), *_spread())
-        .select(
-            *TERMS, "baseYearWeek", "day", "high", "low", "volume", "repeats",
-            *[price.alias(name) for name, price in _ends().items()],
-            stamp_moment(F.col("last")).alias("moment"),
-        )
+    rows = weighted(fact, dedup_carriers).filter(traded | F.col("changed") if flagged else traded)
+    if flagged:
+        rows = rows.withColumn("dealPrice", F.when(traded, F.col("dealPrice")))
+        seen = F.when(F.col("dealPrice").isNotNull(), F.col("carrierRows"))
+        deal = F.when(F.col("dealPrice").isNotNull(), stamp(F.col("DEAL_DT"), F.col("dealPrice")))
+        aggregates = [
+            F.min(deal).alias("first"), F.max(deal).alias("last"), F.max("dealPrice").alias("high"), F.min("dealPrice").alias("low"),
+            F.sum(F.col("dealQty") * seen).alias("volume"), F.sum(seen).alias("repeats"), F.max("changed").alias("changed"),
+        ]
+    else:
+        aggregates = [*_first_and_last(), *_spread()]
+    return rows.groupBy(*TERMS, "baseYearWeek", day.alias("day")).agg(*aggregates)
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per route, week and day from several, of disjoint rows, in any order."""
+    return states.groupBy(*TERMS, "baseYearWeek", "day").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.sum("volume").alias("volume"), F.sum("repeats").alias("repeats"),
+    )
+
+
+def _touched(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the keys with a row that changed; nulls are a key of their own."""
+    marked = rows.withColumn("touched", F.max("changed").over(Window.partitionBy(*keys)))
+    return marked.filter("touched").drop("touched", "changed")
+
+
+def wkdetail_of_states(states: DataFrame) -> DataFrame:
+    """``mw_wkdetail_rows`` of day states."""
+    days = states.filter(F.col("repeats").isNotNull()).select(
+        *TERMS, "baseYearWeek", "day", "high", "low", "volume", "repeats",
+        *[price.alias(name) for name, price in _ends().items()],
+        stamp_moment(F.col("last")).alias("moment"),
     )
     buckets = F.array(
         F.struct(F.lit("daily").alias("interval"), F.col("day").alias("xAxis")),
@@ -186,9 +243,9 @@ def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame
     )
 
 
-def mw_wkdetail(fact: DataFrame, dedup_carriers: bool = False) -> DataFrame:
+def mw_wkdetail(fact: DataFrame, dedup_carriers: bool = False, only_touched: bool = False) -> DataFrame:
     """Documents of ``mw_wkdetail_rows``: one per route, week and interval."""
-    return nest(mw_wkdetail_rows(fact, dedup_carriers), [*WEEK_KEYS, "interval"], DETAIL_CELL)
+    return nest(mw_wkdetail_rows(fact, dedup_carriers, only_touched), [*WEEK_KEYS, "interval"], DETAIL_CELL)
 
 
 def weighted(fact: DataFrame, dedup_carriers: bool) -> DataFrame:
@@ -216,14 +273,16 @@ def with_change(rows: DataFrame, along: Window, price: str) -> DataFrame:
     )
 
 
-def _weekly(fact: DataFrame, current_week: str, dedup_carriers: bool) -> DataFrame:
+def _weekly(fact: DataFrame, current_week: str, dedup_carriers: bool, only_touched: bool = False) -> DataFrame:
     status = F.when(F.col("baseYearWeek") >= current_week, ON_MARKET).otherwise(CLOSED)
     weekly = (
         weighted(fact, dedup_carriers)
         .filter(F.col("offerTypeCode") == "S")
         .groupBy(*TERMS, "baseYearWeek")
-        .agg(*_first_and_last(), *_spread())
+        .agg(*_first_and_last(), *_spread(), *([F.max("changed").alias("changed")] if only_touched else []))
     )
+    if only_touched:
+        weekly = _touched(weekly, TOUCHED_WEEK[:2])
     # A missing open or close shows as zero once the week has several rows.
     several = F.col("repeats") > 1
     ends = {

@@ -8,8 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidelane.operators import changes, market
-from tidelane.operators.fact import ROUTE, ROUTE_WEEK, Tables, restrict, trade_fact
-from tidelane.plans.session import scratch
+from tidelane.operators.fact import DEAL, ROUTE, ROUTE_WEEK, Tables, restrict, trade_fact
+from tidelane.plans.session import workspace
 from tidelane.sources.sinks import (
     BUCKETS,
     Sender,
@@ -17,6 +17,7 @@ from tidelane.sources.sinks import (
     publish,
     read_keyed,
     replace_keyed,
+    state_of,
     write_keyed,
 )
 
@@ -31,7 +32,7 @@ class Store:
     buckets: int = BUCKETS
 
     # Collection names with the columns they are replaced by.
-    keys = {"MW_SUM": ROUTE, "MW_HST": ROUTE_WEEK, "MW_WKDETAIL": ROUTE_WEEK}
+    keys = {"MW_SUM": ROUTE, "MW_HST": ROUTE_WEEK, "MW_WKDETAIL": ROUTE_WEEK, "FACT": ROUTE, "DEAL_KEYS": DEAL}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -54,14 +55,15 @@ def full_build(
     """Build all collections from all deals, and set the marks.
 
     The marks are read first: a row that arrives meanwhile is at worst
-    processed again.  The fact is written once to the shared folder, and the
-    three jobs read it from there.
+    processed again.  The fact is stored by route, and the three jobs read it
+    from there; the keys of each deal's rows are stored by deal.
     """
     marks = _fixed(spark, changes.max_id(tables))
-    fact_path = scratch(spark, "trade-fact")
-    overwrite(trade_fact(tables), fact_path)
-    for name, frame in documents(spark.read.parquet(fact_path), current_week).items():
+    write_keyed(trade_fact(tables), store.path("FACT"), ROUTE, store.buckets)
+    fact = store.read(spark, "FACT")
+    for name, frame in documents(fact, current_week).items():
         write_keyed(frame, store.path(name), Store.keys[name], store.buckets)
+    write_keyed(fact.select(*DEAL, *ROUTE_WEEK).distinct(), store.path("DEAL_KEYS"), DEAL, store.buckets)
     overwrite(marks, store.path("marks"))
 
 
@@ -96,24 +98,41 @@ def update_deals(
     current_week: str,
     send: Sender | None = None,
 ) -> None:
-    """Recompute, replace and publish every document that ``deals`` touch."""
-    topics_path = scratch(spark, "topics")
-    overwrite(changes.week_topics(trade_fact(tables, deals=deals)), topics_path)
-    weeks = spark.read.parquet(topics_path)
-    routes = weeks.select(*ROUTE).distinct()
-    fact_path = scratch(spark, "touched-fact")
-    overwrite(trade_fact(tables, topics=routes, null_keys=True), fact_path)
-    touched = spark.read.parquet(fact_path)
-    in_weeks = restrict(touched, weeks, null_keys=True)
-    fresh = {
-        "MW_SUM": (market.mw_sum(touched, current_week), routes),
-        "MW_HST": (market.mw_hst(in_weeks), weeks),
-        "MW_WKDETAIL": (market.mw_wkdetail(in_weeks), weeks),
-    }
-    for name, (frame, replaced) in fresh.items():
-        replace_keyed(spark, store.path(name), frame, replaced, store.buckets)
-        if send is not None:
-            publish(frame, TOPIC, send)
+    """Recompute, replace and publish every document that ``deals`` touch.
+
+    Only the rows of ``deals`` are joined from the tables. All others come from
+    the stored fact, of which only the buckets of touched routes are read: those
+    that the deals are on now and those that they were on before. What tells the
+    latter is replaced last, so a run that dies is repeated with the same keys.
+    """
+    with workspace(spark, "round") as kept:
+        deals = kept(deals.select(*DEAL).distinct(), "deals")
+        new = kept(trade_fact(tables, deals=deals), "new")
+        now = kept(new.select(*DEAL, *ROUTE_WEEK).distinct(), "keys")
+        before = _stored(spark, store, "DEAL_KEYS", deals, now)
+        weeks = kept(now.unionByName(before).select(*ROUTE_WEEK).distinct(), "weeks")
+        routes = weeks.select(*ROUTE).distinct()
+        unchanged = _stored(spark, store, "FACT", routes, new).join(deals, DEAL, "left_anti")
+        touched = kept(unchanged.unionByName(new), "touched")
+        in_weeks = restrict(touched, weeks, null_keys=True)
+        fresh = {
+            "MW_SUM": (market.mw_sum(touched, current_week), routes),
+            "MW_HST": (market.mw_hst(in_weeks), weeks),
+            "MW_WKDETAIL": (market.mw_wkdetail(in_weeks), weeks),
+        }
+        for name, (frame, replaced) in fresh.items():
+            replace_keyed(spark, store.path(name), frame, replaced, store.buckets)
+            if send is not None:
+                publish(frame, TOPIC, send)
+        replace_keyed(spark, store.path("FACT"), touched, routes, store.buckets)
+        replace_keyed(spark, store.path("DEAL_KEYS"), now, deals, store.buckets)
+
+
+def _stored(spark: SparkSession, store: Store, name: str, keys: DataFrame, like: DataFrame) -> DataFrame:
+    """Stored rows of some keys; none, with the columns of ``like``, where nothing is stored yet."""
+    if state_of(spark, store.path(name)) is None:
+        return like.limit(0)
+    return read_keyed(spark, store.path(name), keys)
 
 
 def read_marks(spark: SparkSession, store: Store) -> DataFrame:

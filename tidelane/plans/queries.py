@@ -36,6 +36,7 @@ def registry() -> dict[str, Query]:
         "mw_sum_incr": mw_sum_incr,
         "mw_hst_incr": mw_hst_incr,
         "mw_wkdetail_incr": mw_wkdetail_incr,
+        "mw_wkdetail_merged": mw_wkdetail_merged,
         "mi_sum_flat": mi_sum_flat,
         "mi_sum_chrono": mi_sum_chrono,
         "mi_sum_cells": mi_sum_cells,
@@ -130,11 +131,7 @@ def mw_hst_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mw_wkdetail_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market.mw_wkdetail_rows(_fact(spark, sf_dir)).select(
-        *market.WEEK_KEYS, "interval", "xAxis", "intervalTimestamp", amount("open"),
-        amount("low"), amount("high"), amount("close"), "volume", amount("changeValue"),
-        rounded("changeRate"),
-    )
+    return _detail_output(market.mw_wkdetail_rows(_fact(spark, sf_dir)))
 
 
 def mw_wkdetail_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,37 +311,34 @@ def cdc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mw_sum_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, topics = deal_tables(spark, sf_dir), cdc_topics_mw(spark, sf_dir)
-    recomputed = market.mw_sum_rows(
-        fact.trade_fact(tables, topics=topics, null_keys=True), CURRENT_WEEK
-    )
+    recomputed = market.mw_sum_rows(_flagged(spark, sf_dir), CURRENT_WEEK, only_touched=True)
     return _sum_output(recomputed)
 
 
 def mw_hst_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, topics = deal_tables(spark, sf_dir), cdc_topics_week(spark, sf_dir)
-    return _cells(
-        changes.mw_hst_incr(tables, topics), [*market.WEEK_KEYS, "page"], "priceChange"
-    )
+    documents = market.mw_hst(_flagged(spark, sf_dir), only_touched=True)
+    return _cells(documents, [*market.WEEK_KEYS, "page"], "priceChange")
 
 
 def mw_wkdetail_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, topics = deal_tables(spark, sf_dir), cdc_topics_week(spark, sf_dir)
-    return _cells(
-        changes.mw_wkdetail_incr(tables, topics), [*market.WEEK_KEYS, "interval"], "close"
-    )
+    documents = market.mw_wkdetail(_flagged(spark, sf_dir), only_touched=True)
+    return _cells(documents, [*market.WEEK_KEYS, "interval"], "close")
+
+
+def mw_wkdetail_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail from the day states of unchanged deals and of changed ones, merged: equals a full build."""
+    flagged = _flagged(spark, sf_dir)
+    parts = [market.day_states(flagged.filter(condition)) for condition in (~F.col("changed"), F.col("changed"))]
+    return _detail_output(market.wkdetail_of_states(market.merged_states(parts[0].unionByName(parts[1]))))
 
 
 def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summary of the old deals with the touched routes replaced: equals a full rebuild."""
-    tables, changed = _delta(spark, sf_dir)
-    touched = changes.changed_deals(changed)
-    everything = fact.trade_fact(tables)
-    before = everything.join(touched, fact.DEAL, "left_anti")
-    topics = changes.route_topics(changes.delta_fact(tables, changed))
-    stored = market.mw_sum_rows(before, CURRENT_WEEK)
-    recomputed = fact.trade_fact(tables, topics=topics, null_keys=True)
-    fresh = market.mw_sum_rows(recomputed, CURRENT_WEEK)
+    flagged = _flagged(spark, sf_dir)
+    stored = market.mw_sum_rows(flagged.filter(~F.col("changed")), CURRENT_WEEK)
+    fresh = market.mw_sum_rows(flagged, CURRENT_WEEK, only_touched=True)
+    # Every touched route has a week, so its own rows name it.
+    topics = fresh.select(*fact.ROUTE).distinct()
     return _sum_output(changes.upsert_by_key(stored, fresh, topics, null_keys=True))
 
 
@@ -381,6 +375,14 @@ def _sum_output(rows: DataFrame) -> DataFrame:
     )
 
 
+def _detail_output(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        *market.WEEK_KEYS, "interval", "xAxis", "intervalTimestamp", amount("open"),
+        amount("low"), amount("high"), amount("close"), "volume", amount("changeValue"),
+        rounded("changeRate"),
+    )
+
+
 def _index_output(rows: DataFrame) -> DataFrame:
     return rows.select(
         *index.SERIES, "interval", "xAxis", "intervalTimestamp", rounded("value"),
@@ -404,5 +406,10 @@ def _delta(spark: SparkSession, sf_dir: str) -> tuple[fact.Tables, dict[str, Dat
     return tables, changes.delta(tables, _processed(tables))
 
 
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = deal_tables(spark, sf_dir)
+    return changes.fact_with_changes(tables, _processed(tables))
+
+
 def _delta_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.delta_fact(*_delta(spark, sf_dir))

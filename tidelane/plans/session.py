@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tidelane.sources.files import Folder
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -33,3 +37,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not shared:
         raise ValueError("spark.checkpoint.dir names no shared folder")
     return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function that writes a frame to the shared folder and reads it again; all of it goes in the end."""
+    root = scratch(spark, name)
+
+    def kept(frame: DataFrame, part: str) -> DataFrame:
+        frame.write.parquet(f"{root}/{part}")
+        return spark.read.schema(frame.schema).parquet(f"{root}/{part}")
+
+    try:
+        yield kept
+    finally:
+        Folder(spark, root).remove()

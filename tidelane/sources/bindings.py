@@ -34,19 +34,20 @@ def deal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit("01").alias("OFER_PYMT_TRM_CD"),
         _side().alias("OFER_TP_CD"),
     )
-    price = F.col("l_extendedprice").cast(MONEY)
+    # Every deal's own lines lie together after one shuffle, which all tables derived from them read.
+    sold = source.deal_lines()
     lines = (
-        source.table("lineitem")
-        .groupBy("l_orderkey", us_week(F.col("l_shipdate").cast("date")).alias("BSE_YW"))
+        sold.select("DEAL_NR", "DEAL_CHNG_SEQ", "order", F.inline("sold"))
+        .groupBy("DEAL_NR", "DEAL_CHNG_SEQ", "order", "BSE_YW")
         .agg(
-            F.sum(F.col("l_quantity").cast(MONEY)).cast(MONEY).alias("DEAL_QTY"),
-            F.max(price).alias("DEAL_PRCE"),
-            F.sum(price).cast(MONEY).alias("DEAL_AMT"),
+            F.sum("quantity").cast(MONEY).alias("DEAL_QTY"),
+            F.max("price").alias("DEAL_PRCE"),
+            F.sum("price").cast(MONEY).alias("DEAL_AMT"),
         )
         .select(
-            (F.col("l_orderkey") * 1000000 + F.col("BSE_YW").cast("long")).alias("ID"),
-            _deal_number(F.col("l_orderkey")).alias("DEAL_NR"),
-            F.lit(0).cast("long").alias("DEAL_CHNG_SEQ"),
+            (F.col("order") * 1000000 + F.col("BSE_YW").cast("long")).alias("ID"),
+            "DEAL_NR",
+            "DEAL_CHNG_SEQ",
             "BSE_YW",
             "DEAL_AMT",
             "DEAL_PRCE",
@@ -56,18 +57,12 @@ def deal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.greatest(OFFERED - F.col("DEAL_QTY"), F.lit(0)).cast(MONEY).alias("OFER_REMN_QTY"),
         )
     )
-    carriers = (
-        source.table("lineitem")
-        .select(
-            "l_orderkey", _carrier().alias("OFER_CRYR_CD"), (F.col("l_suppkey") % 12).alias("code")
-        )
-        .distinct()
-        .select(
-            (F.col("l_orderkey") * 100 + F.col("code")).alias("ID"),
-            _deal_number(F.col("l_orderkey")).alias("DEAL_NR"),
-            F.lit(0).cast("long").alias("DEAL_CHNG_SEQ"),
-            "OFER_CRYR_CD",
-        )
+    codes = F.array_distinct(F.transform("sold", lambda line: line.supplier % 12))
+    carriers = sold.select("DEAL_NR", "DEAL_CHNG_SEQ", "order", F.explode(codes).alias("code")).select(
+        (F.col("order") * 100 + F.col("code")).alias("ID"),
+        "DEAL_NR",
+        "DEAL_CHNG_SEQ",
+        F.concat(F.lit("C"), F.col("code").cast("string")).alias("OFER_CRYR_CD"),
     )
     loading = orders.join(source.table("customer"), F.expr("o_custkey = c_custkey")).select(
         F.col("o_orderkey").alias("order"),
@@ -75,13 +70,9 @@ def deal_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("c_nationkey") % 5).alias("port"),
     )
     discharge = (
-        source.table("lineitem")
-        .join(source.table("supplier"), F.expr("l_suppkey = s_suppkey"))
-        .select(
-            F.col("l_orderkey").alias("order"),
-            F.lit("03").alias("TRDE_LOC_TP_CD"),
-            (F.col("s_nationkey") % 5).alias("port"),
-        )
+        sold.select("order", F.explode(F.array_distinct("sold.supplier")).alias("supplier"))
+        .join(source.table("supplier"), F.expr("supplier = s_suppkey"))
+        .select("order", F.lit("03").alias("TRDE_LOC_TP_CD"), (F.col("s_nationkey") % 5).alias("port"))
         .distinct()
     )
     routes = loading.unionByName(discharge).select(
@@ -210,6 +201,20 @@ class _Star:
     def orders(self) -> DataFrame:
         return self.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
 
+    def deal_lines(self) -> DataFrame:
+        """The lines of each order's deal, as one array: orders have few lines."""
+        week = us_week(F.col("l_shipdate").cast("date"))
+        line = F.struct(
+            week.alias("BSE_YW"),
+            F.col("l_quantity").cast(MONEY).alias("quantity"),
+            F.col("l_extendedprice").cast(MONEY).alias("price"),
+            F.col("l_suppkey").alias("supplier"),
+        )
+        number = _deal_number(F.col("l_orderkey")).alias("DEAL_NR")
+        version = F.lit(0).cast("long").alias("DEAL_CHNG_SEQ")
+        keyed = self.table("lineitem").select(number, version, F.col("l_orderkey").alias("order"), line.alias("line"))
+        return keyed.groupBy("DEAL_NR", "DEAL_CHNG_SEQ", "order").agg(F.collect_list("line").alias("sold"))
+
     def numbered_lines(self) -> DataFrame:
         """Every line of each order, numbered from 0; each is a version of its offer."""
         ordered = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
