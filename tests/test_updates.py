@@ -158,13 +158,26 @@ def test_round_equals_full_build(spark, tmp_path):
     store = Store(str(tmp_path / "live"), buckets=4)
     market_watch.full_build(spark, before, store, NOW)
     assert not market_watch.update_round(spark, before, store, NOW)
-    sent = []
-    assert market_watch.update_round(spark, after, store, NOW, require_all=True)
+    sent = tmp_path / "sent"
+    sent.mkdir()
+
+    def send(topic, key, text, broken=True):
+        if broken and "MW_HST" in key:
+            raise OSError("gone")
+        with open(sent / key.replace("/", "-"), "a") as file:
+            file.write(topic + text)
+
+    with pytest.raises(outbox.UndeliveredError):
+        market_watch.update_round(spark, after, store, NOW, require_all=True, send=send)
+    assert market_watch.update_round(spark, after, store, NOW, require_all=True, send=lambda t, k, x: send(t, k, x, False))
     assert not market_watch.update_round(spark, after, store, NOW)
     rebuilt = Store(str(tmp_path / "full"), buckets=4)
     market_watch.full_build(spark, after, rebuilt, NOW)
     assert documents_of(spark, store) == documents_of(spark, rebuilt)
-    assert sent == []
+    texts = {path.name: path.read_text() for path in sent.iterdir()}
+    assert {name.split("-")[-2] for name in texts} == {"MW_SUM", "MW_HST", "MW_WKDETAIL"}
+    assert all(text.count(market_watch.TOPIC) == 1 for text in texts.values())
+    assert Folder(spark, store.path("outbox/messages")).names() == []
 
 
 def test_stream_equals_full_build(spark, tmp_path):

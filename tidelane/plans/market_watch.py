@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidelane.operators import changes, market
 from tidelane.operators.fact import DEAL, ROUTE, ROUTE_WEEK, Tables, restrict, trade_fact
 from tidelane.plans.session import workspace
+from tidelane.sources.outbox import NumberedSender, deliver, enqueue, forget
 from tidelane.sources.sinks import (
     BUCKETS,
-    Sender,
     overwrite,
-    publish,
     read_keyed,
     replace_keyed,
     state_of,
@@ -22,6 +21,7 @@ from tidelane.sources.sinks import (
 )
 
 TOPIC = "/topic/marketWatch"
+DOCUMENTS = ["MW_SUM", "MW_HST", "MW_WKDETAIL"]
 
 
 @dataclass(frozen=True)
@@ -73,20 +73,25 @@ def update_round(
     store: Store,
     current_week: str,
     require_all: bool = False,
-    send: Sender | None = None,
+    send: NumberedSender | None = None,
 ) -> bool:
     """Process the rows above the marks; false when there was nothing to do.
 
     The marks move last, and every step before can be repeated, so a round
-    that fails is simply run again.
+    that fails is simply run again. Its messages are numbered by the marks it
+    starts and ends at, and those that were sent are not sent again.
     """
     lag = _fixed(spark, changes.lag_behind(changes.max_id(tables), read_marks(spark, store)))
     if not changes.gate(lag, require_all).first().fire:
         return False
     processed = lag.select("tableName", F.col("processedId").alias("maxId"))
     changed = changes.delta(tables, processed)
-    update_deals(spark, tables, changes.changed_deals(changed), store, current_week, send)
+    marks = [(r.processedId, r.maxId) for r in lag.orderBy("tableName").collect()]
+    batch = "round-" + "-".join(f"{'' if a is None else a}.{'' if b is None else b}" for a, b in marks)
+    update_deals(spark, tables, changes.changed_deals(changed), store, current_week, send, batch)
     overwrite(changes.next_marks(lag), store.path("marks"))
+    if send is not None:
+        forget_messages(spark, store, batch)
     return True
 
 
@@ -96,7 +101,8 @@ def update_deals(
     deals: DataFrame,
     store: Store,
     current_week: str,
-    send: Sender | None = None,
+    send: NumberedSender | None = None,
+    batch: str = "",
 ) -> None:
     """Recompute, replace and publish every document that ``deals`` touch.
 
@@ -104,6 +110,8 @@ def update_deals(
     the stored fact, of which only the buckets of touched routes are read: those
     that the deals are on now and those that they were on before. What tells the
     latter is replaced last, so a run that dies is repeated with the same keys.
+    ``batch`` names the run's messages; a run repeated under the same name sends
+    only those that were not sent.
     """
     with workspace(spark, "round") as kept:
         deals = kept(deals.select(*DEAL).distinct(), "deals")
@@ -123,11 +131,19 @@ def update_deals(
         for name, (frame, replaced) in fresh.items():
             replace_keyed(spark, store.path(name), frame, replaced, store.buckets)
             if send is not None:
-                publish(frame, TOPIC, send)
+                plain = [f.name for f in frame.schema if f.dataType.typeName() != "array"]
+                enqueue(frame, store.path("outbox"), f"{batch}-{name}", TOPIC, plain)
+                deliver(spark, store.path("outbox"), f"{batch}-{name}", send)
         replace_keyed(spark, store.path("FACT"), touched, routes, store.buckets)
         replace_keyed(spark, store.path("DEAL_KEYS"), now, deals, store.buckets)
 
 
+def forget_messages(spark: SparkSession, store: Store, batch: str) -> None:
+    """Delete the messages of a run that will not be repeated."""
+    for name in DOCUMENTS:
+        forget(spark, store.path("outbox"), f"{batch}-{name}")
+
+
 def _stored(spark: SparkSession, store: Store, name: str, keys: DataFrame, like: DataFrame) -> DataFrame:
     """Stored rows of some keys; none, with the columns of ``like``, where nothing is stored yet."""
     if state_of(spark, store.path(name)) is None:

@@ -9,10 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelane.operators.changes import FEEDING
 from tidelane.operators.fact import DEAL
-from tidelane.plans.market_watch import Store, update_deals
+from tidelane.plans.market_watch import Store, forget_messages, update_deals
 from tidelane.schemas import TABLES
 from tidelane.sources.readers import read_tables
-from tidelane.sources.sinks import Sender
+from tidelane.sources.outbox import NumberedSender
 
 STATIC = ["MDM_CRYR"]
 
@@ -38,7 +38,7 @@ def run(
     files_per_batch: int = 1000,
     available_now: bool = True,
     interval: str = "1 minute",
-    send: Sender | None = None,
+    send: NumberedSender | None = None,
 ) -> StreamingQuery:
     """Keep the market-watch collections up to date with the tables under ``root``.
 
@@ -48,10 +48,12 @@ def run(
     after a failure replaces the same documents again.
     """
 
-    def process(batch: DataFrame, _: int) -> None:
+    def process(batch: DataFrame, number: int) -> None:
         live = batch.sparkSession
         tables = read_tables(live, root, [*FEEDING, *STATIC])
-        update_deals(live, tables, batch.distinct(), store, current_week, send)
+        update_deals(live, tables, batch.distinct(), store, current_week, send, f"stream-{number}")
+        if send is not None and number:  # a batch is repeated only until the next one begins
+            forget_messages(live, store, f"stream-{number - 1}")
 
     writer = (
         changed_deal_stream(spark, root, files_per_batch)
