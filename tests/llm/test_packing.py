@@ -4,6 +4,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import pyarrow as pa
+
+from tidelane.llm import packing
 from tidelane.llm.packing import best_fit, pack, plan
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -61,3 +64,29 @@ def test_plans_hold_all_lengths_in_few_sequences(seed):
                 held[a] += repeats * b
         assert (held == counts).all()
     assert sum(n for n, _ in plan(counts, capacity)) <= sum(n for n, _ in best_fit(counts, capacity)) * 1.01 + 1
+
+
+def test_encoder_equals_the_tokenizer_on_odd_words(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "WORDS_KEPT", 300)
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 2000)
+    deal = np.random.default_rng(1)
+    letters = list("aBcZéÉÃ×÷ßÿΣσİ漢🙂0_'-!?.,;:*&%$#\u00a0\u2003\x1c\x00<|>")
+    texts = [None, "", *(" ".join("".join(deal.choice(letters, deal.integers(1, 7))) for _ in range(deal.integers(0, 40))) for _ in range(400))]
+    encoder = packing.WordEncoder(PATH)
+    assert encoder.by_words
+    whole = Tokenizer.from_file(PATH)
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+        assert ids.tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, 0], text
+
+
+def test_a_tokenizer_that_joins_words_gets_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    tokenizer = Tokenizer(models.WordLevel({"a b": 1, "a": 2, "b": 3, "?": 0}, unk_token="?"))
+    tokenizer.pre_tokenizer = pre_tokenizers.Split("|", "removed")
+    tokenizer.save(str(tmp_path / "t.json"))
+    encoder = packing.WordEncoder(str(tmp_path / "t.json"))
+    assert not encoder.by_words
+    assert [x.tolist() for x in encoder.encode(pa.array(["a b|a", None]))] == [[1, 2, 0], [0]]

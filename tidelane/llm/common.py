@@ -123,12 +123,16 @@ def word_hashes(
     The hash is the word's polynomial modulo 2**64, taken from running sums, then mixed.
     """
     starts, ends = word_bounds(data, bounds, space)
+    return hashes_of(data, starts, ends, lower), np.searchsorted(starts, bounds), starts, ends
+
+
+def hashes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: np.ndarray = _LOWER) -> np.ndarray:
+    """64-bit hash of each stretch of bytes, taken by ``lower``."""
     weights = _power_table(_BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((lower[data].astype(np.uint64) + np.uint64(1)) * weights[: len(data)], out=sums[1:])
     back = _power_table(_BASE_INVERSE, len(data) + 1)
-    hashes = mixed((sums[ends] - sums[starts]) * back[starts])
-    return hashes, np.searchsorted(starts, bounds), starts, ends
+    return mixed((sums[ends] - sums[starts]) * back[starts])
 
 
 def signed(h: np.ndarray) -> np.ndarray:

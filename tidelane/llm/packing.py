@@ -10,44 +10,45 @@ rank among pieces of their length.
 from __future__ import annotations
 
 import os
-import re
-import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidelane.llm.common import stored
+from tidelane.llm.common import hashes_of, stored, text_blocks, word_bounds
 
-_BLANKS = re.compile("[ \t\n\x0b\x0c\r]+")
-#: Separators that ``str.split`` takes for blanks and the tokenizer doesn't.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_WIDE = re.compile("[^\x00-\xff]")
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!#$%&*,.:;?]*)")
-_TEXTS = 64
-#: A worker forgets the ids of words beyond this number, and looks them up anew.
-WORDS_KEPT = 500_000
+#: Texts, bytes of texts and words that are worked on at a time. A worker forgets words beyond ``WORDS_KEPT``.
+BLOCK_BYTES, WORDS_KEPT = 1 << 18, 400_000
 #: Ranks of one length are counted in so many parts.
 PARTS = 64
 
+# Kinds of bytes: letters (A-Z and the two bytes of Latin-1 letters), marks that no tokenizer of the kind joins to letters, others.
+_LETTER, _MARK, _OTHER = 0, 1, 2
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[65:91] = _KIND[97:123] = _KIND[0xC3] = _KIND[0x80:0xC0] = _LETTER
+_KIND[[ord(c) for c in "!#$%&*,.:;?"]] = _MARK
+#: Places of the table of words, as a power of two; at most a fifth of them are taken.
+_LOG2 = 21
 
-def _words(text: str) -> list[str]:
-    """The runs of non-blanks; lower-cased where that takes each letter to one letter."""
-    if _SEPARATORS.search(text):
-        return _BLANKS.split(text)
-    return text.lower().split() if text.isascii() or not _WIDE.search(text) else text.split()
+# Texts that show whether a tokenizer takes words one by one and marks apart from letters, and is blind to case.
+_PROBES = [
+    "The quick (brown) fox's 3.14 JUMPS, over; the l4zy-dog!?", "a b\tc\n\nd  e\x0bf\x0cg\rh", "Émile's naïve CAFÉ, señor; Übermaß... ¿qué?",
+    "x\x1cy z\x1f w\u00a0v \u2003u", "https://a.example/b?c=d&e#f user@example.com +1 (555) 010-9999", "ǅ ﬁ İstanbul ΣΑΣ 漢字 かな 🙂!",
+]
 
 
 class WordEncoder:
-    """Token ids of texts, as bytes of little-endian unsigned 32-bit numbers.
+    """Token ids of blocks of texts, each text's followed by a 0.
 
-    The tokenizer drops blanks and never joins what they part, so texts are encoded word by word,
-    and words met before aren't encoded again. Nor does it join letters with the marks after them
-    or tell cases apart; of a plain word, the letters and the marks are looked up by themselves.
+    A tokenizer that drops blanks and never joins what they part may be asked word by word. Words
+    are looked up by their hashes, A-Z in lower case, of a plain word the letters and the marks by
+    themselves; those not met before are encoded. Whether a tokenizer is of that kind is tried
+    on loading; one that isn't gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -55,32 +56,106 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        for at in range(0, len(texts), _TEXTS):
-            cut = [_words(x or "") for x in texts[at : at + _TEXTS]]
-            words = set().union(*cut)
-            if new := words.difference(self.words):
-                if len(self.words) + len(new) > WORDS_KEPT:
-                    self.words.clear()
-                    new = words
-                self._learn(new)
-            for found in cut:
-                yield b"".join(map(self.words.__getitem__, found))
-
-    def _learn(self, words: set[str]) -> None:
-        cut = {w: (m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(w)) else (w, "") for w in words}
-        new = {part for pair in cut.values() for part in pair}.difference(self.parts)
-        if len(self.parts) + len(new) > WORDS_KEPT:
-            self.parts = {"": b""}
-            new = {part for pair in cut.values() for part in pair} - {""}
-        new = list(new)
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.parts[part] = _packed(found.ids)
-        for word, (letters, marks) in cut.items():
-            self.words[word] = self.parts[letters] + self.parts[marks]
+        self._forget()
+        self.by_words = True
+        column = pa.array(_PROBES)
+        self.by_words = [x.tolist() for x in self.encode(column)] == [[*ids, 0] for ids in self._whole(_PROBES)]
+
+    def _forget(self) -> None:
+        # Place 0 is the closing 0, a word of its own; in the table it also stands for none.
+        self.table = np.zeros(1 << _LOG2, np.int32)
+        self.keys, self.starts, self.sizes = (np.zeros(WORDS_KEPT, t) for t in (np.uint64, np.int64, np.int64))
+        self.sizes[0] = 1
+        self.known = 1
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.filled = 1
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text, as unsigned 32-bit numbers."""
+        for at, data, bounds in text_blocks(texts, BLOCK_BYTES):
+            if not self.by_words:
+                for ids in self._whole([x or "" for x in texts.slice(at, len(bounds) - 1).to_pylist()]):
+                    yield np.array([*ids, 0], np.uint32)
+                continue
+            words, first, starts, ends = _parts(data, bounds)
+            places = np.insert(self._places(words, data, starts, ends), first[1:], 0)
+            sizes = self.sizes[places]
+            total = np.concatenate([[0], np.cumsum(sizes)])
+            ids = self.ids[np.repeat(self.starts[places] - total[:-1], sizes) + np.arange(total[-1])]
+            cut = total[first + np.arange(len(first))]
+            for low, high in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                yield ids[low:high]
+
+    def _places(self, words: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where each word's ids are told, after learning those that are new."""
+        places = self._found(words)
+        new = np.flatnonzero(places == 0)
+        if not len(new):
+            return places
+        fresh, at = np.unique(words[new], return_index=True)
+        if self.known + len(fresh) > WORDS_KEPT and self.known > 1:
+            self._forget()
+            return self._places(words, data, starts, ends)
+        at, raw = new[at], data.tobytes()
+        found = self._whole([raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        while self.filled + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        own = np.arange(self.known, self.known + len(fresh))
+        while own[-1] >= len(self.keys):  # one block may hold more words than are kept
+            self.keys, self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.keys, self.starts, self.sizes))
+        self.keys[own], self.sizes[own], self.starts[own] = fresh, sizes, self.filled + np.cumsum(sizes) - sizes
+        self.known, self.filled = self.known + len(fresh), self.filled + len(ids)
+        slot = self._slots(fresh)
+        while len(own):
+            free = self.table[slot] == 0
+            self.table[slot[free]] = own[free]
+            out = self.table[slot] != own
+            own, slot = own[out], (slot[out] + 1) & (len(self.table) - 1)
+        return self._found(words)
+
+    def _slots(self, words: np.ndarray) -> np.ndarray:
+        return (words >> np.uint64(64 - _LOG2)).astype(np.int64)
+
+    def _found(self, words: np.ndarray) -> np.ndarray:
+        """Places of known words, 0 for others; slots that others took are passed over."""
+        slot = self._slots(words)
+        places = self.table[slot]
+        left = np.flatnonzero((places != 0) & (self.keys[places] != words))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & (len(self.table) - 1)
+            at = self.table[slot]
+            places[left] = at
+            more = (at != 0) & (self.keys[at] != words[left])
+            left, slot = left[more], slot[more]
+        return places
+
+
+def _parts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of words, the first of each row, starts and ends; marks after plain letters are a word of their own."""
+    starts, ends = word_bounds(data, bounds)
+    kind = _KIND[data]
+    # Of the letters beyond ASCII only C3 and its followers are plain, but for the signs of times and division.
+    after = np.zeros(len(data), bool)
+    after[1:] = data[:-1] == 0xC3
+    follows = (data >= 0x80) & (data < 0xC0)
+    kind[follows & (~after | (data == 0x97) | (data == 0xB7))] = _OTHER
+    counts = [np.concatenate([[0], np.cumsum(kind == k, dtype=np.int32)]) for k in (_LETTER, _OTHER)]
+    letters = counts[0][ends] - counts[0][starts]
+    turn = starts + letters
+    plain = (counts[1][ends] == counts[1][starts]) & (counts[0][turn] - counts[0][starts] == letters) & (letters > 0) & (turn < ends)
+    cut = np.flatnonzero(plain)
+    # The stretch behind each cut word's letters is put in after it.
+    all_starts = np.insert(starts, cut + 1, turn[cut])
+    all_ends = np.insert(ends, cut, turn[cut])
+    hashes = hashes_of(data, all_starts, all_ends) | np.uint64(1)
+    return hashes, np.searchsorted(all_starts, bounds), all_starts, all_ends
 
 
 @cache
@@ -99,26 +174,30 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, id_col: str
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
         for batch in batches:
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist()), strict=True):
-                ids += b"\0\0\0\0"
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            sizes = np.zeros(batch.num_rows, np.int64)
+            sums = []
+            for k, ids in enumerate(encoder.encode(batch["text"])):
+                sizes[k] = len(ids)
+                if len(ids) <= capacity:
+                    sums.append(zlib.crc32(ids))
+                else:
+                    sums += [zlib.crc32(ids[at : at + capacity]) for at in range(0, len(ids), capacity)]
+            cut = -(-sizes // capacity)
+            row = np.repeat(np.arange(batch.num_rows), cut)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(cut) - cut, cut)
+            start = piece * capacity
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"]
-            )
+                [
+                    batch["doc_id"].take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start),
+                    pa.array(np.minimum(capacity, sizes[row] - start)), pa.array(sums, pa.int64()),
+                ],
+                ["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(scan, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 Plan = list[tuple[int, tuple[tuple[int, int], ...]]]
 
 
