@@ -18,12 +18,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidelane.llm.common import text_blocks, word_hashes
+from tidelane.llm.common import stored, text_blocks, word_hashes
 
 SLOTS, DIMS, SHAPES, SHAPE_DIMS = 1 << 14, 64, 1 << 11, 32
 WINDOW = 2
+#: Bytes of text, and words of which vectors are held, at a time.
+BLOCK_BYTES, WORDS = 1 << 17, 1 << 14
+#: Tasks that the sample is dealt to.
+TASKS = 16
+_SUMS = [f"s{k}" for k in range(DIMS)]
 
 
 def index_vectors(rows: int, dims: int, seed: int) -> np.ndarray:
@@ -67,17 +71,39 @@ def _per_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Features of each text."""
+def _row_groups(first: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``most`` words; a longer row stands alone."""
+    at = 0
+    while at < len(first) - 1:
+        end = max(int(np.searchsorted(first, first[at] + most, "right")) - 1, at + 1)
+        yield at, end
+        at = end
+
+
+def pooled(texts: pa.Array, vectors: np.ndarray, most: int = WORDS) -> np.ndarray:
+    """Features of each text; vectors of at most ``most`` words are held at a time.
+
+    A longer text is added up in stretches from its own start, so equal texts have equal features
+    wherever they stand.
+    """
     out = [np.empty((0, 2 * DIMS + SHAPE_DIMS + 1))]
-    for _, data, bounds in text_blocks(texts):
+    for _, data, bounds in text_blocks(texts, BLOCK_BYTES):
         slots, shapes, first = _words(data, bounds)
-        words = np.maximum(np.diff(first), 1)[:, None]
-        own = vectors[slots]
-        mean = _per_row(own, first) / words
-        spread = np.sqrt(np.maximum(_per_row(own * own, first) / words - mean * mean, 0))
-        shape = _per_row(SHAPE_INDEX[shapes].astype(np.float32), first) / words
-        out.append(np.hstack([mean, spread, shape, np.log1p(np.diff(first))[:, None] / 10]))
+        for low, high in _row_groups(first, most):
+            own_first = first[low : high + 1]
+            sums, squares, shape = (np.zeros((high - low, n)) for n in (DIMS, DIMS, SHAPE_DIMS))
+            for at in range(int(own_first[0]), int(own_first[-1]), most):
+                end = min(at + most, int(own_first[-1]))
+                cut = np.clip(own_first, at, end) - at
+                own = vectors[slots[at:end]]
+                sums += _per_row(own, cut)
+                np.multiply(own, own, out=own)
+                squares += _per_row(own, cut)
+                shape += _per_row(SHAPE_INDEX[shapes[at:end]].astype(np.float32), cut)
+            words = np.maximum(np.diff(own_first), 1)[:, None]
+            mean = sums / words
+            spread = np.sqrt(np.maximum(squares / words - mean * mean, 0))
+            out.append(np.hstack([mean, spread, shape / words, np.log1p(np.diff(own_first))[:, None] / 10]))
     return np.concatenate(out)
 
 
@@ -85,20 +111,22 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the index vectors around each slot's words, in whole numbers."""
     total = np.zeros((SLOTS, DIMS), np.int64)
     for batch in batches:
-        for _, data, bounds in text_blocks(batch["text"]):
+        for _, data, bounds in text_blocks(batch["text"], BLOCK_BYTES):
             slots, _, first = _words(data, bounds)
             row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            around = np.zeros((len(slots), DIMS), np.int32)
-            for d in range(1, WINDOW + 1):
-                same = (row[d:] == row[:-d])[:, None]
-                around[d:] += WORD_INDEX[slots[:-d]] * same
-                around[:-d] += WORD_INDEX[slots[d:]] * same
-            order = np.argsort(slots, kind="stable")
-            cut = np.flatnonzero(np.r_[True, np.diff(slots[order]) > 0]) if len(slots) else np.empty(0, np.int64)
-            if len(cut):
-                total[slots[order][cut]] += np.add.reduceat(around[order], cut, axis=0)
+            for at in range(0, len(slots), WORDS):
+                here = np.arange(at, min(at + WORDS, len(slots)))
+                around = np.zeros((len(here), DIMS), np.int32)
+                for d in (d for k in range(1, WINDOW + 1) for d in (-k, k)):
+                    there = np.clip(here + d, 0, len(slots) - 1)
+                    same = (there == here + d) & (row[there] == row[here])
+                    around += WORD_INDEX[slots[there]] * same[:, None]
+                own = slots[here]
+                order = np.argsort(own, kind="stable")
+                cut = np.flatnonzero(np.r_[True, np.diff(own[order]) > 0])
+                total[own[order][cut]] += np.add.reduceat(around[order], cut, axis=0)
     used = np.flatnonzero(total.any(1))
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(list(total[used]), pa.list_(pa.int64()))], ["slot", "sums"])
+    yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[used, k]) for k in range(DIMS))], ["slot", *_SUMS])
 
 
 @dataclass
@@ -174,12 +202,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", sampl
         .groupBy("doc_id").agg(F.min("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(F.broadcast(known), "doc_id").coalesce(16)
-    sums = rows.select("text").mapInArrow(_contexts, "slot long, sums array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # Ids that repeat give one text, the one with the smallest hash, so the sample stays bounded. It is stored, and read twice.
+    chosen = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    rows = rows.join(F.broadcast(known), "doc_id").repartition(TASKS, "doc_id").groupBy("doc_id", "label").agg(chosen.alias("chosen"))
+    rows = stored(rows.select("doc_id", "label", "chosen.text"), "sample")
+    sums = rows.select("text").mapInArrow(_contexts, ", ".join(f"{name} long" for name in ("slot", *_SUMS)))
+    added = sums.groupBy("slot").agg(*[F.sum(name).alias(name) for name in _SUMS]).toArrow()
     around = np.zeros((SLOTS, DIMS))
-    for part in sums.toArrow().to_batches():
-        np.add.at(around, part["slot"].to_numpy(), part["sums"].flatten().to_numpy().reshape(-1, DIMS))
+    around[added["slot"].to_numpy()] = np.stack([added[name].to_numpy() for name in _SUMS], axis=1)
     unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
     vectors = (unit(WORD_INDEX.astype(float)) + unit(around)).astype(np.float32)
     sent = docs.sparkSession.sparkContext.broadcast(vectors)
@@ -207,20 +238,17 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network | float]) -> DataFra
 
     Null and empty texts have no words; they get what the network makes of none.
     """
-    docs = docs.drop("score")
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vectors, net = sent.value
-        for batch in batches:
-            if isinstance(net, float):
-                found = np.full(batch.num_rows, net)
-            else:
-                found = net.scores(pooled(batch["text"].cast(pa.string()), vectors))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "score"])
+        for column in texts:
+            found = np.full(len(column), net) if isinstance(net, float) else net.scores(pooled(column, vectors))
+            yield pa.array(found, pa.float64())
 
-    return docs.mapInArrow(scan, schema)
+    # Only texts go to Python and only scores come back.
+    return docs.withColumn("score", scored.asNondeterministic()(F.col("text").cast("string")))
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, least: float = 0.3, sample: int = 12_000) -> DataFrame:
