@@ -626,6 +626,7 @@ WHERE d.offerTypeCode = 'S'
         "mw_wkdetail_incr": changed
         + _cells(_detail("in_weeks"), f"{week_keys}, interval", "close", "xAxis"),
         "mi_sum_flat": f"{_with(INDEX)} {_index('xAxis')}",
+        "mi_sum_incr": f"{_with(INDEX)} {_index('xAxis')}",
         "mi_sum_chrono": _with(INDEX)
         + _index("CAST(substr(xAxis, 1, 4) AS INTEGER), CAST(substr(xAxis, 5) AS INTEGER)"),
         "mi_sum_cells": _with(INDEX)

@@ -91,3 +91,106 @@ def test_dashboards(spark, tmp_path):
     for name in ("OFFER_SUM", "OFFER_WKLIST", "OFFER_RTELIST", "OFFER_WKDETAIL", "OFFER_EVNTLOG"):
         live, full = (sinks.read_keyed(spark, f"{r}/{name}") for r in (root, rebuilt))
         assert rows(live) == rows(full), name
+
+
+def test_jdbc_ranges_follow_the_rows_and_cover_every_id_once():
+    import random
+
+    deal = random.Random(4)
+    ids = [*range(1000), *deal.sample(range(10**9, 10**9 + 10**6), 3000), *[-5] * 500, 10**12]
+    low, width = min(ids), -(-(max(ids) - min(ids) + 1) // 4096)
+    cells = {}
+    for i in ids:
+        cells[(i - low) // width] = cells.get((i - low) // width, 0) + 1
+    even = {k: 1 for k in range(100)}
+    for histogram, start, step, rows_ in ((cells, low, width, ids), (even, 0, 10, list(range(1000)))):
+        cuts = readers.quantile_cuts(histogram, start, step, 8)
+        assert cuts == sorted(set(cuts)) and len(cuts) < 8
+        import duckdb
+
+        table = duckdb.sql(f"SELECT unnest({rows_} || [NULL, NULL]) AS ID")  # noqa: F841
+        counts = [duckdb.sql(f"SELECT count(*) FROM table WHERE {p}".replace("FROM table", "FROM \"table\"")).fetchall()[0][0] for p in readers.split_predicates("ID", cuts)]
+        assert sum(counts) == len(rows_) + 2
+        assert max(counts) <= max(2 + 2 * len(rows_) / 8, max(histogram.values()) * 1.01 + len(rows_) / 8 + 2)
+    assert readers.split_predicates("ID", readers.quantile_cuts({}, 0, 1, 8)) == ["1 = 1"]
+    assert max(readers.quantile_cuts(even, 0, 10, 1), default=None) is None
+
+
+def test_histogram_query_counts_cells():
+    import duckdb
+
+    table = duckdb.sql("SELECT unnest([3, 4, 13, 23, NULL]) AS ID")  # noqa: F841
+    found = duckdb.sql(readers.id_histogram_query('"table"', "ID", 3, 10)).fetchall()
+    assert sorted((int(c), n) for c, n in found) == [(0, 2), (1, 1), (2, 1)]
+
+
+def test_malformed_lines_are_kept_aside(spark, tmp_path):
+    import pytest
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("id int, day date, name string")
+    (tmp_path / "a.csv").write_text("id,day,name\n1,2020-01-05,x\nzwei,2020-01-05,y\n3,2020-13-45,z\n4,,\n5\n6,2020-01-06,a,b\n")
+    (tmp_path / "b.csv").write_text("id,day,name\n7,2020-01-07,w\n")
+    good, bad = readers.read_csv_parts(spark, str(tmp_path), schema)
+    assert good.schema == schema and sorted(r.id for r in good.collect()) == [1, 4, 7]
+    assert sorted(r.corrupt_line for r in bad.collect()) == ["3,2020-13-45,z", "5", "6,2020-01-06,a,b", "zwei,2020-01-05,y"]
+    aside = str(tmp_path.parent / "quarantine")
+    assert readers.quarantined(bad, aside, "a") == 4
+    assert spark.read.parquet(aside).filter("source = 'a'").count() == 4
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        readers.read_csv(spark, str(tmp_path), schema).collect()
+    with pytest.raises(readers.HeaderError, match="nom"):
+        readers.read_csv(spark, str(tmp_path), StructType.fromDDL("id int, day date, nom string"))
+
+
+def test_marks_come_from_file_footers(spark, tmp_path):
+    from tidelane.operators import changes
+
+    tables = deal_tables(spark, [("D1", time("20200101"), 1, 1), ("D2", time("20200101"), 1, 1)])
+    names = ["FTR_DEAL", "FTR_DEAL_RTE", "FTR_DEAL_CRYR"]
+    for name in names:
+        tables[name].write.parquet(f"{tmp_path}/{name}")
+    marks = readers.footer_marks(spark, str(tmp_path), names)
+    assert rows(marks) == rows(changes.max_id(tables, names)) and ("FTR_DEAL_CRYR", None) in rows(marks)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    plan = readers.max_of_files(own, f"{tmp_path}/FTR_DEAL", TABLES["FTR_DEAL"], "ID")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(ID)]" in plan
+
+
+def test_new_quotes_touch_their_buckets_and_successors(spark, tmp_path):
+    from datetime import date, timedelta
+
+    from tidelane.operators import index
+
+    start = date(2019, 11, 4)
+    given = [("s", "c", f"i{k % 3}", f"n{k % 2}", start + timedelta(days=5 * k), float(k % 11), "1", "T", "USD") for k in range(60)]
+    late = [("s", "c", "i0", "n0", date(2019, 12, 3), 99.0, "1", "T", "USD"), ("s", "c", "i9", "n1", date(2021, 1, 3), 4.0, "1", "T", "USD")]
+    old, new = (spark.createDataFrame(x, TABLES["INDEX"]) for x in (given, late))
+    for chronological in (False, True):
+        updated = index.mi_sum_updated(index.mi_sum_rows(old, chronological), old.unionByName(new), new, chronological)
+        assert rows(updated) == rows(index.mi_sum_rows(old.unionByName(new), chronological))
+    root = str(tmp_path)
+    index_run.build_series(spark, old, root, buckets=16)
+    before = sinks.state_of(spark, f"{root}/MI_ROWS")
+    one = new.filter("idxNm = 'n0'")
+    for _ in range(2):
+        index_run.add_quotes(spark, old.unionByName(one), one, root)
+        assert rows(sinks.read_keyed(spark, f"{root}/MI_ROWS")) == rows(index.mi_sum_rows(old.unionByName(one)))
+    after = sinks.state_of(spark, f"{root}/MI_ROWS")
+    assert sum(before.generations[b] != after.generations[b] for b in before.generations) <= 3
+
+
+def test_only_small_masters_are_sent_to_every_task(spark, tmp_path):
+    from tidelane.functions.values import estimated_bytes, sized
+    from tidelane.operators import fact
+
+    spark.range(2000).selectExpr("concat('C', id) AS CRYR_CD", "uuid() AS CRYR_NM").write.parquet(str(tmp_path / "m"))
+    master = spark.read.parquet(str(tmp_path / "m"))
+    hinted = lambda frame: "broadcast" in frame._jdf.queryExecution().analyzed().toString().lower()
+    assert estimated_bytes(master) > 10_000
+    assert hinted(sized(master)) and not hinted(sized(master, 10_000))
+    tables = deal_tables(spark, [("D1", time("20200101"), 1, 1)], ["C1"])
+    tables["MDM_CRYR"] = master
+    assert hinted(fact.deal_carriers(tables))

@@ -13,6 +13,10 @@ def test_stamps_give_back_time_and_price(spark):
         ("20991231235959999999", D("9999999999999999.99")),
         (time("20200105", 8), None),
         (None, D("1.00")),
+        ("18991231235959999999", D("-9999999999999999.99")),
+        ("29990101000000000000", D("0.00")),
+        ("00000000000000000002", D("0.01")),
+        ("99999999999999999999", D("9999999999999999.99")),
     ]
     frame = spark.createDataFrame(pairs, "t string, p decimal(18,2)")
     packed = stamp(F.col("t"), F.col("p"))
@@ -35,3 +39,16 @@ def test_first_and_last_stay_in_a_hash_aggregate(spark):
     packed = stamp(F.col("t"), F.col("p"))
     plan = frame.groupBy("k").agg(F.min(packed), F.max(packed))._jdf.queryExecution().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_times_of_other_shapes_lose_only_the_time(spark):
+    frame = spark.createDataFrame([(t, D(3)) for t in ("20200101", "x" * 20, "", "2" * 21)], "t string, p decimal(18,2)")
+    packed = stamp(F.col("t"), F.col("p"))
+    assert rows(frame.select(moment_time(stamp_moment(packed)), stamp_price(packed))) == [(None, D(3))] * 4
+
+
+def test_all_years_order(spark):
+    times = ["00010101000000000000", "18991231000000000000", "19000101000000000000", "28000101000000000000", "29990101000000000000"]
+    frame = spark.createDataFrame([(t, D(p)) for t in times for p in (-1, 1)], "t string, p decimal(18,2)")
+    packed = stamp(F.col("t"), F.col("p")).alias("s")
+    assert [r.t for r in frame.select("t", packed).orderBy("s").collect()] == [t for t in times for _ in (0, 1)]

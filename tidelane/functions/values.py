@@ -55,3 +55,17 @@ def topic_name(document: Column) -> Column:
         cleaned(F.get_json_object(document, "$.podCode")),
         F.lit("_01"),
     )
+
+
+#: Bytes, by the optimizer's estimate, up to which a side may be sent to every task.
+SMALL = 8 << 20
+
+
+def estimated_bytes(frame: DataFrame) -> int:
+    """What the optimizer takes the frame's size to be; for files, at most what they hold."""
+    return int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def sized(frame: DataFrame, limit: int = SMALL) -> DataFrame:
+    """The frame with a broadcast hint if it is surely small, and as it is otherwise."""
+    return F.broadcast(frame) if estimated_bytes(frame) <= limit else frame

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelane.functions.bloom import bloom, may_hold
-from tidelane.functions.values import null_safe_join
+from tidelane.functions.values import null_safe_join, sized
 
 Tables = Mapping[str, DataFrame]
 
@@ -249,7 +249,7 @@ def named_routes(pairs: DataFrame, ports: DataFrame) -> DataFrame:
         names = ports.select(
             F.col("locCd").alias(f"{end}Code"), F.col("locNm").alias(f"{end}Name")
         )
-        pairs = pairs.join(names, f"{end}Code", "left")
+        pairs = pairs.join(sized(names), f"{end}Code", "left")
     return pairs
 
 
@@ -262,6 +262,7 @@ def week_lines(lines: DataFrame, version: list[str], amounts: list[str]) -> Data
 
 
 def carrier_names(master: DataFrame) -> DataFrame:
+    """Code and name of each carrier; joins send a small master to every task and shuffle a large one."""
     return master.select(
         F.col("CRYR_CD").alias("carrierCode"), F.col("CRYR_NM").alias("carrierName")
     )
@@ -272,7 +273,7 @@ def deal_carriers(tables: Tables, mdm_cryr: DataFrame | None = None, *more: str)
     return (
         tables["FTR_DEAL_CRYR"]
         .select(*DEAL, F.col("OFER_CRYR_CD").alias("carrierCode"), *more)
-        .join(names, "carrierCode", "left")
+        .join(sized(names), "carrierCode", "left")
     )
 
 
@@ -297,7 +298,7 @@ def carrier_sets(carriers: DataFrame, names: DataFrame, version: list[str]) -> D
     codes = F.array_compact(F.array_distinct(F.transform("carrierItem", lambda c: c.carrierCode)))
     return (
         carriers.select(*version, F.col("OFER_CRYR_CD").alias("carrierCode"))
-        .join(names, "carrierCode", "left")
+        .join(sized(names), "carrierCode", "left")
         .groupBy(*version)
         .agg(items.alias("carrierItem"))
         .withColumn("carrierCount", F.size(codes).cast("long"))
