@@ -76,3 +76,10 @@ def test_edges(spark):
     one = fingerprints(spark.createDataFrame([(9, "ab cd")], SCHEMA)).collect()
     assert one[0].edited_sha256 == hashlib.sha256(b"ab ab").hexdigest() and one[0].near_next == 1.0
     assert fingerprints(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_many_paragraphs_in_one_text(spark):
+    lines = [f"line {i}" for i in range(3000)]
+    frame = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(lines[:2000] + ["other"] * 5))], "doc_id long, text string")
+    near = {r.doc_id: r.near_next for r in fingerprints(frame).collect()}
+    assert near[1] == near[2] == 2000 / 3001

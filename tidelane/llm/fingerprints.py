@@ -41,15 +41,19 @@ def digests(text: Column) -> Column:
 
 def _placed(key: Column, count: Column, third: Column) -> Column:
     """The three cell entries of a digest."""
-    return F.array(
-        *[
-            F.struct(
-                (F.pmod(F.xxhash64(key, F.lit(j)), third) + j * third).cast("int").alias("cell"),
-                count.cast("int").alias("cnt"), key.alias("key"), F.xxhash64(key, F.lit(_CHECK)).alias("chk"),
-            )
-            for j in range(3)
-        ]
-    )
+
+    def entries(check: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    (F.pmod(F.xxhash64(key, F.lit(j)), third) + j * third).cast("int").alias("cell"),
+                    count.cast("int").alias("cnt"), key.alias("key"), check.alias("chk"),
+                )
+                for j in range(3)
+            ]
+        )
+
+    return _let(F.xxhash64(key, F.lit(_CHECK)), entries)
 
 
 def _entries(keys: Column, sign: int, third: Column) -> Column:
@@ -57,24 +61,37 @@ def _entries(keys: Column, sign: int, third: Column) -> Column:
 
 
 def _summed(entries: Column) -> Column:
-    """Entries added up by cell; cells that come to nothing are left out."""
+    """Entries added up by cell; cells that come to nothing are left out.
+
+    Sorted by cell, entries of one cell are a slice; each is added up by itself, so the work is linear but for the sort.
+    """
 
-    def close(acc: Column) -> Column:
-        cell = F.struct(acc["cell"].alias("cell"), acc["cnt"].alias("cnt"), acc["key"].alias("key"), acc["chk"].alias("chk"))
-        return F.when((acc["cnt"] == 0) & (acc["key"] == 0), acc["done"]).otherwise(F.concat(acc["done"], F.array(cell)))
+    def cell_of(part: Column) -> Column:
+        first = F.get(part, F.lit(0))
+        alone = F.size(part) == 1
+        merged = F.aggregate(
+            part,
+            F.struct(F.lit(0).alias("cell"), F.lit(0).alias("cnt"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("chk")),
+            lambda acc, e: F.struct(
+                e["cell"].alias("cell"), (acc["cnt"] + e["cnt"]).alias("cnt"), acc["key"].bitwiseXOR(e["key"]).alias("key"),
+                acc["chk"].bitwiseXOR(e["chk"]).alias("chk"),
+            ),
+        )
+        return F.when(alone, first).otherwise(merged)
 
-    def state(done, cell, cnt, key, chk) -> Column:
-        return F.struct(done.alias("done"), cell.alias("cell"), cnt.alias("cnt"), key.alias("key"), chk.alias("chk"))
+    def grouped(sorted_: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(sorted_) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(sorted_, i)["cell"] != F.get(sorted_, i - 1)["cell"]))
 
-    return F.aggregate(
-        F.array_sort(entries),
-        state(F.array().cast(_CELLS_TYPE), F.lit(-1), F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long")),
-        lambda acc, e: F.when(
-            acc["cell"] == e["cell"],
-            state(acc["done"], acc["cell"], acc["cnt"] + e["cnt"], acc["key"].bitwiseXOR(e["key"]), acc["chk"].bitwiseXOR(e["chk"])),
-        ).otherwise(state(close(acc), e["cell"], e["cnt"], e["key"], e["chk"])),
-        close,
-    )
+        def cut(starts: Column) -> Column:
+            cells = F.transform(
+                starts, lambda s, g: cell_of(F.slice(sorted_, s + 1, F.coalesce(F.get(starts, g + 1), F.size(sorted_)) - s))
+            )
+            return F.filter(cells, lambda c: (c["cnt"] != 0) | (c["key"] != 0))
+
+        return F.when(F.size(sorted_) == 0, F.array().cast(_CELLS_TYPE)).otherwise(_let(starts, cut))
+
+    return _let(F.sort_array(entries), grouped)
 
 
 def sketch(keys: Column, cells: int = CELLS) -> Column:
@@ -161,12 +178,15 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """
     ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = with_next(rows, "doc_id", "text", "following", ranges).withColumn("edited", edited(F.col("text"), F.col("following")))
+    # Digests travel with their text, so each text's are made once for itself and for the text before.
+    rows = rows.select("doc_id", F.struct("text", digests(F.col("text")).alias("keys")).alias("unit"))
+    rows = with_next(rows, "doc_id", "unit", "following", ranges).select("doc_id", "unit.*", "following")
+    rows = rows.withColumn("edited", edited(F.col("text"), F.col("following.text")))
     rows = rows.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("new"), digests(F.col("following")).alias("next"),
+        F.col("keys").alias("own"), digests(F.col("edited")).alias("new"), F.col("following.keys").alias("next"),
     )
     rows = rows.withColumns(
         {"changed": differing(F.col("own"), F.col("new")), "next_changed": differing(F.col("own"), F.col("next"))}

@@ -15,8 +15,8 @@ Two documents link when their sets of word n-grams have a Jaccard likeness of at
    rules a link out, or which are one known component already. N-grams of many classes are cut
    into blocks, and each pair of blocks is a group of its own.
 5. Pairs that remain are tested by bitmaps as wide as their sets are large, then compared exactly,
-   set by set: first one of each class, then those that still join different components. All links
-   are closed to components.
+   set by set, in rounds: one of each class, then four, sixteen and so on of those
+   that still join different components. All links are closed to components.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidelane.llm.common import Bits, mixed, signed, stored, text_blocks, word_hashes
 from tidelane.llm.components import components
@@ -91,17 +91,16 @@ def _bitmap(grams: np.ndarray) -> bytes:
 def ngram_components(
     docs: DataFrame, *, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``n_links`` and ``component_id`` of every row of ``docs``.
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
     Words are runs of other than space and tab to carriage return, with A-Z lower-cased; the whole
     text counts. A set holds distinct runs of ``width`` words, or the whole sequence if there are
-    fewer. ``n_links`` counts the links of the row's class that were followed (equal sets aside).
-    Null and empty texts have no words: size 0, no links, their own id as component. A null id
+    fewer. Null and empty texts have no words: size 0, no links, their own id as component. A null id
     stays null and never names a component. Rows that repeat are copies of each other. An empty
     table gives an empty result; other columns of ``docs`` are not looked at.
     """
     found = _found(docs, width, percent, id_col, text_col)
-    return found.select("doc_id", "n_shingles", "n_links", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def ngram_join(docs: DataFrame, *, width: int = 5, percent: int = 75) -> DataFrame:
@@ -136,8 +135,7 @@ def _found(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str
     members = sets.filter("kind = 0").select("doc_id", "n", "class", "row")
     often = Bits.of(sets.filter("kind = 1").select(F.explode("late").alias("gram")), "gram", 23)
     firsts = _firsts(docs, width, percent, often)
-    links = stored(_links(spark, docs, members, firsts, width, percent), "ngram-links")
-    return _membership(members, links)
+    return _membership(members, _links(spark, docs, members, firsts, width, percent))
 
 
 def _sizes(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -228,25 +226,33 @@ def _links(spark: SparkSession, docs: DataFrame, members: DataFrame, firsts: Dat
         .select(F.col("class").alias("a"), F.col("leader").alias("b"))
     )
     led = stored(_possible(led, size, percent), "ngram-led")
-    first_links = stored(_verified(spark, docs, members, led, width, percent), "ngram-led-links")
+    first_links = stored(_verified(led, _sets_of(spark, docs, members, led, width), percent), "ngram-led-links")
 
     known = _known(first_links)
     labelled = stored(
         of_gram.join(known, "class", "left").select("gram", "class", F.coalesce("known", "class").alias("label")), "ngram-labelled"
     )
-    open_grams = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("gram")
+    # N-grams of the same classes give the same pairs: of a passage that many texts share, one n-gram will do.
+    marks = [F.sum(F.xxhash64(F.col("class"), F.lit(seed)).cast("decimal(20,0)")).alias(f"mark{seed}") for seed in (0, 1)]
+    open_grams = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"), *marks)
+    open_grams = open_grams.filter("lo != hi").groupBy("c", "mark0", "mark1").agg(F.min("gram").alias("gram")).select("gram")
     pairs = stored(_tree_pairs(labelled.join(open_grams, "gram"), size, percent).distinct(), "ngram-pairs")
 
-    # First one pair of each class; then only those whose classes aren't in one component by then.
-    nearest = pairs.groupBy("a").agg(F.min("b").alias("b"))
-    links = stored(first_links.unionByName(_verified(spark, docs, members, nearest, width, percent)), "ngram-near-links")
-    known = _known(links)
-    rest = pairs
-    for side in "ab":
-        rest = rest.join(known.select(F.col("class").alias(side), F.col("known").alias(f"known_{side}")), side, "left")
-    rest = rest.filter("coalesce(known_a, a) != coalesce(known_b, b)").select("a", "b")
-    rest = stored(rest.join(nearest, ["a", "b"], "left_anti"), "ngram-rest")
-    return links.unionByName(_verified(spark, docs, members, rest, width, percent)).distinct()
+    # Round by round, more pairs of each class are compared, and only while they are in two components.
+    found, links, most = _sets_of(spark, docs, members, pairs, width), first_links, 1
+    while True:
+        for side in "ab":
+            pairs = pairs.join(known.select(F.col("class").alias(side), F.col("known").alias(f"known_{side}")), side, "left")
+        labels = [F.coalesce(f"known_{side}", side).alias(f"label_{side}") for side in "ab"]
+        open_ = pairs.select("a", "b", *labels).filter("label_a != label_b")
+        turn = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b")))
+        open_ = stored(open_.select("a", "b", turn.alias("turn")), "ngram-open")
+        tried = open_.filter(F.col("turn") <= most).select("a", "b")
+        if tried.isEmpty():
+            return links.distinct()
+        links = stored(links.unionByName(_verified(tried, found, percent)), "ngram-links")
+        known = _known(links)
+        pairs, most = open_.filter(F.col("turn") > most).select("a", "b"), 4 * most
 
 
 def _known(links: DataFrame) -> DataFrame:
@@ -287,8 +293,8 @@ def _within(firsts: DataFrame, bits: Bits) -> DataFrame:
     return firsts.select("class", "firsts").mapInArrow(scan, "class long, gram long")
 
 
-def _verified(spark: SparkSession, docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of classes whose sets link, by the sets of one row of each class, one with an id if there is any."""
+def _sets_of(spark: SparkSession, docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """Set and bitmap of each class in ``pairs``, from one of its rows, one with an id if there is any."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     row = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.col("row"))), F.min("row"))
     chosen = stored(
@@ -315,7 +321,11 @@ def _verified(spark: SparkSession, docs: DataFrame, members: DataFrame, pairs: D
 
     # A row that only the bit table lets in, or a class met twice, adds nothing false. Copies without
     # an id can't be told apart, so many tasks may hold a class; the first one's sets are taken.
-    found = stored(docs.select("row", "text").mapInArrow(sets, "class long, task int, n long, bits binary, grams binary"), "ngram-texts")
+    return stored(docs.select("row", "text").mapInArrow(sets, "class long, task int, n long, bits binary, grams binary"), "ngram-texts")
+
+
+def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` of classes whose sets link."""
     pairs = stored(_near_by_bitmaps(pairs, found, percent), "ngram-near")
 
     def linked(batches):
@@ -494,17 +504,15 @@ class SignatureTree:
 
 def _membership(members: DataFrame, links: DataFrame) -> DataFrame:
     roots = components(links, "a", "b")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     named = members.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"))
     named = (
         named.join(roots, F.col("class") == F.col("node"), "left").drop("node")
-        .join(degree, F.col("class") == F.col("node"), "left").drop("node")
         .withColumn("root", F.coalesce("root", "class"))
     )
     named = stored(named, "ngram-roots")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(ids, "root").select("class", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_class = named.join(ids, "root").select("class", "root", "component_id")
     return members.join(of_class, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "row", "root",
     )
