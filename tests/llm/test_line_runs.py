@@ -48,3 +48,11 @@ def test_runs_merge_by_levels_and_survive(spark):
     assert {tuple(r) for r in again.counts().collect()} == {(1, 5), *((10 + i, 2) for i in range(5))}
     assert [r.hash for r in again.known(5).collect()] == [1]
     assert LineRuns.open(spark, path, 4).counts().count() == 5
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(i, "same\nown " + str(i), i, i, i) for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _id long, Line_key long, hashes long")
+    kept = drop_frequent_lines(frame)
+    assert set(kept.columns) == {*frame.columns, "n_lines", "n_dropped"}
+    assert sorted(tuple(r) for r in kept.select(*frame.columns).collect()) == [(i, f"own {i}", i, i, i) for i in range(12)]

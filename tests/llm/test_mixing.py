@@ -78,3 +78,10 @@ def test_tempered_shares():
     assert sum(shares.values()) == pytest.approx(1) and shares["other"] == pytest.approx(0.1)
     assert shares["a"] / shares["b"] == pytest.approx(8**0.5)
     assert tempered({"other": 5}, 0.5) == {"other": 1.0} and tempered({}, 0.5) == {}
+
+
+def test_rows_without_ids_are_drawn_each_by_its_text(spark):
+    rows = [(None, f"word{i} more words", "s", "en") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    drawn = mix(frame, classes={"source": 3}, budget=0.5).filter("sampled").count()
+    assert 140 < drawn < 260

@@ -30,9 +30,13 @@ def _own_folder() -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (tests in one process) is a folder made here.
+    Only where that setting is missing and all runs in one process (tests) is a folder made here.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
 
 

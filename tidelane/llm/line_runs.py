@@ -93,11 +93,16 @@ def drop_frequent_lines(
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    row = {"_id": F.col(id_col), "_print": F.xxhash64(text)}
+    # Names that no column of the documents has.
+    own = "line"
+    while any(name.lower().startswith(own) for name in docs.columns):
+        own += "_"
+    key, mark, out_key, out_mark, gone = (f"{own}_{x}" for x in ("key", "mark", "out_key", "out_mark", "gone"))
+    row = {key: F.col(id_col), mark: F.xxhash64(text)}
     hashed = docs.select(
         *[v.alias(k) for k, v in row.items()],
         F.array_compact(F.array_distinct(line_hashes(text, least_length))).alias("hashes"),
-    ).withColumn("batch", F.pmod("_print", F.lit(batches)).cast("int"))
+    ).withColumn("batch", F.pmod(mark, F.lit(batches)).cast("int"))
     hashed = stored(hashed, "line-hashes")
     runs = LineRuns(spark, shared_path(spark, "line-runs"), fan_in=fan_in)
     for batch in range(batches):
@@ -105,20 +110,20 @@ def drop_frequent_lines(
         runs.add(new.join(runs.known(least_docs), "hash", "left_anti") if runs.runs else new)
     frequent = stored(runs.known(least_docs), "line-frequent")
     out = (
-        hashed.select("_id", "_print", F.explode("hashes").alias("hash")).join(frequent, "hash")
-        .groupBy("_id", "_print").agg(F.collect_set("hash").alias("_out"))
+        hashed.select(key, mark, F.explode("hashes").alias("hash")).join(frequent, "hash")
+        .groupBy(key, mark).agg(F.collect_set("hash").alias(gone))
     )
-    right = out.select(F.col("_id").alias("_id2"), F.col("_print").alias("_print2"), "_out")
+    right = out.select(F.col(key).alias(out_key), F.col(mark).alias(out_mark), gone)
     joined = docs.withColumns(row).join(
-        right, (F.col("_print") == F.col("_print2")) & F.col("_id").eqNullSafe(F.col("_id2")), "left"
+        right, (F.col(mark) == F.col(out_mark)) & F.col(key).eqNullSafe(F.col(out_key)), "left"
     )
-    drops = F.coalesce(F.transform(line_hashes(text, least_length), lambda h: F.coalesce(F.array_contains("_out", h), F.lit(False))), F.array())
+    drops = F.coalesce(F.transform(line_hashes(text, least_length), lambda h: F.coalesce(F.array_contains(gone, h), F.lit(False))), F.array())
     lines = lines_of(text)
     kept = F.array_join(F.filter(F.arrays_zip(lines.alias("line"), drops.alias("drop")), lambda x: ~x["drop"])["line"], "\n")
     return joined.withColumns(
         {
             "n_lines": F.size(lines).cast("long"),
-            "n_dropped": F.when(F.col("_out").isNull(), 0).otherwise(F.size(F.filter(drops, lambda d: d))).cast("long"),
-            text_col: F.when(F.col("_out").isNull(), F.col(text_col).cast("string")).otherwise(kept),
+            "n_dropped": F.when(F.col(gone).isNull(), 0).otherwise(F.size(F.filter(drops, lambda d: d))).cast("long"),
+            text_col: F.when(F.col(gone).isNull(), F.col(text_col).cast("string")).otherwise(kept),
         }
-    ).drop("_id", "_print", "_id2", "_print2", "_out")
+    ).drop(key, mark, out_key, out_mark, gone)

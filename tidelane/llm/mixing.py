@@ -139,7 +139,7 @@ def mix(
     whole and the rest of its target is spread over the others (``reachable``), so that no scarce
     class bounds what is drawn. A document without words is drawn like those of its cell; a cell
     without tokens is drawn whole, as it weighs nothing.
-    Rows with one id are drawn together, as are those with a null id. An empty table gives no rows.
+    Rows with one id are drawn together; rows with a null id are drawn by their texts. An empty table gives no rows.
     Columns named like the added ones are replaced; other columns stay.
     """
     docs = profiled(docs.drop("n_tokens", "topic", "probability", "weight", "sampled"))
@@ -182,7 +182,9 @@ def mix(
         for n, i in zip(tokens.shape, at, strict=True):
             flat = flat * n + i
         chance = F.get(F.lit([float(x) for x in p.ravel()]), flat.cast("int"))
-    unit = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("long"), F.lit(seed)), 11) / float(1 << 53)
+    # Rows without an id are told apart by their text.
+    name = F.coalesce(F.col(id_col).cast("long"), F.xxhash64("text"))
+    unit = F.shiftrightunsigned(F.xxhash64(name, F.lit(seed)), 11) / float(1 << 53)
     return docs.withColumn("probability", chance).withColumns(
         {"weight": F.when(F.col("probability") > 0, 1 / F.col("probability")), "sampled": unit < F.col("probability")}
     )
