@@ -29,6 +29,18 @@ def test_equals_plain_search_with_ties(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == plain(rows, asked, 7)
 
 
+def test_tiles_and_blocks_meet_in_groups(spark, monkeypatch):
+    for name, size in (("TILE", 16), ("BLOCK", 4), ("TILES", 1), ("BLOCKS", 2)):
+        monkeypatch.setattr(module, name, size)
+    deal = random.Random(2)
+    rows = [(i, [deal.randint(-9, 9) for _ in range(3)]) for i in range(200)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    found = top_k(frame, frame.filter("vec_id % 8 = 0"), k=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dim" in plan and "across" in plan and "down" in plan
+    assert sorted(tuple(r) for r in found.collect()) == plain(rows, [r for r in rows if r[0] % 8 == 0], 5)
+
+
 def test_products_are_exact():
     a = np.array([[1 << 40, 3]]), np.array([[1 << 20, 5], [7, -2]])
     assert product(*a).tolist() == [[(1 << 60) + 15, (7 << 40) - 6]]

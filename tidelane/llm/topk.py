@@ -15,22 +15,27 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Vectors in a tile and in a block of queries.
 TILE, BLOCK = 4096, 1024
+#: Tiles and blocks that meet in one task, if they are full.
+TILES, BLOCKS = 4, 16
 _SAFE = 1 << 52
 _LOWEST = np.iinfo(np.int64).min
 
 
 def _matrices(frame: DataFrame, rows: int) -> DataFrame:
-    """``ids`` and ``values`` (64-bit integers as bytes) of up to ``rows`` vectors of one ``dim`` and one task."""
+    """``ids`` and ``values`` (64-bit integers as bytes) of up to ``rows`` vectors of one ``dim`` and one task; ``task`` tells the task."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
         def out(dim: int) -> pa.RecordBatch:
             ids, values = zip(*held.pop(dim), strict=True)
-            columns = [pa.array([dim], pa.int32()), pa.array([np.concatenate(ids).tobytes()]), pa.array([np.concatenate(values).tobytes()])]
-            return pa.RecordBatch.from_arrays(columns, ["dim", "ids", "values"])
+            columns = [pa.array([dim], pa.int32()), pa.array([task], pa.int32())]
+            columns += [pa.array([np.concatenate(x).tobytes()]) for x in (ids, values)]
+            return pa.RecordBatch.from_arrays(columns, ["dim", "task", "ids", "values"])
 
+        task = 0
         for batch in batches:
+            task = batch["task"][0].as_py() if batch.num_rows else task
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 lists, ids = part["vector"], part["id"].to_numpy()
@@ -43,7 +48,11 @@ def _matrices(frame: DataFrame, rows: int) -> DataFrame:
         for dim in list(held):
             yield out(dim)
 
-    return frame.select("id", "vector").mapInArrow(scan, "dim int, ids binary, values binary")
+    return frame.select("id", "vector", F.spark_partition_id().alias("task")).mapInArrow(scan, "dim int, task int, ids binary, values binary")
+
+
+def _groups(rows: int, each: int) -> int:
+    return max(1, -(-rows // each))
 
 
 def _read(ids: pa.Scalar, values: pa.Scalar, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,9 +91,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str =
         return frame.filter(F.col("id").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull()))
 
     asked = clean(queries).groupBy("id").agg(F.max("vector").alias("vector"))
-    blocks = _matrices(asked.coalesce(max(1, asked.count() // BLOCK)), BLOCK)
-    tiles = _matrices(clean(vectors), TILE)
-    met = tiles.withColumnsRenamed({"ids": "tile_ids", "values": "tile"}).join(blocks, "dim")
+    n_asked = asked.count()
+    blocks = _matrices(asked.coalesce(max(1, n_asked // BLOCK)), BLOCK)
+    tiles = _matrices(clean(vectors), TILE).withColumnsRenamed({"ids": "tile_ids", "values": "tile"})
+    # Each group of tiles meets each group of blocks in a task of its own. What a task read is in one group,
+    # so that a task which runs again gives the same.
+    across, down = _groups(vectors.count(), TILES * TILE), _groups(n_asked, BLOCKS * BLOCK)
+
+    def dealt(frame: DataFrame, own: str, groups: int, other: str, others: int) -> DataFrame:
+        frame = frame.withColumn(own, F.pmod("task", F.lit(groups))).drop("task")
+        return frame.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    met = dealt(tiles, "across", across, "down", down).join(dealt(blocks, "down", down, "across", across), ["dim", "across", "down"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 3
