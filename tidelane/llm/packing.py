@@ -24,8 +24,6 @@ from tidelane.llm.common import hashes_of, stored, text_blocks, word_bounds
 
 #: Texts, bytes of texts and words that are worked on at a time. A worker forgets words beyond ``WORDS_KEPT``.
 BLOCK_BYTES, WORDS_KEPT = 1 << 18, 400_000
-#: Ranks of one length are counted in so many parts.
-PARTS = 64
 
 # Kinds of bytes: letters (A-Z and the two bytes of Latin-1 letters), marks that no tokenizer of the kind joins to letters, others.
 _LETTER, _MARK, _OTHER = 0, 1, 2
@@ -330,25 +328,28 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, id_col: str =
 
     Null and empty texts are one piece of length 1. Null ids stay null; rows with equal ids (or equal
     rows) are packed each. No rows give no pieces. Other columns of ``docs`` are not looked at.
-    At most ``capacity`` lengths times ``PARTS`` counts reach the driver.
+    At most ``capacity`` counts reach the driver. Ranks among pieces of one length are counted within what
+    one task cut, and from the counts of the tasks before it.
     """
     cut = pieces(docs, tokenizer, capacity=capacity, id_col=id_col, text_col=text_col)
-    cut = stored(cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")), "pieces")
-    found = cut.groupBy("length", "part").count().toArrow()
-    table = np.zeros((capacity + 1, PARTS), np.int64)
-    table[found["length"].to_numpy(), found["part"].to_numpy()] = found["count"].to_numpy()
-    before = np.cumsum(table, axis=1) - table
-    sent = docs.sparkSession.sparkContext.broadcast((before, _slots(plan(table.sum(1), capacity))))
+    cut = stored(cut.withColumn("part", F.spark_partition_id()), "pieces")
+    counts = stored(cut.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
+    found = counts.groupBy("length").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(capacity + 1, np.int64)
+    table[found["length"].to_numpy()] = found["n"].to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(_slots(plan(table, capacity)))
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     order = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = cut.withColumn("rank", F.row_number().over(order))
+    ranked = cut.withColumn("rank", F.row_number().over(order)).join(before, ["length", "part"])
+    ranked = ranked.withColumn("rank", F.col("before") + F.col("rank") - 1).drop("before", "part")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        offsets, slots = sent.value
+        slots = sent.value
         wide = np.int64(1) << np.int64(44)
         keys = slots["length"] * wide + slots["first"]
         for batch in batches:
-            length = batch["length"].to_numpy()
-            rank = offsets[length, batch["part"].to_numpy()] + batch["rank"].to_numpy() - 1
+            length, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()
             at = np.searchsorted(keys, length * wide + rank, "right") - 1
             inner, nth = np.divmod(rank - slots["first"][at], slots["copies"][at])
             columns = [batch[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
