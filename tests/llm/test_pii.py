@@ -64,5 +64,19 @@ def test_account_codes_amid_capitals_digits_and_codes(spark):
         assert [code for _, code in found] == wanted[r.doc_id], r.text[:100]
 
 
+def test_context_words_are_whole_and_on_both_sides(spark):
+    texts = ["ship 1.2.3.4", "ip 1.2.3.4", "1.2.3.4 is the server", "discard 4111111111111111", "4111111111111111, my visa", "GB82WEST12345698765432 is my bank"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [r.pii[-1].score for r in find_pii(frame).sort("doc_id").collect()] == [0.5, 0.9, 0.9, 0.8, 1.0, 1.0]
+
+
+def test_many_matches_in_one_text(spark):
+    text = "a@b.c 1.2.3.4 " * 50_000 + "GB82WEST12345698765432 " * 300
+    row = find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).select("pii").first()
+    starts = {kind: [s.start for s in row.pii if s.kind == kind] for kind in ("email", "ip", "iban")}
+    assert starts["email"] == list(range(0, 700_000, 14)) and starts["ip"] == list(range(6, 700_000, 14))
+    assert starts["iban"] == [700_000 + 23 * i for i in range(300)]
+
+
 def test_empty(spark):
     assert find_pii(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -36,8 +36,10 @@ CODE_LENGTHS = {
     for country in countries.split()
 }
 BASE = ["email", "ip", "card", "phone"]
-#: Code points before a match in which context words count.
+#: Code points before and after a match in which context words count.
 CONTEXT = 40
+#: Matches that are gathered at a time; lists grow by so many.
+CHUNK = 256
 _SPAN = "array<struct<kind:string,start:long,end:long,score:double>>"
 
 
@@ -90,32 +92,61 @@ def _phone(match: Column) -> Column:
 
 
 CHECKS: dict[str, Callable[[Column], Column]] = {"email": _email, "ip": _ip, "card": _card, "phone": _phone}
-#: Score of a span that passed its check, without and with a context word near before it.
+#: Score of a span that passed its check, without and with a context word near it.
 SCORES = {"email": (0.9, 1.0), "ip": (0.5, 0.9), "card": (0.8, 1.0), "phone": (0.6, 0.95), "iban": (0.9, 1.0)}
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row."""
+    return F.aggregate(F.array(), value, lambda acc, _: acc, body)
+
+
+def _gathered(items: Column, start: dict[str, Column], step: Callable[[Column, Column], tuple[dict[str, Column], Column, Column]]) -> Column:
+    """Spans of ``items`` in their order: ``step`` of a state and an item's number gives the next state, whether there is a span, and it.
+
+    Spans are gathered by ``CHUNK`` items and the chunks put together at the end, so that a long
+    list isn't copied for each of them.
+    """
+    none = F.array().cast(_SPAN)
+    state = lambda values, name, spans: F.struct(*[c.alias(k) for k, c in values.items()], spans.alias(name))
+
+    def chunk(acc: Column, first: Column) -> Column:
+        def one(inner: Column, i: Column) -> Column:
+            values, found, span = step(inner, i)
+            return state(values, "spans", F.when(found, F.concat(inner["spans"], F.array(span))).otherwise(inner["spans"]))
+
+        numbers = F.sequence(first, F.least(first + (CHUNK - 1), F.size(items) - 1))
+        inner = F.aggregate(numbers, state({k: acc[k] for k in start}, "spans", none), one)
+        return _let(inner, lambda x: state({k: x[k] for k in start}, "chunks", F.concat(acc["chunks"], F.array(x["spans"]))))
+
+    firsts = F.sequence(F.lit(0), F.size(items) - 1, F.lit(CHUNK))
+    return F.aggregate(firsts, state(start, "chunks", F.array().cast(f"array<{_SPAN}>")), chunk, lambda acc: F.flatten(acc["chunks"]))
+
+
+def _near(words: list[str]) -> str:
+    return rf"(?i)\b(?:{'|'.join(words)})\b"
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """Confirmed spans of one kind in their order: kind, start, end (code points), score."""
     pattern, needs, words = KINDS[kind]
     check, (low, high) = CHECKS[kind], SCORES[kind]
+    near = _near(words)
     cut = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
-    near = rf"(?i)(?:{'|'.join(words)})"
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        score = F.when(F.right(x["gap"], F.lit(CONTEXT)).rlike(near), high).otherwise(low)
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        return F.when(x["match"].isNull(), acc).otherwise(
-            F.struct(
-                end.alias("at"),
-                F.when(check(x["match"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-            )
-        )
 
-    none = F.array().cast(_SPAN)
-    found = F.aggregate(cut, F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(text.contains(needs), found).otherwise(none) if needs else found
+    def spans(items: Column) -> Column:
+        def step(acc: Column, i: Column) -> tuple[dict[str, Column], Column, Column]:
+            gap, match = F.get(items, i)["gap"], F.get(items, i)["match"]
+            after = F.coalesce(F.get(items, i + 1)["gap"], F.lit(""))
+            start = acc["at"] + F.length(gap)
+            end = start + F.coalesce(F.length(match), F.lit(0))
+            told = F.right(gap, F.lit(CONTEXT)).rlike(near) | F.left(after, F.lit(CONTEXT)).rlike(near)
+            span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.when(told, high).otherwise(low).alias("score"))
+            return {"at": end}, F.when(match.isNull(), False).otherwise(check(match)), span
+
+        return _gathered(items, {"at": F.lit(0).cast("long")}, step)
+
+    return F.when(text.contains(needs), _let(cut, spans)).otherwise(F.array().cast(_SPAN)) if needs else _let(cut, spans)
 
 
 def code_of(proposed: Column) -> Column:
@@ -142,34 +173,34 @@ def code_spans_of(text: Column) -> Column:
     text = F.concat(F.lit(" "), text)
     cut = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("proposed"))
     cut = F.transform(cut, lambda x: F.struct(x["gap"].alias("gap"), x["proposed"].alias("proposed"), code_of(x["proposed"]).alias("code")))
-    near = rf"(?i)(?:{'|'.join(words)})"
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        before = F.right(F.concat(acc["before"], x["gap"]), F.lit(CONTEXT))
-        own = F.right(before, F.greatest(start - acc["end"], F.lit(0)).cast("int"))
-        score = F.when(own.rlike(near), high).otherwise(low)
-        end = start + F.length(x["code"])
-        span = F.struct(F.lit("iban").alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        found = x["code"].isNotNull() & (start >= acc["end"])
-        return F.struct(
-            start.alias("at"), F.when(found, end).otherwise(acc["end"]).alias("end"), before.alias("before"),
-            F.when(found, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-        )
-
-    # Places in the text as it was: the first gap has the blank in front.
-    start = F.struct(
-        F.lit(-1).cast("long").alias("at"), F.lit(0).cast("long").alias("end"), F.lit("").alias("before"), F.array().cast(_SPAN).alias("spans")
-    )
-    return F.aggregate(cut, start, step, lambda acc: acc["spans"])
+    near = _near(words)
+
+    def spans(items: Column) -> Column:
+        def step(acc: Column, i: Column) -> tuple[dict[str, Column], Column, Column]:
+            x = F.get(items, i)
+            start = acc["at"] + F.length(x["gap"])
+            before = F.right(F.concat(acc["before"], x["gap"]), F.lit(CONTEXT))
+            own = F.right(before, F.greatest(start - acc["end"], F.lit(0)).cast("int"))
+            # What follows the code begins with the next gap, which starts at the code itself.
+            after = F.substring(F.coalesce(F.get(items, i + 1)["gap"], F.lit("")), F.length(x["code"]) + 1, F.lit(CONTEXT))
+            score = F.when(own.rlike(near) | after.rlike(near), high).otherwise(low)
+            end = start + F.length(x["code"])
+            span = F.struct(F.lit("iban").alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
+            found = x["code"].isNotNull() & (start >= acc["end"])
+            return {"at": start, "end": F.when(found, end).otherwise(acc["end"]), "before": before}, found, span
+
+        # Places in the text as it was: the first gap has the blank in front.
+        return _gathered(items, {"at": F.lit(-1).cast("long"), "end": F.lit(0).cast("long"), "before": F.lit("")}, step)
+
+    return _let(cut, spans)
 
 
 def find_pii(docs: DataFrame, *, text_col: str = "text", kinds: list[str] = list(KINDS)) -> DataFrame:  # noqa: B006
     """``docs`` with ``pii``: the spans of all kinds, by kind in the order given, then by start.
 
-    A span's score says how sure it is: its kind's checksum or form alone, or also a context word
-    within ``CONTEXT`` code points before it, back to the last match (of account codes: the last code)
-    of its kind. Null and empty
+    A span's score says how sure it is: its kind's checksum or form alone, or also a context word, whole,
+    within ``CONTEXT`` code points before or after it, no further than the next match (of account
+    codes: proposal, or code before it) of its kind. Null and empty
     texts have no spans. Spans of different kinds may overlap. Every row and every other column
     stays as it is; a column named ``pii`` is replaced.
     """
