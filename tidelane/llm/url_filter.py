@@ -4,24 +4,25 @@ Two smoothed variable-order Markov models, of accepted and of rejected URLs, giv
 probability after its last bytes, from the longest context seen down to none (Witten-Bell: a context
 trusts itself the more, the fewer different bytes it was followed by). The difference of the log
 likelihoods per byte, against a threshold calibrated on URLs kept out of the counts, decides.
+
+A byte and its up to four predecessors, a *gram*, fit a whole number, so contexts are exact. Models are tables
+of grams that grow with the URLs and stay in Spark; each part of the rows is sent only the grams that it holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidelane.llm.common import ascii_lower, mixed, text_blocks
+from tidelane.llm.common import ascii_lower, stored, text_blocks
 
 ORDER = 4
-#: Contexts are hashed to so many slots, which bounds a model whatever the number of URLs.
-SLOTS = 1 << 15
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Rows that are scored together, with the grams they hold.
+PART = 16_384
 
 
 def host_of(url: Column) -> Column:
@@ -47,92 +48,107 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return rule, verdict
 
 
-def _contexts(data: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
-    """Slot of each byte's context for the orders 0 to ``ORDER``; -1 where the URL is too short before it."""
+def _grams(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, each byte's gram (the bytes before it and itself, above them the order) and whether the URL has as many bytes before it."""
     place = np.arange(len(data)) - np.repeat(bounds[:-1], np.diff(bounds))
-    code = np.zeros(len(data), np.uint64)
+    gram = data.astype(np.int64)
     for order in range(ORDER + 1):
         if order:
-            code[order:] = code[order:] * _STEP + data[:-order].astype(np.uint64) + np.uint64(1)
-        slot = (mixed(code + np.uint64(order)) % np.uint64(SLOTS)).astype(np.int64)
-        yield np.where(place >= order, slot, -1)
-
-
-@dataclass
-class Model:
-    """Counts of a byte after a context (``keys``: order, slot, byte), of contexts, and of the bytes that followed."""
-
-    keys: np.ndarray
-    counts: np.ndarray
-    totals: np.ndarray
-    followers: np.ndarray
-
-    @staticmethod
-    def of(keys: np.ndarray, counts: np.ndarray) -> "Model":
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        size = (ORDER + 1) * SLOTS
-        totals = np.bincount(keys >> 8, counts, size)
-        return Model(keys, counts, totals, np.bincount(keys >> 8, minlength=size))
-
-    def logs(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Log probability of each byte."""
-        p = np.full(len(data), 1 / 256)
-        for order, slot in enumerate(_contexts(data, bounds)):
-            context = order * SLOTS + np.maximum(slot, 0)
-            key = (context << 8) | data
-            at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-            seen = np.where(self.keys[at] == key, self.counts[at], 0) if len(self.keys) else 0
-            total, followers = self.totals[context], self.followers[context]
-            use = (slot >= 0) & (total > 0)
-            p = np.where(use, (seen + followers * p) / np.maximum(total + followers, 1), p)
-        return np.log(p)
-
-
-def _counts(urls: DataFrame) -> dict[bool, Model]:
-    """Models by ``good`` from all rows of ``url``, ``good``; at most contexts times bytes reach the driver."""
+            gram = gram.copy()
+            gram[order:] |= data[:-order].astype(np.int64) << (8 * order)
+        yield gram | (order << 40), place >= order
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bool, list] = {True: [], False: []}
-        for batch in batches:
-            good = batch["good"].to_numpy(zero_copy_only=False)
-            for kind in (True, False):
-                for _, data, bounds in text_blocks(batch["url"].filter(pa.array(good == kind))):
-                    for order, slot in enumerate(_contexts(data, bounds)):
-                        keys = ((order * SLOTS + slot) << 8 | data)[slot >= 0]
-                        held[kind].append(np.unique(keys, return_counts=True))
-                if len(held[kind]) > 50:
-                    held[kind] = [_added(held[kind])]
-        for kind, parts in held.items():
-            if parts:
-                keys, counts = _added(parts)
-                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(keys)), pa.array(keys), pa.array(counts)], ["good", "key", "n"])
-
-    found = urls.mapInArrow(scan, "good boolean, key long, n long").groupBy("good", "key").agg(F.sum("n").alias("n")).toArrow()
-    good, keys, counts = (found[c].to_numpy() for c in ("good", "key", "n"))
-    return {kind: Model.of(keys[good == kind], counts[good == kind]) for kind in (True, False)}
-
-
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(where, np.concatenate([c for _, c in parts])).astype(np.int64)
-
-
-def _scored(urls: DataFrame, models: dict[bool, Model], url_col: str = "url") -> DataFrame:
-    """Adds ``score``: log likelihood difference per byte; 0 for an empty URL."""
-    sent = urls.sparkSession.sparkContext.broadcast(models)
-    schema = StructType([*urls.schema.fields, StructField("score", DoubleType())])
+
+def _longest(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Each byte's gram of the highest order."""
+    out = np.zeros(len(data), np.int64)
+    for gram, has in _grams(data, bounds):
+        out = np.where(has, gram, out)
+    return out
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    """``gram``, ``good``, ``bad``: how often URLs of each kind that teach hold it (0 and 0: only others do)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = np.zeros(batch.num_rows)
-            for at, data, bounds in text_blocks(batch[url_col]):
-                gap = sent.value[True].logs(data, bounds) - sent.value[False].logs(data, bounds)
-                sums = np.diff(np.r_[0, np.cumsum(gap)][bounds])
-                score[at : at + len(bounds) - 1] = sums / np.maximum(np.diff(bounds), 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
+            teaches = batch["teaches"].to_numpy(zero_copy_only=False).astype(np.int64)
+            for at, data, bounds in text_blocks(batch["url"]):
+                kind = np.repeat(teaches[at : at + len(bounds) - 1], np.diff(bounds))
+                for gram, has in _grams(data, bounds):
+                    keys, where = np.unique(gram[has], return_inverse=True)
+                    good, bad = (np.bincount(where[kind[has] == k], minlength=len(keys)) for k in (1, -1))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(good), pa.array(bad)], ["gram", "good", "bad"])
 
-    return urls.mapInArrow(scan, schema)
+    found = rows.select("url", "teaches").mapInArrow(scan, "gram long, good long, bad long")
+    return found.groupBy("gram").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+
+
+def _values(counts: DataFrame) -> DataFrame:
+    """``gram``, ``value``: log probability of its last byte after the others among accepted URLs, less that among rejected ones.
+
+    Order by order: the probability after a context is made of the counts there and the probability after the
+    context without its first byte. A context is followed by at most 256 bytes, and as many grams end alike.
+    """
+    context = Window.partitionBy(F.shiftright("gram", 8))
+    kinds = ("good", "bad")
+    sums = {f"{k}_total": F.sum(k).over(context) for k in kinds} | {f"{k}_followers": F.sum(F.when(F.col(k) > 0, 1).otherwise(0)).over(context) for k in kinds}
+    table = stored(counts.withColumns(sums).withColumn("order", F.shiftright("gram", 40).cast("int")), "grams")
+    value = None
+    shorter = None
+    for order in range(ORDER + 1):
+        level = table.filter(F.col("order") == order)
+        if shorter is None:
+            level = level.withColumns({f"{k}_before": F.lit(1 / 256) for k in kinds})
+        else:
+            ends = F.col("gram").bitwiseAND(F.lit((1 << 8 * order) - 1)).bitwiseOR(F.lit(order - 1 << 40))
+            level = level.withColumn("ends", ends).join(shorter, "ends")
+        p = {
+            f"{k}_p": F.when(
+                F.col(f"{k}_total") > 0,
+                (F.col(k) + F.col(f"{k}_followers") * F.col(f"{k}_before")) / (F.col(f"{k}_total") + F.col(f"{k}_followers")),
+            ).otherwise(F.col(f"{k}_before"))
+            for k in kinds
+        }
+        level = level.select("gram", *[c.alias(name) for name, c in p.items()])
+        level = stored(level, f"grams-{order}") if order else level
+        mine = level.select("gram", (F.log("good_p") - F.log("bad_p")).alias("value"))
+        value = mine if value is None else value.unionByName(mine)
+        shorter = level.select(F.col("gram").alias("ends"), F.col("good_p").alias("good_before"), F.col("bad_p").alias("bad_before"))
+    return value
+
+
+def _scored(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """Adds ``score`` to rows of ``url`` and ``part``: log likelihood difference per byte; 0 for an empty URL."""
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch["part"].to_numpy()
+            for at, data, bounds in text_blocks(batch["url"]):
+                of = np.repeat(part[at : at + len(bounds) - 1], np.diff(bounds))
+                grams = _longest(data, bounds)
+                for one in np.unique(of):
+                    keys = np.unique(grams[of == one])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), one)), pa.array(keys)], ["part", "gram"])
+
+    schema = StructType([*rows.schema.fields, StructField("score", DoubleType())])
+
+    def score(_: tuple, own: pa.Table, sent: pa.Table) -> pa.Table:
+        gram, value = sent["gram"].to_numpy(), sent["value"].to_numpy()
+        order = np.argsort(gram)
+        gram, value = gram[order], value[order]
+        scores = np.zeros(own.num_rows)
+        urls = pa.concat_arrays([c.cast(pa.large_string()) for c in own["url"].chunks])
+        for at, data, bounds in text_blocks(urls):
+            if len(data):
+                gaps = value[np.searchsorted(gram, _longest(data, bounds))]
+                scores[at : at + len(bounds) - 1] = np.diff(np.r_[0, np.cumsum(gaps)][bounds]) / np.maximum(np.diff(bounds), 1)
+        return own.append_column("score", pa.array(scores))
+
+    # A gram, however frequent, is met once for each part.
+    wanted = rows.select("part", "url").mapInArrow(held, "part long, gram long").distinct()
+    sent = wanted.join(values, "gram").select("part", "gram", "value")
+    return rows.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(score, schema)
 
 
 def threshold(scored: DataFrame) -> float:
@@ -164,13 +180,18 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], *, url_col: str
     at most 0. Rows that repeat count each. An empty table gives no rows. Other columns stay;
     columns named like the added ones are replaced.
     """
+    own = pages.drop("host", "path", "rule", "score", "verdict")
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
-    rule, verdict = rule_of(host_of(url), path_of(url), rules)
-    taught = pages.select(url.alias("url"), (verdict == "allow").alias("good")).filter("good is not null")
+    rows = own.select(F.struct("*").alias("row"), url.alias("url"))
+    said = rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)
     kept_out = F.pmod(F.xxhash64("url"), F.lit(held_out)) == 0
-    models = _counts(taught.filter(~kept_out))
-    least = threshold(_scored(taught.filter(kept_out), models))
-    rows = _scored(pages.drop("host", "path", "rule", "score", "verdict"), models, url_col)
-    return rows.withColumns(
-        {"host": host_of(url), "path": path_of(url), "rule": rule, "verdict": F.coalesce(verdict, F.when(F.col("score") >= least, "allow").otherwise("block"))}
-    )
+    kind = F.when(said[1] == "allow", 1).when(said[1] == "block", -1).otherwise(0)
+    rows = stored(rows, "urls").withColumns({"kind": kind, "part": F.floor(F.monotonically_increasing_id() / PART)})
+    values = _values(_counts(rows.select("url", F.when(kept_out, 0).otherwise(F.col("kind")).alias("teaches"))))
+    scored = stored(_scored(rows.select("row", "url", "kind", "part"), values), "url-scores")
+    least = threshold(scored.filter(kept_out & (F.col("kind") != 0)).withColumn("good", F.col("kind") == 1))
+    found = scored.select(
+        "row", "score", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), said[0].alias("rule"),
+        F.coalesce(said[1], F.when(F.col("score") >= least, "allow").otherwise("block")).alias("verdict"),
+    )
+    return found.select("row.*", "score", "host", "path", "rule", "verdict")
