@@ -580,6 +580,90 @@ SELECT {_json_object(keys, [], cells)} AS value
 FROM ({_sum_select('fact', '0')}) GROUP BY {ROUTE_NAMES}"""
 
 
+def _json_fields(fields: str, texts: str) -> str:
+    """JSON text of some columns in their order; those among ``texts`` are quoted."""
+    quoted = texts.split()
+    parts = [f"""'"{f}":' || '"' || {f} || '"'""" if f in quoted else f"""'"{f}":' || {f}""" for f in fields.split()]
+    return f"'{{' || concat_ws(',', {', '.join(parts)}) || '}}'"
+
+
+def _summary_pages(page_rows: int) -> str:
+    line = _json_fields(
+        "baseYearWeek dealQty dealPrice dealAmt leftQty leftPrice leftAmt lineEventTimestamp "
+        "lineReferenceEventNumber lineReferenceEventChangeSeq",
+        "baseYearWeek lineEventTimestamp lineReferenceEventNumber",
+    )
+    cell = _json_fields(
+        "polCount podCount offerNumber offerChangeSeq eventTimestamp referenceEventNumber "
+        "referenceEventChangeSeq allYn offerStatus carrierCount lineItem routeItem carrierItem",
+        "offerNumber eventTimestamp referenceEventNumber allYn offerStatus",
+    )
+    document = _json_fields("userId offerTypeCode page cell", "userId offerTypeCode")
+    return f""",
+line_json AS (
+  SELECT userId, offerTypeCode, offerNumber, offerChangeSeq, allYn,
+         '[' || string_agg({line}, ',' ORDER BY baseYearWeek NULLS FIRST) || ']' AS lineItem
+  FROM (SELECT DISTINCT EMP_NR AS userId, OFER_TP_CD AS offerTypeCode, OFER_NR AS offerNumber,
+               OFER_CHNG_SEQ AS offerChangeSeq, ALL_YN AS allYn, BSE_YW AS baseYearWeek,
+               DEAL_QTY AS dealQty, DEAL_PRCE AS dealPrice, DEAL_AMT AS dealAmt,
+               OFER_REMN_QTY AS leftQty, OFER_PRCE AS leftPrice,
+               CAST(CASE WHEN OFER_REMN_QTY <> 0 THEN OFER_REMN_QTY * OFER_PRCE ELSE 0 END
+                    AS DECIMAL(36,4)) AS leftAmt,
+               coalesce(DEAL_DT, substr(OFER_NR, 2, 21)) AS lineEventTimestamp,
+               coalesce(DEAL_NR, OFER_NR) AS lineReferenceEventNumber,
+               coalesce(DEAL_CHNG_SEQ, OFER_CHNG_SEQ) AS lineReferenceEventChangeSeq
+        FROM latest LEFT JOIN next_deal USING (OFER_NR, OFER_CHNG_SEQ))
+  GROUP BY ALL),
+route_json AS (
+  SELECT OFER_NR AS offerNumber, OFER_CHNG_SEQ AS offerChangeSeq,
+         count(DISTINCT polCode) AS polCount, count(DISTINCT podCode) AS podCount,
+         '[' || string_agg({_json_fields("polCode polName podCode podName", "polCode polName podCode podName")},
+                ',' ORDER BY polCode, polName, podCode, podName) || ']' AS routeItem
+  FROM (SELECT DISTINCT OFER_NR, OFER_CHNG_SEQ, polCode, polName, podCode, podName FROM rte) GROUP BY ALL),
+carrier_json AS (
+  SELECT OFER_NR AS offerNumber, OFER_CHNG_SEQ AS offerChangeSeq, count(DISTINCT carrierCode) AS carrierCount,
+         '[' || string_agg({_json_fields("carrierCode carrierName", "carrierCode carrierName")},
+                ',' ORDER BY carrierCode, carrierName) || ']' AS carrierItem
+  FROM (SELECT DISTINCT OFER_NR, OFER_CHNG_SEQ, carrierCode, carrierName
+        FROM ftr_cryr LEFT JOIN mdm_cryr USING (carrierCode)) GROUP BY ALL),
+placed AS (
+  SELECT userId, offerTypeCode, {cell} AS item, nth, CAST((nth - 1) // {page_rows} AS INTEGER) AS page
+  FROM (SELECT s.* EXCLUDE (lineItem), j.lineItem, polCount, podCount, routeItem, carrierCount, carrierItem,
+               row_number() OVER (PARTITION BY s.userId, s.offerTypeCode
+                                  ORDER BY s.offerNumber, polCount, podCount, s.offerChangeSeq) AS nth
+        FROM summary s JOIN line_json j USING (userId, offerTypeCode, offerNumber, offerChangeSeq, allYn)
+        LEFT JOIN route_json USING (offerNumber, offerChangeSeq)
+        LEFT JOIN carrier_json USING (offerNumber, offerChangeSeq)))
+SELECT {document} AS value
+FROM (SELECT userId, offerTypeCode, page, '[' || string_agg(item, ',' ORDER BY nth) || ']' AS cell
+      FROM placed GROUP BY userId, offerTypeCode, page)"""
+
+
+def _book_pages(page_rows: int) -> str:
+    keys = (
+        "marketTypeCode offerTypeCode baseYearWeek paymentTermCode rdTermCode containerTypeCode "
+        "polCode podCode"
+    )
+    fields = (
+        "tradeOfferNumber tradeOfferChangeSeq carrierCode carrierCount headPolCode headPodCode "
+        "headPolName headPodName polCount podCount avgQty avgPrice allYn minYearWeek maxYearWeek "
+        "maxPrice minPrice"
+    )
+    cell = _json_fields(
+        fields,
+        "tradeOfferNumber carrierCode headPolCode headPodCode headPolName headPodName allYn "
+        "minYearWeek maxYearWeek",
+    )
+    columns = ", ".join(keys.split())
+    return f"""
+SELECT {_json_fields(f"{keys} page Cell", keys)} AS value
+FROM (SELECT {columns}, CAST((nth - 1) // {page_rows} AS INTEGER) AS page,
+             '[' || string_agg({cell}, ',' ORDER BY nth) || ']' AS Cell
+      FROM (SELECT *, row_number() OVER (PARTITION BY {columns} ORDER BY tradeOfferNumber,
+                   {", ".join(fields.split()[1:])}) AS nth FROM ({BOOK}))
+      GROUP BY ALL)"""
+
+
 def statements() -> dict[str, str]:
     deals, offers, changed = _with(DEALS), _with(OFFERS), _with(CHANGED)
     week_keys = f"{ROUTE_NAMES}, baseYearWeek"
@@ -588,7 +672,7 @@ def statements() -> dict[str, str]:
         "containerTypeCode, polCode, podCode, CAST(substr(tradeOfferNumber, 2, 6) AS INTEGER) AS page"
     )
     previous_week = f"lag(close, 1, 0) OVER (PARTITION BY {TERMS} ORDER BY baseYearWeek)"
-    return {
+    plain = {
         "stats_raw": f"{deals} SELECT * FROM fact",
         "stats_raw_carrier_set": f"""{changed}
 SELECT d.DEAL_NR, d.DEAL_CHNG_SEQ, l.BSE_YW, d.DEAL_DT, d.offerTypeCode AS OFER_TP_CD,
@@ -655,12 +739,14 @@ SELECT userId, offerTypeCode, CAST(substr(offerNumber, 2, 6) AS INTEGER) AS page
        CAST(count(*) AS INTEGER) AS cells, CAST(count(*) FILTER (offerStatus = '0') AS INTEGER) AS openCells,
        CAST(sum(lineCount) AS INTEGER) AS lineItems, max(eventTimestamp) AS lastEvent
 FROM summary GROUP BY ALL""",
+        "offer_summary_pages": f"{offers}{_summary_pages(100)}",
         "offer_week_detail": f"{offers} {WEEK_DETAIL}",
         "offer_week_list": f"{offers}{_week_list()}",
         "offer_route_list": f"{offers} {ROUTE_LIST}",
         **{f"offer_event_{code}": f"{offers} {_event(code)}" for code in EVENT_NAMES},
         "offer_event_log": f"{offers} {_event_log()}",
         "mw_bidask_flat": f"{offers} {BOOK}",
+        "mw_bidask_pages": f"{offers} {_book_pages(100)}",
         "mw_bidask_cells": offers
         + _cells(BOOK, book_keys, "tradeOfferNumber", "tradeOfferNumber"),
         "cdc_max_id": f"{changed} SELECT tableName, maxId FROM marks",
@@ -681,3 +767,10 @@ HAVING CAST('0x' || substr(md5(concat_ws('|', {ROUTE_NAMES})), 1, 8) AS BIGINT)
 SELECT DISTINCT DEAL_NR, '/topic/01_01_01_' || polCode || '_' || podCode || '_01' AS topic
 FROM rte""",
     }
+    # A refresh or an added part gives what a full build gives.
+    refreshed = ["offer_summary", "offer_week_list", "offer_route_list", "offer_week_detail", "offer_event_log"]
+    return plain | {
+        **{f"{name}_refresh": plain[name] for name in refreshed},
+        "offer_raw_append": plain["offer_raw"],
+        "mi_sum_refresh": plain["mi_sum_flat"],
+    }

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.frames import offer_tables, rows, time
 from tidelane.operators import bidask, events, offers
 from tidelane.operators.fact import offer_raw
-from tidelane.operators.nest import flatten
+from tidelane.operators.nest import flatten, nest_ranked, ranked
 
 NOW = "202010"
 NUMBER = "F" + time("20200101", 7)
@@ -264,3 +264,41 @@ def test_restriction_to_users_and_offers(spark):
     numbers = offers.split_numbers(lists, "numbers")
     kept = events.event_rows(offers.restricted(tables, offers=numbers), NOW)
     assert rows(kept, "offerNumber", "offerTypeCode") == [(other, "S")]
+
+
+def test_pages_by_rank_are_full_and_never_gather_a_group(spark):
+    """A hot month of one route: pages of equal size in order, also for missing keys and odd numbers."""
+    months = F.expr("case when id % 3 = 0 then '202002' else '202001' end")
+    number = F.concat(F.lit("F"), months, F.lpad((F.col("id") * 7919 % 40000).cast("string"), 14, "0"))
+    book = spark.range(20000).select(
+        F.when(F.col("id") % 10 > 0, "hot").alias("route"),
+        F.when(F.col("id") % 1000 == 1, None).when(F.col("id") % 1000 == 2, "X").otherwise(number).alias("number"),
+        (F.col("id") % 50).alias("price"),
+    )
+    documents = nest_ranked(book, ["route"], ["price", "number"], "number", page_rows=100).collect()
+    groups = {}
+    for row in book.collect():
+        groups.setdefault(row.route, []).append((row.number is not None, row.number or "", row.price))
+    pages = {(row.route, row.page): row.Cell for row in documents}
+    assert max(len(cells) for cells in pages.values()) == 100
+    for route, members in groups.items():
+        wanted = [(price, name if known else None) for known, name, price in sorted(members)]
+        count = -(-len(wanted) // 100)
+        shown = [tuple(cell) for page in range(count) for cell in pages.pop((route, page))]
+        assert shown == wanted
+    assert not pages
+
+
+def test_ranks_use_no_window_over_a_whole_group(spark):
+    rows_of = spark.range(10).select(F.lit("hot").alias("route"), F.concat(F.lit("F2020010100"), "id").alias("number"))
+    plan = ranked(rows_of, ["route"], ["number"], "number")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [part for part in plan.splitlines() if "Window [" in part and "row_number" in part]
+    assert windows and all("__run" in part for part in windows)
+
+
+def test_owners_are_all_who_entered_a_version(spark):
+    tables = versions(spark, [100, 70])
+    entered = tables["FTR_OFER"].withColumn("EMP_NR", F.concat(F.lit("U"), "OFER_CHNG_SEQ"))
+    numbers = entered.select("OFER_NR").limit(1)
+    assert rows(offers.owners(entered, numbers)) == [("U0",), ("U1",)]
+    assert rows(offers.owners(entered, numbers.filter("false"))) == []

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelane.functions.values import mean
 from tidelane.operators.fact import DISCHARGE, LOADING, OFFER, Tables
-from tidelane.operators.nest import nest_pages
+from tidelane.operators.nest import nest_pages, nest_ranked
 
 BOOK_KEYS = [
     "marketTypeCode", "offerTypeCode", "baseYearWeek", "paymentTermCode", "rdTermCode",
@@ -68,6 +68,11 @@ def mw_bidask(tables: Tables) -> DataFrame:
     return nest_pages(mw_bidask_rows(tables), BOOK_KEYS, BOOK_CELL, "tradeOfferNumber")
 
 
+def mw_bidask_ranked(tables: Tables, page_rows: int) -> DataFrame:
+    """Documents of ``mw_bidask_rows``: per route, week and terms, pages of ``page_rows`` cells."""
+    return nest_ranked(mw_bidask_rows(tables), BOOK_KEYS, BOOK_CELL, "tradeOfferNumber", page_rows)
+
+
 def _latest_offers(offers: DataFrame) -> DataFrame:
     terms = ["TRDE_MKT_TP_CD", "OFER_TP_CD", "OFER_PYMT_TRM_CD", "OFER_RD_TRM_CD", "ALL_YN"]
     last = offers.groupBy("OFER_NR").agg(F.max("OFER_CHNG_SEQ").alias("OFER_CHNG_SEQ"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A document array stays well below the size limit of one row.
 PAGE_ROWS = 100_000
@@ -34,6 +34,71 @@ def nest_pages(
     return nest(rows.withColumn("page", month_page(F.col(number))), [*keys, "page"], fields, cell)
 
 
+def nest_ranked(
+    rows: DataFrame,
+    keys: list[str],
+    fields: list[str],
+    number: str,
+    page_rows: int,
+    cell: str = "Cell",
+) -> DataFrame:
+    """``nest`` with full pages: the rows of a group in order of ``number``, ``page_rows`` to a page.
+
+    Cells lie in that order, then in that of ``fields``.  See ``ranked`` for how rows are numbered.
+    """
+    order = [number, *[name for name in fields if name != number]]
+    paged = ranked(rows, keys, order, number).withColumn(
+        "page", F.floor(F.col("rank") / page_rows).cast("int")
+    )
+    entry = F.struct(F.struct(*order).alias("place"), F.struct(*fields).alias("cell"))
+    cells = F.transform(F.sort_array(F.collect_list(entry)), lambda item: item.cell)
+    return paged.groupBy(*keys, "page").agg(cells.alias(cell))
+
+
+def ranked(rows: DataFrame, keys: list[str], order: list[str], number: str) -> DataFrame:
+    """Add ``rank``: the place of a row in its group, from 0, by ``order``, which starts with ``number``.
+
+    No task holds a whole group.  The minute an offer was placed, read off its number, cuts a group
+    into runs, and rows are counted within runs.  Their sizes are then added up within months and
+    the months' within the group, so that a sum is over the minutes of a month or over months.
+    ``order`` should name every column but the keys, so that rows and sizes read the same shuffle.
+    """
+    minute, month = (F.coalesce(F.substring(number, 1, size), F.lit("")) for size in (13, 7))
+    run = F.struct(*keys, month.alias("month"), minute.alias("minute")).alias("__run")
+    runs = rows.select(run, "*").drop(*keys).repartition("__run")
+    inside = Window.partitionBy("__run").orderBy(*order)
+    placed = runs.withColumns(
+        {"__nth": F.row_number().over(inside), "__ends": F.lead(F.lit(False), 1, True).over(inside)}
+    )
+    group = F.struct(*[F.col(f"__run.{key}") for key in keys], F.lit(0).alias("all"))
+    sizes = placed.filter("__ends").select(
+        "__run",
+        group.alias("__group"),
+        F.col("__run.month").alias("__month"),
+        F.col("__nth").cast("long").alias("__size"),
+    )
+    month_of = Window.partitionBy("__group", "__month").orderBy("__run.minute")
+    minutes = sizes.withColumn("__earlier", _before("__size", month_of))
+    months = sizes.groupBy("__group", "__month").agg(F.sum("__size").alias("__size"))
+    months = months.select(
+        "__group",
+        "__month",
+        _before("__size", Window.partitionBy("__group").orderBy("__month")).alias("__opening"),
+    )
+    starts = minutes.join(months, ["__group", "__month"]).select(
+        "__run", (F.col("__opening") + F.col("__earlier")).alias("__start")
+    )
+    return placed.join(starts, "__run").select(
+        *[F.col(f"__run.{name}") if name in keys else name for name in rows.columns],
+        (F.col("__start") + F.col("__nth") - 1).alias("rank"),
+    )
+
+
+def _before(value: str, ordered: Window) -> Column:
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
+
+
 def month_page(offer_number: Column) -> Column:
     """Year and month that an offer number starts with after its letter, or 0."""
     return F.coalesce(F.substring(offer_number, 2, 6).try_cast("int"), F.lit(0))

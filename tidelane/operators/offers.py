@@ -21,7 +21,7 @@ from tidelane.operators.fact import (
     offer_routes,
     week_lines,
 )
-from tidelane.operators.nest import nest, nest_pages
+from tidelane.operators.nest import nest, nest_pages, nest_ranked
 
 VERSION = ["offerNumber", "offerChangeSeq"]
 USER = ["userId", "offerTypeCode"]
@@ -47,6 +47,9 @@ DEAL_LOG = [
 # Versions of an offer and week that one task looks back over.
 VERSIONS_PER_RUN = 1024
 
+# Cells of one page where pages are cut by rank.
+PAGE_CELLS = 100
+
 # Filler of the week lists, and the status codes of an offer.
 ALL = "all"
 OPEN = "0"
@@ -72,6 +75,11 @@ def restricted(
     return cut
 
 
+def owners(offers: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Users (``EMP_NR``) who entered any version of the offers ``numbers`` (``OFER_NR``)."""
+    return offers.join(numbers, "OFER_NR", "left_semi").select("EMP_NR").distinct()
+
+
 def split_numbers(lists: DataFrame, column: str, name: str = "OFER_NR") -> DataFrame:
     """Distinct numbers from a column of pipe-separated lists."""
     return lists.select(F.explode(F.split(column, "\\|")).alias(name)).distinct()
@@ -184,6 +192,12 @@ def offer_summary(tables: Tables, current_week: str) -> DataFrame:
     return nest_pages(summary_rows(tables, current_week), USER, SUMMARY_CELL, "offerNumber", "cell")
 
 
+def offer_summary_pages(tables: Tables, current_week: str, page_rows: int = PAGE_CELLS) -> DataFrame:
+    """Documents of ``summary_rows``: per user and side, pages of ``page_rows`` offers by number."""
+    rows = summary_rows(tables, current_week)
+    return nest_ranked(rows, USER, SUMMARY_CELL, "offerNumber", page_rows, "cell")
+
+
 def week_detail_rows(tables: Tables) -> DataFrame:
     """Deal log of each offer and week at its last version, with totals over all versions.
 

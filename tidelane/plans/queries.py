@@ -11,9 +11,10 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidelane.functions.values import MONEY, TOTAL, sampled, topic_name
+from tidelane.functions.values import MONEY, TOTAL, null_safe_join, sampled, topic_name
 from tidelane.operators import bidask, changes, events, fact, index, market, offers
 from tidelane.operators.nest import joined_field
+from tidelane.operators.offers import PAGE_CELLS
 from tidelane.sources.bindings import deal_tables, index_rows, offer_tables
 from tidelane.sources.sinks import json_documents
 
@@ -21,6 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CURRENT_WEEK = "199826"
 
+# The day until which refresh queries take what is stored to have been built.
+BUILT_ON = "1998-06-01"
+
 
 def registry() -> dict[str, Query]:
     return {
@@ -41,12 +45,20 @@ def registry() -> dict[str, Query]:
         "mi_sum_chrono": mi_sum_chrono,
         "mi_sum_cells": mi_sum_cells,
         "mi_sum_incr": mi_sum_incr,
+        "mi_sum_refresh": mi_sum_refresh,
         "idx_lst": idx_lst,
         "offer_raw": offer_raw,
         "offer_latest_version": offer_latest_version,
         "offer_route_counts": offer_route_counts,
         "offer_summary": offer_summary,
         "offer_summary_cells": offer_summary_cells,
+        "offer_summary_pages": offer_summary_pages,
+        "offer_summary_refresh": offer_summary_refresh,
+        "offer_week_list_refresh": offer_week_list_refresh,
+        "offer_route_list_refresh": offer_route_list_refresh,
+        "offer_week_detail_refresh": offer_week_detail_refresh,
+        "offer_event_log_refresh": offer_event_log_refresh,
+        "offer_raw_append": offer_raw_append,
         "offer_week_detail": offer_week_detail,
         "offer_week_list": offer_week_list,
         "offer_route_list": offer_route_list,
@@ -54,6 +66,7 @@ def registry() -> dict[str, Query]:
         "offer_event_log": offer_event_log,
         "mw_bidask_flat": mw_bidask_flat,
         "mw_bidask_cells": mw_bidask_cells,
+        "mw_bidask_pages": mw_bidask_pages,
         "cdc_max_id": cdc_max_id,
         "cdc_lag": cdc_lag,
         "cdc_gate": cdc_gate,
@@ -154,14 +167,24 @@ def mi_sum_chrono(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mi_sum_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series without the quotes of the last tenth of the days, brought up to date with them: equals a full build."""
     quotes = index_rows(spark, sf_dir)
-    cut = quotes.agg(F.date_add(F.min("date"), (F.datediff(F.max("date"), F.min("date")) * 9 / 10).cast("int")).alias("cut")).scalar()
-    old, new = quotes.filter(F.col("date") <= cut), quotes.filter(F.col("date") > cut)
+    old, new = _last_tenth(quotes)
     stored = index.mi_sum_rows(old)
     updated = index.mi_sum_updated(stored, quotes, new)
     series = updated.select(*index.LOOK_BACK).distinct()
     return _index_output(changes.upsert_by_key(stored, updated, series, null_keys=True))
 
 
+def mi_sum_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series without the quotes of the last tenth of the days; series with new quotes built again and replaced."""
+    quotes = index_rows(spark, sf_dir)
+    old, new = _last_tenth(quotes)
+    # A change looks back over the rows of a name, so a name is built again as a whole.
+    named = [name for name in index.LOOK_BACK if name in quotes.columns]
+    replaced = new.select(*named).distinct()
+    fresh = index.mi_sum_rows(null_safe_join(quotes, replaced, named, "left_semi"))
+    return _index_output(changes.upsert_by_key(index.mi_sum_rows(old), fresh, replaced, null_keys=True))
+
+
 def mi_sum_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = index.mi_sum(index_rows(spark, sf_dir))
     return _cells(documents, [*index.SERIES, "interval"], "xAxis")
@@ -178,8 +201,7 @@ def idx_lst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offer_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fact.offer_raw(offer_tables(spark, sf_dir))
-    return raw.withColumn("carrierItem", listed("carrierItem", "carrierCode", "carrierName"))
+    return _raw_output(fact.offer_raw(offer_tables(spark, sf_dir)))
 
 
 def offer_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,17 +216,7 @@ def offer_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = offers.summary_rows(offer_tables(spark, sf_dir), CURRENT_WEEK)
-    return rows.withColumns(
-        {
-            "lineItem": listed(
-                "lineItem", "baseYearWeek", "dealQty", "leftQty", "lineEventTimestamp",
-                "lineReferenceEventNumber", "lineReferenceEventChangeSeq",
-            ),
-            "routeItem": listed("routeItem", "polCode", "podCode"),
-            "carrierItem": listed("carrierItem", "carrierCode"),
-        }
-    )
+    return _summary_output(offers.summary_rows(offer_tables(spark, sf_dir), CURRENT_WEEK))
 
 
 def offer_summary_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,26 +234,49 @@ def offer_summary_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def offer_summary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, as JSON."""
+    return json_documents(offers.offer_summary_pages(offer_tables(spark, sf_dir), CURRENT_WEEK, PAGE_CELLS))
+
+
 def offer_week_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return offers.week_detail_rows(offer_tables(spark, sf_dir)).select(
-        "offerNumber", "baseYearWeek", "offerChangeSeq", whole("aggDealQty"),
-        rounded("aggDealPrice"), whole("aggDealAmt"), whole("aggOfferQty"), whole("aggLeftQty"),
-        amount("aggLeftPrice"), whole("aggLeftAmt"), "tradeClosing", "eventTimestamp",
-        "referenceEventNumber", "referenceEventChangeSeq", amount("dealQty"), amount("dealPrice"),
-        whole("dealAmt"), amount("offerQty"), amount("leftQty"), amount("leftPrice"),
-        whole("leftAmt"),
-    )
+    return _week_detail_output(offers.week_detail_rows(offer_tables(spark, sf_dir)))
 
 
 def offer_week_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weeks = offers.offer_week_list(offer_tables(spark, sf_dir))
-    return weeks.withColumn("baseYearWeek", F.array_join("baseYearWeek", ","))
+    return _week_list_output(offers.offer_week_list(offer_tables(spark, sf_dir)))
 
 
 def offer_route_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routes = offers.offer_route_list(offer_tables(spark, sf_dir))
-    return routes.withColumn(
-        "rteList", listed("rteList", "polCode", "podCode", "polName", "podName")
+    return _route_list_output(offers.offer_route_list(offer_tables(spark, sf_dir)))
+
+
+def offer_raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offer fact of the versions stored, with the rows of new versions added: equals a full build."""
+    tables = offer_tables(spark, sf_dir)
+    parts = [fact.offer_raw(_versions(tables, new)) for new in (False, True)]
+    return _raw_output(parts[0].unionByName(parts[1]))
+
+
+def offer_summary_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary_output(_refreshed_users(spark, sf_dir, lambda tables: offers.summary_rows(tables, CURRENT_WEEK)))
+
+
+def offer_week_list_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _week_list_output(_refreshed_users(spark, sf_dir, offers.offer_week_list))
+
+
+def offer_route_list_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _route_list_output(_refreshed_users(spark, sf_dir, offers.offer_route_list))
+
+
+def offer_week_detail_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _week_detail_output(_refreshed_offers(spark, sf_dir, offers.week_detail_rows))
+
+
+def offer_event_log_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _event_log_output(
+        _refreshed_offers(spark, sf_dir, lambda tables: events.offer_event_log(tables, CURRENT_WEEK))
     )
 
 
@@ -257,15 +292,7 @@ def offer_event(code: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offer_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = events.offer_event_log(offer_tables(spark, sf_dir), CURRENT_WEEK)
-    entries = F.aggregate("eventCell", F.lit(0), lambda n, cell: n + F.size(cell.eventLog))
-    return documents.select(
-        *events.OFFER_KEYS,
-        "page",
-        F.size("eventCell").alias("cells"),
-        joined_field("eventCell", "eventCode").alias("eventCodes"),
-        entries.alias("logEntries"),
-    )
+    return _event_log_output(events.offer_event_log(offer_tables(spark, sf_dir), CURRENT_WEEK))
 
 
 def mw_bidask_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,6 +307,17 @@ def mw_bidask_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(documents, [*bidask.BOOK_KEYS, "page"], "tradeOfferNumber")
 
 
+def mw_bidask_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, as JSON, with averages of six decimals."""
+    documents = bidask.mw_bidask_ranked(offer_tables(spark, sf_dir), PAGE_CELLS)
+
+    def shown(cell: Column) -> Column:
+        averages = [(F.floor(cell[name] * 1e6 + 0.5) / 1e6).alias(name) for name in ("avgQty", "avgPrice")]
+        return cell.withField("avgQty", averages[0]).withField("avgPrice", averages[1])
+
+    return json_documents(documents.withColumn("Cell", F.transform("Cell", shown)))
+
+
 # -- incremental layer -------------------------------------------------------
 
 
@@ -379,6 +417,102 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.trade_fact(deal_tables(spark, sf_dir))
 
 
+def _last_tenth(quotes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Quotes of the first nine tenths of the days, and of the last."""
+    days = F.datediff(F.max("date"), F.min("date"))
+    cut = quotes.agg(F.date_add(F.min("date"), (days * 9 / 10).cast("int")).alias("cut")).scalar()
+    return quotes.filter(F.col("date") <= cut), quotes.filter(F.col("date") > cut)
+
+
+def _versions(tables: fact.Tables, new: bool) -> dict[str, DataFrame]:
+    """Offer tables with the versions entered until ``BUILT_ON``, or with those after it.
+
+    A version is entered as many days after its offer as its number says, and the deal that made
+    it goes with it.
+    """
+    placed = F.to_date(F.substring("OFER_NR", 2, 8), "yyyyMMdd")
+    cut = dict(tables)
+    for name, table in tables.items():
+        if "OFER_NR" in table.columns:
+            # A deal names the version it was struck on, and made the next.
+            version = F.col("OFER_CHNG_SEQ").cast("int") + (1 if name == "FTR_DEAL" else 0)
+            after = F.date_add(placed, version) > F.lit(BUILT_ON).cast("date")
+            cut[name] = table.filter(after if new else ~after)
+    return cut
+
+
+def _refreshed_users(
+    spark: SparkSession, sf_dir: str, job: Callable[[fact.Tables], DataFrame]
+) -> DataFrame:
+    """What was stored, with the rows of users of new versions replaced: equals a full build."""
+    tables = offer_tables(spark, sf_dir)
+    numbers = _versions(tables, new=True)["FTR_OFER"].select("OFER_NR").distinct()
+    users = offers.owners(tables["FTR_OFER"], numbers)
+    replaced = users.select(F.col("EMP_NR").alias("userId"))
+    fresh = job(offers.restricted(tables, users=users)).join(replaced, "userId", "left_semi")
+    return changes.upsert_by_key(job(_versions(tables, new=False)), fresh, replaced)
+
+
+def _refreshed_offers(
+    spark: SparkSession, sf_dir: str, job: Callable[[fact.Tables], DataFrame]
+) -> DataFrame:
+    """What was stored, with the rows of offers with new versions replaced: equals a full build."""
+    tables = offer_tables(spark, sf_dir)
+    numbers = _versions(tables, new=True)["FTR_OFER"].select("OFER_NR").distinct()
+    replaced = numbers.select(F.col("OFER_NR").alias("offerNumber"))
+    fresh = job(offers.restricted(tables, offers=numbers))
+    return changes.upsert_by_key(job(_versions(tables, new=False)), fresh, replaced)
+
+
+def _raw_output(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("carrierItem", listed("carrierItem", "carrierCode", "carrierName"))
+
+
+def _summary_output(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {
+            "lineItem": listed(
+                "lineItem", "baseYearWeek", "dealQty", "leftQty", "lineEventTimestamp",
+                "lineReferenceEventNumber", "lineReferenceEventChangeSeq",
+            ),
+            "routeItem": listed("routeItem", "polCode", "podCode"),
+            "carrierItem": listed("carrierItem", "carrierCode"),
+        }
+    )
+
+
+def _week_detail_output(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "offerNumber", "baseYearWeek", "offerChangeSeq", whole("aggDealQty"),
+        rounded("aggDealPrice"), whole("aggDealAmt"), whole("aggOfferQty"), whole("aggLeftQty"),
+        amount("aggLeftPrice"), whole("aggLeftAmt"), "tradeClosing", "eventTimestamp",
+        "referenceEventNumber", "referenceEventChangeSeq", amount("dealQty"), amount("dealPrice"),
+        whole("dealAmt"), amount("offerQty"), amount("leftQty"), amount("leftPrice"),
+        whole("leftAmt"),
+    )
+
+
+def _week_list_output(weeks: DataFrame) -> DataFrame:
+    return weeks.withColumn("baseYearWeek", F.array_join("baseYearWeek", ","))
+
+
+def _route_list_output(routes: DataFrame) -> DataFrame:
+    return routes.withColumn(
+        "rteList", listed("rteList", "polCode", "podCode", "polName", "podName")
+    )
+
+
+def _event_log_output(documents: DataFrame) -> DataFrame:
+    entries = F.aggregate("eventCell", F.lit(0), lambda n, cell: n + F.size(cell.eventLog))
+    return documents.select(
+        *events.OFFER_KEYS,
+        "page",
+        F.size("eventCell").alias("cells"),
+        joined_field("eventCell", "eventCode").alias("eventCodes"),
+        entries.alias("logEntries"),
+    )
+
+
 def _sum_output(rows: DataFrame) -> DataFrame:
     return rows.select(
         *market.WEEK_KEYS, "status", amount("open"), amount("low"), amount("high"),
