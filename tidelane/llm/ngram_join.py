@@ -37,13 +37,15 @@ LEAF = 16
 BLOCK = 1024
 #: An n-gram met in so many classes of one task goes to the end of the order.
 OFTEN = 3
+#: Bytes of text whose words are hashed at once, and bytes of sets that a task holds before it hands them on.
+TEXT_BYTES, SET_BYTES = 1 << 18, 1 << 22
 _STEP = 0xD6E8FEB86659FD93
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     """Sorted distinct hashes of each text's n-grams; the whole sequence where it has fewer words."""
     scale = np.array([pow(_STEP, width - 1 - i, 1 << 64) for i in range(width)], np.uint64)
-    for _, data, bounds in text_blocks(texts):
+    for _, data, bounds in text_blocks(texts, TEXT_BYTES):
         words, first, _, _ = word_hashes(data, bounds)
         grams = np.zeros(max(len(words) - width + 1, 0), np.uint64)
         for i in range(width):
@@ -71,7 +73,8 @@ def _prefix(grams: np.ndarray, often: Bits | None, percent: int) -> np.ndarray:
         late = often.has(grams)
         if late[:size].any():
             grams = np.concatenate([grams[~late], grams[late]])
-    return grams[:size]
+    # A copy, as a view would keep the whole set in memory.
+    return grams[:size].copy()
 
 
 def _signature(grams: np.ndarray) -> bytes:
@@ -168,11 +171,18 @@ def _sizes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _counted(common, pending: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
-    grams = np.concatenate([common[0], *pending])
-    counts = np.concatenate([common[1], np.ones(len(grams) - len(common[0]), np.int64)])
-    found, where = np.unique(grams, return_inverse=True)
-    total = np.bincount(where, counts, len(found)).astype(np.int64)
-    return found[total >= least], total[total >= least]
+    """``common`` (n-grams and counts) with those of ``pending`` added, without what has fewer than ``least``."""
+    fresh = np.sort(np.concatenate([np.empty(0, np.uint64), *pending]))
+    starts = np.flatnonzero(np.r_[len(fresh) > 0, fresh[1:] != fresh[:-1]][: len(fresh)])
+    fresh, counts = fresh[starts], np.diff(np.r_[starts, len(fresh)])
+    at = np.searchsorted(fresh, common[0])
+    known = np.zeros(len(at), bool)
+    inside = at < len(fresh)
+    known[inside] = fresh[at[inside]] == common[0][inside]
+    counts[at[known]] += common[1][known]
+    kept, rest = counts >= least, ~known & (common[1] >= least)
+    grams = np.concatenate([fresh[kept], common[0][rest]])
+    return grams, np.concatenate([counts[kept], common[1][rest]])
 
 
 def _rows(kinds, ids, sizes, classes, rows, late) -> pa.RecordBatch:
@@ -303,21 +313,28 @@ def _sets_of(spark: SparkSession, docs: DataFrame, members: DataFrame, pairs: Da
     bits = Bits.of(chosen, "row", 24)
     sent = spark.sparkContext.broadcast((bits.words, bits.log2))
 
+    kinds = {"class": pa.int64(), "task": pa.int32(), "n": pa.int64(), "bits": pa.binary(), "grams": pa.binary()}
+
+    def handed_on(rows):
+        columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], [*kinds])
+
     def sets(batches):
         table, seen, task = Bits(*sent.value), set(), TaskContext.get().partitionId()
         for batch in batches:
             batch = batch.filter(pa.array(table.has(batch["row"].to_numpy().view(np.uint64))))
-            rows = {}
+            rows, held = [], 0
             for grams in shingle_sets(batch["text"], width) if batch.num_rows else ():
                 if len(grams) and (k := _class_of(grams)) not in seen:
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(k)
-                    rows[k] = (k, task, len(grams), _bitmap(grams), grams.tobytes())
-            columns = list(zip(*rows.values(), strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-            names = ["class", "task", "n", "bits", "grams"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+                    rows.append((k, task, len(grams), _bitmap(grams), grams.tobytes()))
+                    held += grams.nbytes
+                    if held >= SET_BYTES:
+                        yield handed_on(rows)
+                        rows, held = [], 0
+            yield handed_on(rows)
 
     # A row that only the bit table lets in, or a class met twice, adds nothing false. Copies without
     # an id can't be told apart, so many tasks may hold a class; the first one's sets are taken.
