@@ -60,3 +60,11 @@ def test_scan_reads_only_the_columns_it_needs(spark):
     plan = registry()["cdc_max_id"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line and "orders" in line]
     assert scans and all("o_totalprice" not in line for line in scans)
+
+
+@pytest.mark.parametrize("name", ["offer_summary", "offer_raw", "offer_event_log", "offer_event_04"])
+def test_tables_placed_by_offer_are_joined_where_they_lie(spark, without_broadcast, name):
+    plan = registry()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert [line for line in moved if "hashpartitioning(OFER_NR#" in line]
+    assert not [line for line in moved if "OFER_CHNG_SEQ" in line or "offerNumber" in line]

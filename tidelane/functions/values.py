@@ -58,7 +58,7 @@ def topic_name(document: Column) -> Column:
 
 
 #: Bytes, by the optimizer's estimate, up to which a side may be sent to every task.
-SMALL = 8 << 20
+SMALL = 32 << 20
 
 
 def estimated_bytes(frame: DataFrame) -> int:

@@ -217,25 +217,33 @@ def route_pairs(
     whether any row of its version meets it.
     """
     # Inside a struct a null code still counts as a row of its type.
-    place = F.struct(F.col("TRDE_LOC_CD").alias("code"))
-    registered = F.col(registration).isNotNull()
-    loading = F.col("TRDE_LOC_TP_CD") == LOADING
-    discharge = (F.col("TRDE_LOC_TP_CD") == DISCHARGE) & registered
+    entry = F.struct(
+        F.col(registration).alias("registration"),
+        F.col("TRDE_LOC_TP_CD").alias("type"),
+        F.struct(F.col("TRDE_LOC_CD").alias("code")).alias("place"),
+    )
     unfold = F.explode if loaded_only else F.explode_outer
-    # Placed by version, the rows serve this grouping and the join on the
-    # version that follows with a single shuffle.
-    placed = routes.repartition(*version)
-    kept = []
-    if flag:
-        placed = placed.withColumn(flag, F.max(flag).over(Window.partitionBy(*version)))
-        kept = [flag]
+    kept = [flag] if flag else []
+    # Grouped by version alone, the rows stay in place for the join on the version that follows.
+    versions = routes.groupBy(*version).agg(
+        F.collect_list(entry).alias("entries"), *[F.max(name).alias(name) for name in kept]
+    )
+    registrations = F.array_distinct(F.transform("entries", lambda e: F.struct(e.registration.alias("of"))))
+
+    def places(kind: str, listed: Column) -> Column:
+        def belongs(e: Column) -> Column:
+            return e.registration.eqNullSafe(F.col("registered.of")) & (e.type == kind) & listed
+
+        return F.transform(F.filter("entries", belongs), lambda e: e.place)
+
+    registered = F.col("registered.of").isNotNull()
     return (
-        placed.groupBy(*version, registration, *kept)
-        .agg(
-            F.collect_list(
-                F.when(loading if loaded_only else loading & registered, place)
-            ).alias("pols"),
-            F.collect_list(F.when(discharge, place)).alias("pods"),
+        versions.select(*version, *kept, "entries", F.explode(registrations).alias("registered"))
+        .select(
+            *version,
+            *kept,
+            places(LOADING, F.lit(True) if loaded_only else registered).alias("pols"),
+            places(DISCHARGE, registered).alias("pods"),
         )
         .select(*version, *kept, "pods", unfold("pols").alias("pol"))
         .select(*version, *kept, "pol", F.explode_outer("pods").alias("pod"))
