@@ -165,3 +165,15 @@ def test_carrier_set(spark):
     assert rows(stats_raw_carrier_set(without, deals), "carrierItem") == [(None,)]
     assert stats_raw_carrier_set(tables, deals.limit(0)).schema == folded.schema
     assert stats_raw_carrier_set(tables, deals.limit(0)).count() == 0
+
+
+def test_history_documents_repeat_deals_only_within_their_arrays(spark):
+    # Entries of a deal go on over pages; the look-back sees the deal before, then the deal itself.
+    fact = trade_fact(deal_tables(spark, THREE, ["C1", "C2", "C3"]))
+    documents = market.mw_hst(fact, page_rows=2)
+    shown = ["idx", "timestamp", "dealPrice", "priceChange", "priceRate"]
+    assert rows(flatten(documents), *shown) == rows(market.mw_hst_rows(fact), *shown)
+    assert [len(cell) for (cell,) in documents.orderBy("page").select("Cell").collect()] == [2, 2, 2, 2, 1]
+    # What is collected is a row per deal and page, not one per entry.
+    plans = [frame._jdf.queryExecution().optimizedPlan().toString() for frame in (market.mw_hst_rows(fact), documents)]
+    assert ["explode(sequence(1, carrierNames" in plan for plan in plans] == [True, False]

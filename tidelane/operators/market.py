@@ -90,6 +90,20 @@ def mw_hst_rows(
     ``only_touched`` keeps the routes and weeks with a row that ``changed``:
     both the deals and the count of changes per week read one shuffle.
     """
+    traced = _traced_deals(fact, dedup_carriers, run_digits, only_touched)
+    copies = traced.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("carrierNames"))))
+    lagged = F.when(F.col("copy") > 1, F.col("dealPrice")).otherwise(F.col("previous"))
+    return (
+        market_keys(copies)
+        .withColumn("idx", F.col("before") + F.col("copy"))
+        .withColumn("priceChange", F.col("dealPrice") - lagged)
+        .withColumn("priceRate", ratio(F.col("priceChange"), F.col("dealPrice")))
+        .select(*WEEK_KEYS, *HISTORY_CELL)
+    )
+
+
+def _traced_deals(fact: DataFrame, dedup_carriers: bool, run_digits: int, only_touched: bool) -> DataFrame:
+    """Deals with the price ``previous`` to theirs, the entries ``before`` and their own number of entries."""
     flag = ["changed"] if only_touched else []
     deals = (
         weighted(fact, dedup_carriers)
@@ -114,7 +128,7 @@ def mw_hst_rows(
         # Counted, not just looked for, so that both sides keep the same distinct rows.
         weeks = deals.groupBy(*TOUCHED_WEEK).agg(F.count_if("changed").alias("n")).filter("n > 0")
         deals = null_safe_join(deals.filter(_traded()), weeks.drop("n"), TOUCHED_WEEK, "left_semi").drop("changed", "offerTypeCode")
-    traced = look_back(
+    return look_back(
         deals,
         keys=[*TERMS, "baseYearWeek"],
         block=F.substring("timestamp", 1, run_digits),
@@ -126,15 +140,6 @@ def mw_hst_rows(
         weight="carrierNames",
         default=F.lit(0),
     )
-    copies = traced.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("carrierNames"))))
-    lagged = F.when(F.col("copy") > 1, F.col("dealPrice")).otherwise(F.col("previous"))
-    return (
-        market_keys(copies)
-        .withColumn("idx", F.col("before") + F.col("copy"))
-        .withColumn("priceChange", F.col("dealPrice") - lagged)
-        .withColumn("priceRate", ratio(F.col("priceChange"), F.col("dealPrice")))
-        .select(*WEEK_KEYS, *HISTORY_CELL)
-    )
 
 
 def _traded() -> Column:
@@ -149,9 +154,31 @@ def mw_hst(
     The history of a busy week continues on further pages of ``page_rows``
     deals, numbered by ``page``.
     """
-    page = F.floor((F.col("idx") - 1) / page_rows).cast("int")
-    rows = mw_hst_rows(fact, dedup_carriers, only_touched=only_touched).withColumn("page", page)
-    return nest(rows, [*WEEK_KEYS, "page"], HISTORY_CELL)
+    traced = _traced_deals(fact, dedup_carriers, RUN_DIGITS, only_touched)
+    # A deal moves once per page it shows on, and is repeated only in the array it shows in.
+    first, last = (F.floor(entry / page_rows).cast("int") for entry in (F.col("before"), F.col("before") + F.col("carrierNames") - 1))
+    paged = traced.withColumn("page", F.explode(F.sequence(first, last)))
+    opening, closing = F.col("page") * F.lit(page_rows).cast("long"), (F.col("page") + 1) * F.lit(page_rows).cast("long")
+    shown = F.struct(
+        (F.greatest("before", opening) + 1).alias("from"),
+        F.least(F.col("before") + F.col("carrierNames"), closing).alias("to"),
+        F.when(F.col("before") >= opening, F.col("previous")).otherwise(F.col("dealPrice")).alias("previous"),
+        *HISTORY_CELL[1:-2],
+    )
+    folded = paged.groupBy(*TERMS, "baseYearWeek", "page").agg(F.sort_array(F.collect_list(shown)).alias("shown"))
+
+    def repeated(deal: Column) -> Column:
+        def entry(idx: Column) -> Column:
+            change = deal.dealPrice - F.when(idx > deal["from"], deal.dealPrice).otherwise(deal.previous)
+            fields = [deal[name].alias(name) for name in HISTORY_CELL[1:-2]]
+            return F.struct(
+                idx.alias("idx"), *fields, change.alias("priceChange"), ratio(change, deal.dealPrice).alias("priceRate")
+            )
+
+        return F.transform(F.sequence(deal["from"], deal["to"]), entry)
+
+    documents = folded.withColumn("Cell", F.flatten(F.transform("shown", repeated)))
+    return market_keys(documents).select(*WEEK_KEYS, "page", "Cell")
 
 
 def mw_wkdetail_rows(fact: DataFrame, dedup_carriers: bool = False, only_touched: bool = False) -> DataFrame:
