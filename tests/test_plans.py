@@ -68,3 +68,12 @@ def test_tables_placed_by_offer_are_joined_where_they_lie(spark, without_broadca
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     assert [line for line in moved if "hashpartitioning(OFER_NR#" in line]
     assert not [line for line in moved if "OFER_CHNG_SEQ" in line or "offerNumber" in line]
+
+
+@pytest.mark.parametrize("name", ["offer_summary_pages", "mw_bidask_pages"])
+def test_pages_by_rank_move_whole_rows_once(spark, without_broadcast, name):
+    plan = registry()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # To their pages; what else moves are counts, by month and minute or back to the numbers.
+    assert len([line for line in moved if "page#" in line]) == 1
+    assert not [line for line in moved if "__run" in line]

@@ -50,7 +50,8 @@ def nest_ranked(
     paged = ranked(rows, keys, order, number).withColumn(
         "page", F.floor(F.col("rank") / page_rows).cast("int")
     )
-    entry = F.struct(F.struct(*order).alias("place"), F.struct(*fields).alias("cell"))
+    # The rank alone orders a page, so that its cells are collected once.
+    entry = F.struct("rank", F.struct(*fields).alias("cell"))
     cells = F.transform(F.sort_array(F.collect_list(entry)), lambda item: item.cell)
     return paged.groupBy(*keys, "page").agg(cells.alias(cell))
 
@@ -58,40 +59,45 @@ def nest_ranked(
 def ranked(rows: DataFrame, keys: list[str], order: list[str], number: str) -> DataFrame:
     """Add ``rank``: the place of a row in its group, from 0, by ``order``, which starts with ``number``.
 
-    No task holds a whole group.  The minute an offer was placed, read off its number, cuts a group
-    into runs, and rows are counted within runs.  Their sizes are then added up within months and
-    the months' within the group, so that a sum is over the minutes of a month or over months.
-    ``order`` should name every column but the keys, so that rows and sizes read the same shuffle.
+    No task holds a whole group, and whole rows need not move: rows are numbered where the rows of an
+    offer lie, and only the counts of offers are shuffled.  The minute an offer was placed, read off
+    its number, cuts a group into runs; offers are counted within runs, the runs' sizes are added up
+    within months and the months' within the group, so that a sum is over the offers of a minute, the
+    minutes of a month or over months.
     """
+    # By number first: rows that lie by it stay, and so do the counts of their offers.
+    inside = Window.partitionBy("__run", *keys).orderBy(*order)
+    placed = rows.withColumn("__run", F.col(number)).withColumn("__nth", F.row_number().over(inside))
     minute, month = (F.coalesce(F.substring(number, 1, size), F.lit("")) for size in (13, 7))
-    run = F.struct(*keys, month.alias("month"), minute.alias("minute")).alias("__run")
-    runs = rows.select(run, "*").drop(*keys).repartition("__run")
-    inside = Window.partitionBy("__run").orderBy(*order)
-    placed = runs.withColumns(
-        {"__nth": F.row_number().over(inside), "__ends": F.lead(F.lit(False), 1, True).over(inside)}
+    # Counted without the other columns, which then need not be made for it.
+    counts = rows.groupBy(number, *keys).agg(F.count(F.lit(1)).alias("__size")).select(
+        F.struct(*keys, F.lit(0).alias("all")).alias("__group"),
+        month.alias("__month"),
+        minute.alias("__minute"),
+        F.col(number).alias("__number"),
+        "__size",
     )
-    group = F.struct(*[F.col(f"__run.{key}") for key in keys], F.lit(0).alias("all"))
-    sizes = placed.filter("__ends").select(
-        "__run",
-        group.alias("__group"),
-        F.col("__run.month").alias("__month"),
-        F.col("__nth").cast("long").alias("__size"),
-    )
-    month_of = Window.partitionBy("__group", "__month").orderBy("__run.minute")
-    minutes = sizes.withColumn("__earlier", _before("__size", month_of))
-    months = sizes.groupBy("__group", "__month").agg(F.sum("__size").alias("__size"))
-    months = months.select(
-        "__group",
-        "__month",
-        _before("__size", Window.partitionBy("__group").orderBy("__month")).alias("__opening"),
-    )
-    starts = minutes.join(months, ["__group", "__month"]).select(
-        "__run", (F.col("__opening") + F.col("__earlier")).alias("__start")
-    )
-    return placed.join(starts, "__run").select(
-        *[F.col(f"__run.{name}") if name in keys else name for name in rows.columns],
-        (F.col("__start") + F.col("__nth") - 1).alias("rank"),
+    run = ["__group", "__month", "__minute"]
+    within = Window.partitionBy(*run).orderBy("__number")
+    offers = counts.withColumn("__inside", _before("__size", within))
+    sizes = counts.groupBy(*run).agg(F.sum("__size").alias("__size"))
+    minutes = sizes.withColumn("__earlier", _before("__size", Window.partitionBy(*run[:2]).orderBy("__minute")))
+    months = sizes.groupBy(*run[:2]).agg(F.sum("__size").alias("__size"))
+    opening = months.withColumn("__opening", _before("__size", Window.partitionBy("__group").orderBy("__month")))
+    starts = (
+        offers.drop("__size")
+        .join(minutes.drop("__size"), run)
+        .join(opening.drop("__size"), run[:2])
+        .select(
+            "__number",
+            "__group",
+            (F.col("__opening") + F.col("__earlier") + F.col("__inside")).alias("__start"),
+        )
     )
+    same = (F.col("__run") == F.col("__number")) & (F.struct(*keys, F.lit(0).alias("all")) == F.col("__group"))
+    # Rows without a number match no count: they come first in their group.
+    start = F.coalesce("__start", F.lit(0).cast("long"))
+    return placed.join(starts, same, "left").select(*rows.columns, (start + F.col("__nth") - 1).alias("rank"))
 
 
 def _before(value: str, ordered: Window) -> Column:
