@@ -66,6 +66,19 @@ def test_offer_deltas_over_many_runs(spark, monkeypatch):
     assert rows(offers.week_detail_rows(tables), "aggDealQty") == [(D(118),)]
 
 
+def test_placed_week_detail_needs_no_runs(spark, monkeypatch):
+    monkeypatch.setattr(offers, "VERSIONS_PER_RUN", 3)
+    deals = [deal("D1", 4, "20200105"), deal("D2", 4, "20200106"), deal("D3", 2, "20200107")]
+    for amounts in ([100, 90, 90, 70, 60], [100, None, 80], [100], [100, 100], [0]):
+        tables = versions(spark, amounts, deals=deals)
+        odd = spark.createDataFrame([(None, 0), (None, 1), (None, None)], "OFER_NR string, OFER_CHNG_SEQ long")
+        lines = tables["FTR_OFER_LINE_ITEM"]
+        extra = odd.join(lines.drop("OFER_NR", "OFER_CHNG_SEQ").limit(1), how="cross").select(lines.columns)
+        tables = {**tables, "FTR_OFER_LINE_ITEM": lines.unionByName(extra)}
+        assert rows(offers.week_detail_rows(tables, placed=True)) == rows(offers.week_detail_rows(tables))
+
+
+
 def test_offer_without_deal_keeps_version_zero_only(spark):
     assert rows(offers.week_detail_rows(versions(spark, [100])), "dealQty", "aggDealPrice") == [
         (D(0), None)

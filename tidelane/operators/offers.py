@@ -198,11 +198,13 @@ def offer_summary_pages(tables: Tables, current_week: str, page_rows: int = PAGE
     return nest_ranked(rows, USER, SUMMARY_CELL, "offerNumber", page_rows, "cell")
 
 
-def week_detail_rows(tables: Tables) -> DataFrame:
+def week_detail_rows(tables: Tables, placed: bool = False) -> DataFrame:
     """Deal log of each offer and week at its last version, with totals over all versions.
 
     A version's deal quantity is what the remaining quantity fell by since the
-    version before.
+    version before.  Say ``placed`` if the tables lie by offer: the rows then
+    stay there, under windows of one order.  Otherwise they are cut into runs,
+    so that not even the versions of one offer have to meet in one task.
     """
     lines = (
         tables["FTR_OFER_LINE_ITEM"]
@@ -222,18 +224,23 @@ def week_detail_rows(tables: Tables) -> DataFrame:
         )
     )
     week = ["offerNumber", "baseYearWeek"]
-    traced = look_back(
-        lines,
-        keys=week,
-        block=F.floor(F.col("offerChangeSeq") / VERSIONS_PER_RUN),
-        order=[
-            "offerChangeSeq", "eventTimestamp", "referenceEventNumber", "referenceEventChangeSeq",
-            "leftQty", "leftPrice", "offerQty", "dealPrice",
-        ],
-        value="leftQty",
-        weight="one",
-        default=F.lit(0),
-    )
+    order = [
+        "offerChangeSeq", "eventTimestamp", "referenceEventNumber", "referenceEventChangeSeq",
+        "leftQty", "leftPrice", "offerQty", "dealPrice",
+    ]
+    of_week = Window.partitionBy(*week)
+    if placed:
+        traced = lines.withColumn("previous", F.lag("leftQty", 1, 0).over(of_week.orderBy(*order)))
+    else:
+        traced = look_back(
+            lines,
+            keys=week,
+            block=F.floor(F.col("offerChangeSeq") / VERSIONS_PER_RUN),
+            order=order,
+            value="leftQty",
+            weight="one",
+            default=F.lit(0),
+        )
     logged = (
         traced.withColumn(
             "dealQty",
@@ -249,19 +256,26 @@ def week_detail_rows(tables: Tables) -> DataFrame:
             ),
         )
     )
-    totals = logged.groupBy(*week).agg(
-        F.sum("dealQty").alias("aggDealQty"),
-        F.sum("dealAmt").alias("aggDealAmt"),
-        F.sum("offerQty").alias("aggOfferQty"),
-        F.min("leftQty").alias("aggLeftQty"),
-        F.min("leftAmt").alias("aggLeftAmt"),
-    )
-    # As a rank filter, "of the last version" drops the other versions before the shuffle.
-    newest = Window.partitionBy(*week).orderBy(F.col("offerChangeSeq").desc())
-    last = logged.withColumn("nth", F.rank().over(newest)).filter(F.col("nth") == 1)
-    dealt = last.filter((F.col("offerChangeSeq") == 0) | (F.col("dealQty") > 0))
+    totals = {
+        "aggDealQty": F.sum("dealQty"),
+        "aggDealAmt": F.sum("dealAmt"),
+        "aggOfferQty": F.sum("offerQty"),
+        "aggLeftQty": F.min("leftQty"),
+        "aggLeftAmt": F.min("leftAmt"),
+    }
+    kept = (F.col("offerChangeSeq") == 0) | (F.col("dealQty") > 0)
+    if placed:
+        windows = {**totals, "lastVersion": F.max("offerChangeSeq")}
+        told = logged.select("*", *[total.over(of_week).alias(name) for name, total in windows.items()])
+        detailed = told.filter(F.col("offerChangeSeq").eqNullSafe(F.col("lastVersion"))).filter(kept)
+    else:
+        # As a rank filter, "of the last version" drops the other versions before the shuffle.
+        newest = of_week.orderBy(F.col("offerChangeSeq").desc())
+        last = logged.withColumn("nth", F.rank().over(newest)).filter(F.col("nth") == 1)
+        summed = logged.groupBy(*week).agg(*[total.alias(name) for name, total in totals.items()])
+        detailed = null_safe_join(last.filter(kept), summed, week)
     return (
-        null_safe_join(dealt, totals, week)
+        detailed
         .withColumns(
             {
                 "aggDealPrice": ratio(F.col("aggDealAmt"), F.col("aggDealQty")),

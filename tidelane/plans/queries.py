@@ -240,7 +240,7 @@ def offer_summary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offer_week_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _week_detail_output(offers.week_detail_rows(offer_tables(spark, sf_dir)))
+    return _week_detail_output(offers.week_detail_rows(offer_tables(spark, sf_dir), placed=True))
 
 
 def offer_week_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +271,7 @@ def offer_route_list_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offer_week_detail_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _week_detail_output(_refreshed_offers(spark, sf_dir, offers.week_detail_rows))
+    return _week_detail_output(_refreshed_offers(spark, sf_dir, partial(offers.week_detail_rows, placed=True)))
 
 
 def offer_event_log_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,7 +430,8 @@ def _versions(tables: fact.Tables, new: bool) -> dict[str, DataFrame]:
     A version is entered as many days after its offer as its number says, and the deal that made
     it goes with it.
     """
-    placed = F.to_date(F.substring("OFER_NR", 2, 8), "yyyyMMdd")
+    parts = [F.substring("OFER_NR", start, size).cast("int") for start, size in ((2, 4), (6, 2), (8, 2))]
+    placed = F.make_date(*parts)
     cut = dict(tables)
     for name, table in tables.items():
         if "OFER_NR" in table.columns:
