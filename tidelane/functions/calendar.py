@@ -79,11 +79,12 @@ def week_closing(code: Column) -> Column:
     Null when the year has no such week, as for a code missing from a calendar
     table.
     """
-    year = F.substring(code, 1, 4)
+    # Four signs that are a number from 1000 on are four digits; reckoned without a date parser.
+    year = F.substring(code, 1, 4).try_cast("int")
     number = F.substring(code, 5, 2).try_cast("int")
-    first = F.try_to_date(F.concat(year, F.lit("0101")), "yyyyMMdd")
+    first = F.make_date(F.when(year >= 1000, year), F.lit(1), F.lit(1))
     saturday = F.date_add(saturday_of(first), (number - 1) * 7)
-    known = (number >= 1) & (F.year(saturday).cast("string") == year)
+    known = (number >= 1) & (F.year(saturday) == year)
     return F.when(known, F.concat(digits(saturday), F.lit(CLOSING_SUFFIX)))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -19,6 +19,12 @@ LOG_ENTRY = [
     "leftQty", "leftAmt", "tradeClosing",
 ]
 
+# What a log entry is made of.
+LINE = [
+    "baseYearWeek", "dealPrice", "dealQty", "dealAmt", "offerPrice", "offerQty", "leftQty",
+    "DEAL_NR", "DEAL_CHNG_SEQ", "DEAL_DT", "closing",
+]
+
 # Versions of an offer in one document.
 PAGE_VERSIONS = 10_000
 
@@ -41,78 +47,72 @@ def events(
 ) -> DataFrame:
     """One row per offer and event with its log.
 
-    All five events come out of one aggregate over the offer lines: each line
-    contributes a log entry to the events it qualifies for.  What an event
-    asks of the whole offer (last version, last deal time) comes from a narrow
-    aggregate joined back per ``page``, a run of ``page_versions`` versions, so
-    that not even the versions of one offer have to meet in one task.  Only
-    the events in ``codes`` are computed.
+    All five events come out of one aggregate over the offer lines: the lines
+    of a version are collected once, and each event's log is made of those it
+    applies to.  What an event asks of the whole offer (last version, last deal
+    time) is told to the lines by a window, in the order that the joins leave
+    them in.  A ``page`` is a run of ``page_versions`` versions.  Only the
+    events in ``codes`` are computed.
     """
+    codes = tuple(codes)
     page = F.floor(F.col("offerChangeSeq") / page_versions).cast("int").alias("page")
-    lines = _lines(tables).select("*", page)
     expired = F.col("baseYearWeek") < current_week
-    dealt = F.col("DEAL_NR").isNotNull()
-    own, deal = ("offerNumber", "offerChangeSeq"), ("DEAL_NR", "DEAL_CHNG_SEQ")
-    closing = F.when(F.col("DEAL_DT") > F.col("closing"), F.col("DEAL_DT")).otherwise(
-        F.col("closing")
+    facts = {
+        "lastDealOfOffer": F.col("DEAL_DT"),
+        "lastExpiryOfOffer": F.when(expired, F.col("closing")),
+        "lastExpiredVersion": F.when(expired, F.col("offerChangeSeq")),
+        "lastVersion": F.col("offerChangeSeq"),
+    }
+    offer = Window.partitionBy("offerNumber")
+    # An offer without a number has no events.
+    lines = (
+        _lines(tables)
+        .filter(F.col("offerNumber").isNotNull())
+        .select("*", page, *[F.max(value).over(offer).alias(name) for name, value in facts.items()])
     )
     versions = lines.groupBy(*OFFER_KEYS, "page", "offerChangeSeq").agg(
-        _log(F.col("offerChangeSeq") == 0, placed_at(F.col("offerNumber")), own).alias("log01"),
-        _log((F.col("offerChangeSeq") > 0) & dealt, F.col("DEAL_DT"), deal).alias("log02"),
-        _log(expired, F.col("closing"), own).alias("log03"),
-        _log(F.lit(True), F.col("DEAL_DT"), own).alias("log04"),
-        _log(F.lit(True), F.col("DEAL_DT"), own, closing).alias("log05"),
+        F.collect_list(F.struct(*LINE)).alias("lines"),
         F.max("DEAL_DT").alias("lastDealOfVersion"),
         F.max(F.when(expired, F.col("offerChangeSeq"))).alias("expiredVersion"),
         F.sum("leftQty").alias("left"),
         F.max("baseYearWeek").alias("lastWeek"),
+        *[F.max(name).alias(name) for name in facts],
     )
-    whole = _whole_offers(tables, current_week, page)
-    # Equal entries of a closed offer count once.
-    whole = whole.withColumnsRenamed({"offerNumber": "wholeNumber", "page": "wholePage"})
-    same = (F.col("offerNumber") == F.col("wholeNumber")) & F.col("page").eqNullSafe(F.col("wholePage"))
-    known = versions.join(whole, same).drop("wholeNumber", "wholePage")
-    known = known.withColumn("closedLeft", _sum_of("log05", "leftQty"))
+    placed, deal_time = placed_at(F.col("offerNumber")), lambda line: line.DEAL_DT
+    later = F.col("offerChangeSeq") > 0
+
+    def closing(line: Column) -> Column:
+        return F.when(line.DEAL_DT > line.closing, line.DEAL_DT).otherwise(line.closing)
+
+    logs = {
+        "01": _log(lambda line: F.col("offerChangeSeq") == 0, lambda line: placed),
+        "02": _log(lambda line: later & line.DEAL_NR.isNotNull(), deal_time, of_deal=True),
+        "03": _log(lambda line: line.baseYearWeek < current_week, lambda line: line.closing),
+        "04": _log(None, deal_time),
+        "05": _log(None, deal_time, closing),
+    }
+    # Equal entries count once.
+    logged = versions.withColumns({f"log{code}": logs[code] for code in codes}).drop("lines")
+    known = logged.withColumns({f"log{code}": _distinct(f"log{code}") for code in codes})
+    if "05" in codes:
+        known = known.withColumn("closedLeft", _sum_of("log05", "leftQty"))
     current = F.col("offerChangeSeq") == F.col("lastVersion")
     closed = (F.col("closedLeft") == 0) | (F.col("lastWeek") < current_week)
     expired_last = F.col("expiredVersion") == F.col("lastExpiredVersion")
     rules = {
-        "01": (F.size("log01") > 0, placed_at(F.col("offerNumber"))),
-        "02": (F.size("log02") > 0, F.col("lastDealOfVersion")),
-        "03": (expired_last, F.col("lastExpiryOfOffer")),
-        "04": (F.col("left") == 0, F.col("lastDealOfOffer")),
-        "05": (current & closed, F.col("lastDealOfOffer")),
+        "01": lambda: (F.size("log01") > 0, placed),
+        "02": lambda: (F.size("log02") > 0, F.col("lastDealOfVersion")),
+        "03": lambda: (expired_last, F.col("lastExpiryOfOffer")),
+        "04": lambda: (F.col("left") == 0, F.col("lastDealOfOffer")),
+        "05": lambda: (current & closed, F.col("lastDealOfOffer")),
     }
-    cells = [_cell(code, *rules[code]) for code in codes]
+    cells = [_cell(code, *rules[code]()) for code in codes]
     return (
         known.select(*OFFER_KEYS, "page", F.explode(F.array_compact(F.array(*cells))).alias("event"))
         .select(*OFFER_KEYS, "page", "event.*")
     )
 
 
-def _whole_offers(tables: Tables, current_week: str, page: Column) -> DataFrame:
-    """Per offer and page, what holds of the offer as a whole."""
-    expired = F.col("BSE_YW") < current_week
-    pages = (
-        tables["FTR_OFER_LINE_ITEM"]
-        .select(*OFFER, "BSE_YW")
-        .join(tables["FTR_DEAL"].select(*OFFER, "DEAL_DT"), OFFER, "left")
-        .withColumnsRenamed({"OFER_NR": "offerNumber", "OFER_CHNG_SEQ": "offerChangeSeq"})
-        .groupBy("offerNumber", page)
-        .agg(
-            F.max("DEAL_DT").alias("lastDealOfOffer"),
-            F.max(F.when(expired, week_closing(F.col("BSE_YW")))).alias("lastExpiryOfOffer"),
-            F.max(F.when(expired, F.col("offerChangeSeq"))).alias("lastExpiredVersion"),
-            F.max("offerChangeSeq").alias("lastVersion"),
-        )
-    )
-    offer = Window.partitionBy("offerNumber")
-    facts = ["lastDealOfOffer", "lastExpiryOfOffer", "lastExpiredVersion", "lastVersion"]
-    return pages.select(
-        "offerNumber", "page", *[F.max(name).over(offer).alias(name) for name in facts]
-    )
-
-
 def event_rows(tables: Tables, current_week: str, code: str | None = None) -> DataFrame:
     """Log entries of all events, or of the one with ``code``, as flat rows."""
     codes = tuple(EVENT_NAMES) if code is None else (code,)
@@ -136,7 +136,6 @@ def offer_event_log(
 def _lines(tables: Tables) -> DataFrame:
     deals = tables["FTR_DEAL"].select(*OFFER, "DEAL_NR", "DEAL_CHNG_SEQ", "DEAL_DT")
     offers = tables["FTR_OFER"].select(*OFFER, "OFER_TP_CD", "ALL_YN")
-    price = F.col("OFER_PRCE")
     return (
         tables["FTR_OFER_LINE_ITEM"]
         .join(deals, OFFER, "left")
@@ -150,12 +149,9 @@ def _lines(tables: Tables) -> DataFrame:
             F.col("DEAL_PRCE").alias("dealPrice"),
             F.col("DEAL_QTY").alias("dealQty"),
             F.col("DEAL_AMT").alias("dealAmt"),
-            price.alias("offerPrice"),
+            F.col("OFER_PRCE").alias("offerPrice"),
             F.col("OFER_QTY").alias("offerQty"),
-            (price * F.col("OFER_QTY")).alias("offerAmt"),
-            price.alias("leftPrice"),
             F.col("OFER_REMN_QTY").alias("leftQty"),
-            (price * F.col("OFER_REMN_QTY")).alias("leftAmt"),
             "DEAL_NR",
             "DEAL_CHNG_SEQ",
             "DEAL_DT",
@@ -165,17 +161,31 @@ def _lines(tables: Tables) -> DataFrame:
 
 
 def _log(
-    applies: Column, time: Column, reference: tuple[str, str], closing: Column | None = None
+    applies: Callable[[Column], Column] | None,
+    time: Callable[[Column], Column],
+    closing: Callable[[Column], Column] = lambda line: line.closing,
+    of_deal: bool = False,
 ) -> Column:
-    """Set of the log entries of the lines an event applies to."""
-    entry = F.struct(
-        time.alias("eventTimestamp"),
-        F.col(reference[0]).alias("referenceEventNumber"),
-        F.col(reference[1]).alias("referenceEventNumberChangeSeq"),
-        *LOG_ENTRY[3:-1],
-        (F.col("closing") if closing is None else closing).alias("tradeClosing"),
-    )
-    return F.sort_array(F.collect_set(F.when(applies, entry)))
+    """Log entries, in order, of the ``lines`` an event applies to; they refer to the deal or to the offer."""
+
+    def entry(line: Column) -> Column:
+        number, version = (line.DEAL_NR, line.DEAL_CHNG_SEQ) if of_deal else (F.col("offerNumber"), F.col("offerChangeSeq"))
+        values = [
+            time(line), number, version, line.baseYearWeek,
+            line.dealPrice, line.dealQty, line.dealAmt,
+            line.offerPrice, line.offerQty, line.offerPrice * line.offerQty,
+            line.offerPrice, line.leftQty, line.offerPrice * line.leftQty,
+            closing(line),
+        ]
+        return F.struct(*[value.alias(name) for name, value in zip(LOG_ENTRY, values, strict=True)])
+
+    return F.sort_array(F.transform("lines" if applies is None else F.filter("lines", applies), entry))
+
+
+def _distinct(ordered: str) -> Column:
+    """Items of an ordered array without repeats, which are neighbours there."""
+    items = F.col(ordered)
+    return F.filter(items, lambda item, nth: (nth == 0) | ~item.eqNullSafe(items[nth - 1]))
 
 
 def _cell(code: str, happened: Column, last: Column) -> Column:
