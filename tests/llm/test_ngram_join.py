@@ -83,3 +83,43 @@ def test_empty(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert ngram_components(frame).collect() == []
     assert ngram_join(frame).collect() == []
+
+
+def counted(monkeypatch):
+    """Numbers of pairs that the trees give, as they come."""
+    made, plain = [], module._tree_pairs
+
+    def pairs(*args):
+        found = plain(*args)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(module, "_tree_pairs", pairs)
+    return made
+
+
+def test_pairs_do_not_grow_with_the_square_of_a_passage(spark, monkeypatch):
+    """Texts with most of a passage in common, not enough to link, and copies of some of them."""
+    made = counted(monkeypatch)
+    passage = " ".join(f"p{i}" for i in range(420))
+    rows = [(k, passage + " " + " ".join(f"o{k}x{i}" for i in range(120))) for k in range(120)]
+    rows += [(200 + k, rows[k][1] + " end") for k in range(0, 120, 40)]
+    want = {k: (len(text.split()) - 4, k - 200 if k >= 200 else k) for k, text in rows}
+    assert found(ngram_components(spark.createDataFrame(rows, SCHEMA))) == want
+    assert made[0] <= len(rows)
+
+
+def test_components_of_links(spark):
+    deal = random.Random(5)
+    links = [(deal.randrange(400), deal.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 540)]
+    links += links[:50] + [(b, a) for a, b in links[50:90]] + [(7, None), (None, None), (450, 450)]
+    least = {x: x for link in links if None not in link and link[0] != link[1] for x in link}
+    for _ in least:
+        before = dict(least)
+        for a, b in links:
+            if a in least and b in least:
+                least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    frame = module.components(spark.createDataFrame(links, "a long, b long"), "a", "b")
+    assert sorted((r.node, r.root) for r in frame.collect()) == sorted(least.items())

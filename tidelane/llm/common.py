@@ -17,6 +17,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLOCK_BYTES = 1 << 20
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -40,22 +41,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """``frame`` written to the shared folder and read again, which also cuts its lineage.
 
     Once the table is written nothing reads the shuffle files of that job again, so Spark drops them then.
+    With ``batch``, Python gets so many rows at a time.
     """
     spark = frame.sparkSession
     path = shared_path(spark, name)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    settings = {_CLEANUP: "true"} | ({_BATCH: str(batch)} if batch else {})
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         frame.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidelane.llm.common import stored
 
@@ -13,37 +13,26 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Links are unordered, may repeat, may be null (ignored) and may join a node to itself.
     Each round replaces the links by stars around smaller nodes, until nothing changes; the
     number of rounds grows with the logarithm of a component's width. Neighbour lists are never
-    gathered: a star is a minimum per node joined back to its links.
+    gathered: a star is the first of a node's links in order, handed down them, and links that repeat are dropped on the way.
     """
-    edges = stored(
-        links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .filter("u is not null and v is not null and u != v")
-        .distinct(),
-        "links",
-    )
+    edges = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u is not null and v is not null and u != v"), "links")
+    of_node = Window.partitionBy("u").orderBy("v")
+    stars = {"m": F.first("v").over(of_node), "before": F.lag("v").over(of_node)}
     mark = _mark(edges)
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), "u").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u != v").distinct()
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(smallest, "u")
-            .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v")
-            .filter("u != v")
-            .distinct()
-        )
-        edges = stored(small, "links")
+        large = both.withColumns(stars).filter("v > u and (before is null or before != v)")
+        large = large.select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        small = large.withColumns(stars).filter("before is null or before != v")
+        edges = stored(small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")), "links")
         before, mark = mark, _mark(edges)
         if mark == before:
             break
-    roots = edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-    return roots.unionByName(
-        edges.select("v").distinct().join(roots, F.col("v") == F.col("node"), "left_anti").select(F.col("v").alias("node"), F.col("v").alias("root"))
-    )
+    # Now every node but the smallest of a component has one link, to the smallest.
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return roots.unionByName(edges.select(F.col("u").alias("node"), F.col("v").alias("root")))
 
 
 def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    """Number and sum of hashes; a sum, as links may repeat on the way."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())

@@ -5,17 +5,19 @@ Two documents link when their sets of word n-grams have a Jaccard likeness of at
 
 1. Equal sets are one *class*; from here on classes stand for their documents.
 2. Linked sets share an n-gram among the first ``n - ceil(t n) + 1`` of each set, in any order of
-   n-grams that all sets keep to. The order here is by hash, with n-grams that many sets hold
-   last, so passages that many documents share seldom bring unrelated documents together.
-3. Each class is compared with one leader, the smallest class of an n-gram they share. Links found so
-   far make known components.
+   n-grams that all sets keep to. Here n-grams come by the number of sets that hold them, in powers of
+   two as tasks have counted them, then by hash. So passages that many texts share come last, and what a
+   text has of its own comes first. The first n-gram that two sets share is at places ``i`` and ``j``; then they
+   share ``min(n_a - i, n_b - j)`` at most, and pairs that this rules out are dropped at that n-gram.
+3. The *leader* of an n-gram is the class where it comes first. Each class is compared with some leaders of its
+   n-grams, those of the most n-grams first. Links found so far make known components.
 4. For every n-gram whose classes are in more than one known component, a *signature tree* is built:
    leaves of classes sorted by size, nodes with the OR of token bitmaps, the range of sizes and of
    components. A dual traversal drops node pairs whose greatest possible overlap or size range
    rules a link out, or which are one known component already. N-grams of many classes are cut
    into blocks, and each pair of blocks is a group of its own.
 5. Pairs that remain are tested by bitmaps as wide as their sets are large, then compared exactly,
-   set by set, in rounds: one of each class, then four, sixteen and so on of those
+   set by set, in rounds: some of each class, then more and more of those
    that still join different components. All links are closed to components.
 """
 
@@ -26,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidelane.llm.common import Bits, mixed, signed, stored, text_blocks, word_hashes
@@ -35,10 +36,16 @@ from tidelane.llm.components import components
 SIGNATURE_WORDS = 16
 LEAF = 16
 BLOCK = 1024
-#: An n-gram met in so many classes of one task goes to the end of the order.
-OFTEN = 3
+#: An n-gram met in so many classes of one task is counted; OFTEN_ROWS of them are handed on at a time, PENDING held before they are counted.
+OFTEN, OFTEN_ROWS, PENDING = 2, 1 << 16, 1 << 20
+#: Counts from 2**LEAST_LEVEL change the order, those of 2**MOST_LEVELS n-grams at most, in a table of 2**LEVEL_SLOTS places.
+LEAST_LEVEL, MOST_LEVELS, LEVEL_SLOTS = 3, 20, 23
+#: Leaders that a class is compared with, and pairs of a class in the first round; each later round takes as many times more.
+LEADERS, ROUND = 4, 32
 #: Bytes of text whose words are hashed at once, and bytes of sets that a task holds before it hands them on.
 TEXT_BYTES, SET_BYTES = 1 << 18, 1 << 22
+#: Rows that Python gets at a time: of texts and of sets, and of n-grams. Pairs that a traversal holds at once.
+TEXTS, GRAMS, LEAF_PAIRS = 512, 8192, 1 << 12
 _STEP = 0xD6E8FEB86659FD93
 
 
@@ -67,12 +74,39 @@ def _class_of(grams: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
 
 
-def _prefix(grams: np.ndarray, often: Bits | None, percent: int) -> np.ndarray:
+class Levels:
+    """For n-grams that many sets hold, the power of two of their number: 0 for all others.
+
+    The table is of fixed size. Where n-grams meet in a place the larger level holds for each; any levels give an order.
+    """
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+
+    @staticmethod
+    def of(counted: DataFrame) -> "Levels":
+        """Levels of n-grams from ``gram`` and ``c``, parts of their numbers: the highest, of 2**MOST_LEVELS n-grams at most."""
+        sums = counted.groupBy("gram").agg(F.sum("c").alias("c")).filter(F.col("c") >= 1 << LEAST_LEVEL)
+        level = F.floor(F.log2(F.col("c").cast("double"))).cast("int")
+        found = stored(sums.select("gram", level.alias("level")), "ngram-levels")
+        at_least = found.agg(*[F.count(F.when(F.col("level") >= level, 1)) for level in range(64)]).first()
+        least = next((level for level in range(64) if at_least[level] <= 1 << MOST_LEVELS), 64)
+        place = F.shiftrightunsigned("gram", 64 - LEVEL_SLOTS).cast("int").alias("place")
+        rows = found.filter(F.col("level") >= least).select(place, F.col("level").cast("byte")).toArrow()
+        table = np.zeros(1 << LEVEL_SLOTS, np.uint8)
+        np.maximum.at(table, rows["place"].to_numpy(), rows["level"].to_numpy().astype(np.uint8))
+        return Levels(table)
+
+    def has(self, grams: np.ndarray) -> np.ndarray:
+        return self.table[(grams >> np.uint64(64 - LEVEL_SLOTS)).astype(np.int64)]
+
+
+def _prefix(grams: np.ndarray, levels: Levels, percent: int) -> np.ndarray:
+    """The first n-grams of a set, by level and hash."""
     size = len(grams) - (percent * len(grams) + 99) // 100 + 1
-    if often is not None and len(grams):
-        late = often.has(grams)
-        if late[:size].any():
-            grams = np.concatenate([grams[~late], grams[late]])
+    level = levels.has(grams)
+    if level[:size].any():
+        grams = grams[np.argsort(level, kind="stable")]
     # A copy, as a view would keep the whole set in memory.
     return grams[:size].copy()
 
@@ -134,15 +168,20 @@ def _found(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str
     docs = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _row_of(id_col, text_col).alias("row")
     )
-    sets = _sizes(docs, width, percent)
+    sets = _sizes(docs, width)
     members = sets.filter("kind = 0").select("doc_id", "n", "class", "row")
-    often = Bits.of(sets.filter("kind = 1").select(F.explode("late").alias("gram")), "gram", 23)
-    firsts = _firsts(docs, width, percent, often)
-    return _membership(members, _links(spark, docs, members, firsts, width, percent))
+    counted = sets.filter("kind = 1").select(F.explode(F.arrays_zip("often", "counts")).alias("x"))
+    levels = Levels.of(counted.select(F.col("x.often").alias("gram"), F.col("x.counts").alias("c")))
+    firsts = _firsts(docs, width, percent, levels)
+    # Of each class one row stands for all, one with an id if there is any.
+    row = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.col("row"))), F.min("row"))
+    classes = members.filter("class is not null").groupBy("class").agg(row.alias("row"), F.min("doc_id").alias("least_id"))
+    classes = stored(classes, "ngram-classes")
+    return _membership(members, classes, _roots(spark, docs, classes, firsts, width, percent))
 
 
-def _sizes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """A row of kind 0 per document with its class, and of kind 1 per task with n-grams met often."""
+def _sizes(docs: DataFrame, width: int) -> DataFrame:
+    """A row of kind 0 per document with its class, and rows of kind 1 with n-grams that a task has met often, and how often."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -158,16 +197,18 @@ def _sizes(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(classes[-1])
-                    pending.append(_prefix(grams, None, percent))
-                    held += len(pending[-1])
-                    if held >= 2_000_000:
+                    pending.append(grams.copy())
+                    held += len(grams)
+                    if held >= PENDING:
                         common, pending, held = _counted(common, pending, 2), [], 0
-            yield _rows([0] * len(n), batch["doc_id"], n, classes, batch["row"], [None] * len(n))
-        grams, _ = _counted(common, pending, OFTEN)
-        yield _rows([1], [None], [0], [None], [None], [signed(grams)])
+            yield _rows([0] * len(n), batch["doc_id"], n, classes, batch["row"], [None] * len(n), [None] * len(n))
+        grams, counts = _counted(common, pending, OFTEN)
+        for at in range(0, len(grams), OFTEN_ROWS):
+            part = slice(at, at + OFTEN_ROWS)
+            yield _rows([1], [None], [0], [None], [None], [signed(grams[part])], [counts[part]])
 
-    schema = "kind int, doc_id long, n long, class long, row long, late array<long>"
-    return stored(docs.mapInArrow(scan, schema), "ngram-sets")
+    schema = "kind int, doc_id long, n long, class long, row long, often array<long>, counts array<long>"
+    return stored(docs.mapInArrow(scan, schema), "ngram-sets", TEXTS)
 
 
 def _counted(common, pending: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,22 +226,22 @@ def _counted(common, pending: list[np.ndarray], least: int) -> tuple[np.ndarray,
     return grams, np.concatenate([counts[kept], common[1][rest]])
 
 
-def _rows(kinds, ids, sizes, classes, rows, late) -> pa.RecordBatch:
+def _rows(kinds, ids, sizes, classes, rows, often, counts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(kinds, pa.int32()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-            pa.array(classes, pa.int64()), pa.array(rows, pa.int64()), pa.array(late, pa.list_(pa.int64())),
+            pa.array(classes, pa.int64()), pa.array(rows, pa.int64()), pa.array(often, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64())),
         ],
-        ["kind", "doc_id", "n", "class", "row", "late"],
+        ["kind", "doc_id", "n", "class", "row", "often", "counts"],
     )
 
 
-def _firsts(docs: DataFrame, width: int, percent: int, often: Bits) -> DataFrame:
+def _firsts(docs: DataFrame, width: int, percent: int, levels: Levels) -> DataFrame:
     """Size, signature and first n-grams of each class, once per task at most where it has copies."""
-    sent = docs.sparkSession.sparkContext.broadcast((often.words, often.log2))
+    sent = docs.sparkSession.sparkContext.broadcast(levels.table)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late, seen = Bits(*sent.value), set()
+        levels, seen = Levels(sent.value), set()
         for batch in batches:
             rows = []
             for grams in shingle_sets(batch["text"], width):
@@ -208,7 +249,7 @@ def _firsts(docs: DataFrame, width: int, percent: int, often: Bits) -> DataFrame
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(k)
-                    rows.append((k, len(grams), _signature(grams), signed(_prefix(grams, late, percent))))
+                    rows.append((k, len(grams), _signature(grams), signed(_prefix(grams, levels, percent))))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())), strict=True)],
@@ -216,53 +257,56 @@ def _firsts(docs: DataFrame, width: int, percent: int, often: Bits) -> DataFrame
             )
 
     found = docs.mapInArrow(scan, "class long, n long, signature binary, firsts array<long>")
-    return stored(found, "ngram-firsts")
-
-
-def _links(spark: SparkSession, docs: DataFrame, members: DataFrame, firsts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between classes: ``a``, ``b``; enough of them to close every component."""
-    # Most n-grams are met once; adding up before the shuffle would only widen its rows.
-    postings = firsts.select("class", F.explode("firsts").alias("gram")).repartition("gram")
-    shared = stored(
-        postings.groupBy("gram").agg(F.min("class").alias("leader"), F.max("class").alias("last")).filter("leader != last").drop("last"),
-        "ngram-shared",
-    )
-    of_gram = _within(firsts, Bits.of(shared, "gram", 27)).join(shared, "gram")
-    of_gram = stored(of_gram, "ngram-postings")
-    size = firsts.groupBy("class").agg(F.min("n").alias("n"), F.min("signature").alias("signature"))
-    led = (
-        of_gram.filter("class != leader").groupBy("class", "leader").agg(F.count("*").alias("grams"))
-        .groupBy("class").agg(F.max_by("leader", F.struct("grams", F.negate("leader"))).alias("leader"))
-        .select(F.col("class").alias("a"), F.col("leader").alias("b"))
+    return stored(found, "ngram-firsts", TEXTS)
+
+
+def _roots(spark: SparkSession, docs: DataFrame, classes: DataFrame, firsts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``class`` and ``known``, the component of each class that has a link."""
+    postings = firsts.select("class", "n", F.posexplode("firsts").alias("pos", "gram")).withColumn("n", F.col("n").cast("int"))
+    # One sort tells the leader, classes met in several tasks, and n-grams of one class alone.
+    of_gram = Window.partitionBy("gram").orderBy("pos", "class")
+    whole = of_gram.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    postings = stored(
+        postings.withColumns({
+            "before": F.lag("class").over(of_gram), "leader": F.first("class").over(whole), "last": F.last("class").over(whole),
+            "leader_pos": F.first("pos").over(whole), "leader_n": F.first("n").over(whole),
+        }).filter("leader != last and (before is null or before != class)").drop("before", "last"),
+        "ngram-postings",
     )
-    led = stored(_possible(led, size, percent), "ngram-led")
-    first_links = stored(_verified(led, _sets_of(spark, docs, members, led, width), percent), "ngram-led-links")
+    possible = (
+        f"100L * least(n, leader_n) >= {percent}L * greatest(n, leader_n) "
+        f"and {100 + percent}L * least(n - pos, leader_n - leader_pos) >= {percent}L * (n + leader_n)"
+    )
+    led = postings.filter("class != leader").filter(possible).select("class", "leader").repartition("class")
+    led = led.groupBy("class", "leader").agg(F.count("*").alias("grams"))
+    turn = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("grams"), "leader"))
+    led = stored(
+        led.withColumn("turn", turn).filter(F.col("turn") <= LEADERS).select(F.col("class").alias("a"), F.col("leader").alias("b")), "ngram-led"
+    )
+    links = stored(_verified(led, _sets_of(spark, docs, classes, led, width), percent), "ngram-led-links", TEXTS)
 
-    known = _known(first_links)
+    known = _known(links)
     labelled = stored(
-        of_gram.join(known, "class", "left").select("gram", "class", F.coalesce("known", "class").alias("label")), "ngram-labelled"
+        postings.join(known, "class", "left").select("gram", "class", "n", "pos", F.coalesce("known", "class").alias("label")), "ngram-labelled"
     )
-    # N-grams of the same classes give the same pairs: of a passage that many texts share, one n-gram will do.
-    marks = [F.sum(F.xxhash64(F.col("class"), F.lit(seed)).cast("decimal(20,0)")).alias(f"mark{seed}") for seed in (0, 1)]
-    open_grams = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"), *marks)
-    open_grams = open_grams.filter("lo != hi").groupBy("c", "mark0", "mark1").agg(F.min("gram").alias("gram")).select("gram")
-    pairs = stored(_tree_pairs(labelled.join(open_grams, "gram"), size, percent).distinct(), "ngram-pairs")
+    pairs = stored(_tree_pairs(labelled, firsts, percent).distinct(), "ngram-pairs", GRAMS)
 
     # Round by round, more pairs of each class are compared, and only while they are in two components.
-    found, links, most = _sets_of(spark, docs, members, pairs, width), first_links, 1
+    found, most = _sets_of(spark, docs, classes, pairs, width), ROUND
     while True:
-        for side in "ab":
-            pairs = pairs.join(known.select(F.col("class").alias(side), F.col("known").alias(f"known_{side}")), side, "left")
-        labels = [F.coalesce(f"known_{side}", side).alias(f"label_{side}") for side in "ab"]
-        open_ = pairs.select("a", "b", *labels).filter("label_a != label_b")
         turn = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b")))
-        open_ = stored(open_.select("a", "b", turn.alias("turn")), "ngram-open")
+        open_ = stored(pairs.select("a", "b", turn.alias("turn")), "ngram-open")
         tried = open_.filter(F.col("turn") <= most).select("a", "b")
         if tried.isEmpty():
-            return links.distinct()
-        links = stored(links.unionByName(_verified(tried, found, percent)), "ngram-links")
-        known = _known(links)
-        pairs, most = open_.filter(F.col("turn") > most).select("a", "b"), 4 * most
+            return known
+        fresh = stored(_verified(tried, found, percent), "ngram-links", TEXTS)
+        pairs, most = open_.filter(F.col("turn") > most).select("a", "b"), ROUND * most
+        if not fresh.isEmpty():
+            links = links.unionByName(fresh)
+            known = _known(links)
+            for side in "ab":
+                pairs = pairs.join(known.select(F.col("class").alias(side), F.col("known").alias(f"known_{side}")), side, "left")
+            pairs = pairs.filter("coalesce(known_a, a) != coalesce(known_b, b)")
 
 
 def _known(links: DataFrame) -> DataFrame:
@@ -270,57 +314,20 @@ def _known(links: DataFrame) -> DataFrame:
     return stored(components(links, "a", "b").select(F.col("node").alias("class"), F.col("root").alias("known")), "ngram-known")
 
 
-def _possible(pairs: DataFrame, size: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of classes that sizes and signatures don't rule out."""
-    for side in "ab":
-        pairs = pairs.join(size.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}")), side)
-    pairs = pairs.filter(F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k = batch.num_rows
-            n = np.r_[batch["n_a"].to_numpy(), batch["n_b"].to_numpy()]
-            bits = np.frombuffer(b"".join(batch["s_a"].to_pylist() + batch["s_b"].to_pylist()), np.uint64).reshape(-1, SIGNATURE_WORDS)
-            keep = _may_link(n, np.arange(2 * k), bits, np.arange(k), np.arange(k, 2 * k), percent)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return pairs.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(scan, "a long, b long")
-
-
-def _within(firsts: DataFrame, bits: Bits) -> DataFrame:
-    """``class`` and ``gram`` of the first n-grams that may be in ``bits``."""
-    sent = firsts.sparkSession.sparkContext.broadcast((bits.words, bits.log2))
-
-    def scan(batches):
-        table = Bits(*sent.value)
-        for batch in batches:
-            lists = batch["firsts"]
-            grams = lists.flatten().to_numpy()
-            owner = np.repeat(batch["class"].to_numpy(), lists.value_lengths().to_numpy())
-            hit = table.has(grams.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(owner[hit]), pa.array(grams[hit])], ["class", "gram"])
-
-    return firsts.select("class", "firsts").mapInArrow(scan, "class long, gram long")
-
-
-def _sets_of(spark: SparkSession, docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """Set and bitmap of each class in ``pairs``, from one of its rows, one with an id if there is any."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    row = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.col("row"))), F.min("row"))
-    chosen = stored(
-        members.filter("class is not null").join(wanted, "class", "left_semi").groupBy("class").agg(row.alias("row")), "ngram-chosen"
-    )
-    bits = Bits.of(chosen, "row", 24)
+def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """Set and bitmap of each class in ``pairs``, from its row in ``classes``."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+    bits = Bits.of(classes.join(wanted, "class", "left_semi"), "row", 24)
     sent = spark.sparkContext.broadcast((bits.words, bits.log2))
 
-    kinds = {"class": pa.int64(), "task": pa.int32(), "n": pa.int64(), "bits": pa.binary(), "grams": pa.binary()}
+    kinds = {"class": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "grams": pa.binary()}
 
     def handed_on(rows):
         columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], [*kinds])
 
     def sets(batches):
-        table, seen, task = Bits(*sent.value), set(), TaskContext.get().partitionId()
+        table, seen = Bits(*sent.value), set()
         for batch in batches:
             batch = batch.filter(pa.array(table.has(batch["row"].to_numpy().view(np.uint64))))
             rows, held = [], 0
@@ -329,21 +336,22 @@ def _sets_of(spark: SparkSession, docs: DataFrame, members: DataFrame, pairs: Da
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(k)
-                    rows.append((k, task, len(grams), _bitmap(grams), grams.tobytes()))
+                    rows.append((k, len(grams), _bitmap(grams), grams.tobytes()))
                     held += grams.nbytes
                     if held >= SET_BYTES:
                         yield handed_on(rows)
                         rows, held = [], 0
             yield handed_on(rows)
 
-    # A row that only the bit table lets in, or a class met twice, adds nothing false. Copies without
-    # an id can't be told apart, so many tasks may hold a class; the first one's sets are taken.
-    return stored(docs.select("row", "text").mapInArrow(sets, "class long, task int, n long, bits binary, grams binary"), "ngram-texts")
+    # A row that only the bit table lets in adds nothing false. Copies without an id can't be told apart, so many tasks may
+    # hold a class; one of them is taken.
+    found = docs.select("row", "text").mapInArrow(sets, "class long, n long, bits binary, grams binary")
+    return stored(found.dropDuplicates(["class"]), "ngram-texts", TEXTS)
 
 
 def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` of classes whose sets link."""
-    pairs = stored(_near_by_bitmaps(pairs, found, percent), "ngram-near")
+    pairs = stored(_near_by_bitmaps(pairs, found, percent), "ngram-near", TEXTS)
 
     def linked(batches):
         for batch in batches:
@@ -359,12 +367,9 @@ def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_sets(pairs: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
-    """``pairs`` with ``columns`` of both classes, each from the first task that holds the class."""
-    first = found.groupBy("class").agg(F.min("task").alias("task"))
+    """``pairs`` with ``columns`` of both classes."""
     for side in "ab":
-        pairs = pairs.join(first.select(F.col("class").alias(side), F.col("task").alias(f"task_{side}")), side)
-        of_side = found.select(F.col("class").alias(side), F.col("task").alias(f"task_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns])
-        pairs = pairs.join(of_side, [side, f"task_{side}"])
+        pairs = pairs.join(found.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
     return pairs
 
 
@@ -380,7 +385,7 @@ def _near_by_bitmaps(pairs: DataFrame, found: DataFrame, percent: int) -> DataFr
             keep = [(100 + percent) * _most_common(*row) >= percent * (row[0] + row[1]) for row in rows]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_sets(pairs, found, ["n", "bits"]).mapInArrow(scan, "a long, b long").distinct()
+    return _with_sets(pairs, found, ["n", "bits"]).mapInArrow(scan, "a long, b long")
 
 
 def _most_common(n_a: int, n_b: int, bits_a: bytes, bits_b: bytes) -> int:
@@ -393,8 +398,17 @@ def _most_common(n_a: int, n_b: int, bits_a: bytes, bits_b: bytes) -> int:
     return min(n_a - only_a, n_b - only_b)
 
 
-def _tree_pairs(labelled: DataFrame, size: DataFrame, percent: int) -> DataFrame:
+def _tree_pairs(labelled: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different labels that share an n-gram and may link, by signature trees."""
+    # N-grams of the same classes give the same pairs: of a passage that many texts share, one n-gram will do, the one
+    # that comes first in all of them, as it rules out the fewest pairs.
+    marks = [F.sum(F.xxhash64(F.col("class"), F.lit(seed)).cast("decimal(20,0)")).alias(f"mark{seed}") for seed in (0, 1)]
+    open_grams = labelled.groupBy("gram").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"), F.sum("pos").alias("places"), *marks
+    ).filter("lo != hi")
+    open_grams = open_grams.groupBy("c", "mark0", "mark1").agg(F.min_by("gram", "places").alias("gram")).select("gram")
+    labelled = labelled.join(open_grams, "gram")
+
     by_label = labelled.groupBy("gram", "label").agg(F.count("*").alias("c"))
     big = F.col("c") >= BLOCK
     cuts = by_label.groupBy("gram").agg(
@@ -412,12 +426,15 @@ def _tree_pairs(labelled: DataFrame, size: DataFrame, percent: int) -> DataFrame
         "flatten(transform(filter(large, x -> x.label != label), x -> transform(sequence(0, x.blocks - 1), i -> concat(x.label, '/', i)))))"
     )
     placed = labelled.join(cuts, "gram").withColumns({"own": name, "other": others})
-    tasks = placed.select(
-        "gram", "class", "label",
-        F.explode(F.transform("other", lambda o: F.concat_ws("|", F.least("own", o), F.greatest("own", o)))).alias("pair"),
-    ).distinct()
-    rows = tasks.join(size, "class").select("gram", F.xxhash64("gram", "pair").alias("task"), "class", "label", "n", "signature")
-    rows = rows.repartition("task").sortWithinPartitions("task")
+    # Side 2: a block with itself. Of two blocks, only pairs across them are wanted.
+    task = lambda o: F.struct(
+        F.xxhash64("gram", F.least("own", o), F.greatest("own", o)).alias("task"),
+        F.when(F.col("own") == o, 2).when(F.col("own") < o, 0).otherwise(1).alias("side"),
+    )
+    tasks = placed.select("class", "label", "n", "pos", F.explode(F.transform("other", task)).alias("x"))
+    signatures = firsts.groupBy("class").agg(F.min("signature").alias("signature"))
+    rows = tasks.select("x.task", "x.side", "class", "label", "n", "pos").join(signatures, "class")
+    rows = rows.select("task", "side", "class", "label", "n", "pos", "signature").repartition("task").sortWithinPartitions("task")
 
     def walk(batches):
         rest = None
@@ -430,46 +447,47 @@ def _tree_pairs(labelled: DataFrame, size: DataFrame, percent: int) -> DataFrame
             last = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
             rest = table.slice(last)
             if last:
-                yield _pairs_of(table.slice(0, last), percent)
+                yield from _pairs_of(table.slice(0, last), percent)
         if rest is not None and rest.num_rows:
-            yield _pairs_of(rest, percent)
+            yield from _pairs_of(rest, percent)
 
     return rows.mapInArrow(walk, "a long, b long")
 
 
-def _pairs_of(table: pa.Table, percent: int) -> pa.RecordBatch:
+def _pairs_of(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     keys, label, n, names = (table[c].to_numpy() for c in ("task", "label", "n", "class"))
+    n, left, side = n.astype(np.int64), (n - table["pos"].to_numpy()).astype(np.int64), table["side"].to_numpy()
     raw = b"".join(table["signature"].to_pylist())
     bits = np.frombuffer(raw, np.uint64).reshape(-1, SIGNATURE_WORDS)
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sizes = np.diff(np.r_[starts, len(keys)])
-    found = []
+
+    def kept(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        keep = _may_link(n, left, label, side, bits, i, j, percent)
+        lo, hi = np.minimum(names[i[keep]], names[j[keep]]), np.maximum(names[i[keep]], names[j[keep]])
+        return pa.RecordBatch.from_arrays([pa.array(hi), pa.array(lo)], ["a", "b"])
+
     for g in np.unique(sizes[(sizes > 1) & (sizes <= LEAF)]):
         i, j = np.triu_indices(g, 1)
         at = starts[sizes == g][:, None]
-        found.append(((at + i).ravel(), (at + j).ravel()))
+        yield kept((at + i).ravel(), (at + j).ravel())
     for s, g in zip(starts[sizes > LEAF], sizes[sizes > LEAF], strict=True):
         order = s + np.argsort(n[s : s + g], kind="stable")
         tree = SignatureTree(n[order], label[order], bits[order], percent)
-        i, j = tree.pairs()
-        found.append((order[i], order[j]))
-    i = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.int64)
-    j = np.concatenate([x for _, x in found]) if found else np.empty(0, np.int64)
-    keep = _may_link(n, label, bits, i, j, percent)
-    i, j = i[keep], j[keep]
-    lo, hi = np.minimum(names[i], names[j]), np.maximum(names[i], names[j])
-    return pa.RecordBatch.from_arrays([pa.array(hi), pa.array(lo)], ["a", "b"])
-
-
-def _may_link(n, label, bits, i, j, percent: int) -> np.ndarray:
-    """Pairs of different labels whose greatest possible overlap is enough."""
-    out = np.zeros(len(i), bool)
-    for at in range(0, len(i), 1 << 16):
-        x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        for i, j in tree.pairs():
+            yield kept(order[i], order[j])
+
+
+def _may_link(n, left, label, side, bits, i, j, percent: int) -> np.ndarray:
+    """Pairs of different labels whose greatest possible overlap is enough; ``left``: what a set has from the n-gram on."""
+    least = percent * (n[i] + n[j])
+    out = (label[i] != label[j]) & ((side[i] == 2) | (side[i] != side[j])) & ((100 + percent) * np.minimum(left[i], left[j]) >= least)
+    at = np.flatnonzero(out)
+    for at in np.split(at, np.arange(1 << 14, len(at), 1 << 14)):
+        x, y = i[at], j[at]
         only_x = np.bitwise_count(bits[x] & ~bits[y]).sum(1, dtype=np.int64)
         only_y = np.bitwise_count(bits[y] & ~bits[x]).sum(1, dtype=np.int64)
-        most = np.minimum(n[x] - only_x, n[y] - only_y)
-        out[at : at + (1 << 16)] = (label[x] != label[y]) & ((100 + percent) * most >= percent * (n[x] + n[y]))
+        out[at] = (100 + percent) * np.minimum(n[x] - only_x, n[y] - only_y) >= least[at]
     return out
 
 
@@ -493,8 +511,8 @@ class SignatureTree:
             level = {k: fold[k].reduceat(v, cut, axis=0) for k, v in level.items()}
             self.levels.append(level)
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Row pairs of the leaf pairs that a traversal from the root pair can't rule out."""
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Row pairs of the leaf pairs that a traversal from the root pair can't rule out, some leaf pairs at a time."""
         i = j = np.zeros(1, np.int64)
         for depth in range(len(self.levels) - 1, -1, -1):
             level = self.levels[depth]
@@ -506,9 +524,10 @@ class SignatureTree:
                 inside = (i <= j) & (j < width)
                 i, j = i[inside], j[inside]
         a, b = np.repeat(np.arange(LEAF), LEAF), np.tile(np.arange(LEAF), LEAF)
-        i, j = (LEAF * i[:, None] + a).ravel(), (LEAF * j[:, None] + b).ravel()
-        inside = (i < j) & (j < len(self.n))
-        return i[inside], j[inside]
+        for at in range(0, len(i), LEAF_PAIRS):
+            x, y = (LEAF * i[at : at + LEAF_PAIRS, None] + a).ravel(), (LEAF * j[at : at + LEAF_PAIRS, None] + b).ravel()
+            inside = (x < y) & (y < len(self.n))
+            yield x[inside], y[inside]
 
     def _open(self, level, i, j) -> np.ndarray:
         one = (level["first"][i] == level["last"][i]) & (level["first"][j] == level["last"][j]) & (level["first"][i] == level["first"][j])
@@ -519,13 +538,8 @@ class SignatureTree:
         return ~one & sizes & ((100 + self.percent) * most >= self.percent * (level["lo"][i] + level["lo"][j]))
 
 
-def _membership(members: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links, "a", "b")
-    named = members.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"))
-    named = (
-        named.join(roots, F.col("class") == F.col("node"), "left").drop("node")
-        .withColumn("root", F.coalesce("root", "class"))
-    )
+def _membership(members: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+    named = classes.join(known, "class", "left").select("class", "least_id", F.coalesce("known", "class").alias("root"))
     named = stored(named, "ngram-roots")
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(ids, "root").select("class", "root", "component_id")
