@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidelane.llm.common import Bits, mixed, signed, stored, text_blocks, word_hashes
@@ -45,7 +46,7 @@ LEADERS, ROUND = 4, 32
 #: Bytes of text whose words are hashed at once, and bytes of sets that a task holds before it hands them on.
 TEXT_BYTES, SET_BYTES = 1 << 18, 1 << 22
 #: Rows that Python gets at a time: of texts and of sets, and of n-grams. Pairs that a traversal holds at once.
-TEXTS, GRAMS, LEAF_PAIRS = 512, 8192, 1 << 12
+TEXTS, GRAMS, LEAF_PAIRS = 256, 8192, 1 << 12
 _STEP = 0xD6E8FEB86659FD93
 
 
@@ -283,7 +284,7 @@ def _roots(spark: SparkSession, docs: DataFrame, classes: DataFrame, firsts: Dat
     led = stored(
         led.withColumn("turn", turn).filter(F.col("turn") <= LEADERS).select(F.col("class").alias("a"), F.col("leader").alias("b")), "ngram-led"
     )
-    links = stored(_verified(led, _sets_of(spark, docs, classes, led, width), percent), "ngram-led-links", TEXTS)
+    links = stored(_verified(led, *_sets_of(spark, docs, classes, led, width), percent), "ngram-led-links", TEXTS)
 
     known = _known(links)
     labelled = stored(
@@ -299,7 +300,7 @@ def _roots(spark: SparkSession, docs: DataFrame, classes: DataFrame, firsts: Dat
         tried = open_.filter(F.col("turn") <= most).select("a", "b")
         if tried.isEmpty():
             return known
-        fresh = stored(_verified(tried, found, percent), "ngram-links", TEXTS)
+        fresh = stored(_verified(tried, *found, percent), "ngram-links", TEXTS)
         pairs, most = open_.filter(F.col("turn") > most).select("a", "b"), ROUND * most
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
@@ -314,20 +315,20 @@ def _known(links: DataFrame) -> DataFrame:
     return stored(components(links, "a", "b").select(F.col("node").alias("class"), F.col("root").alias("known")), "ngram-known")
 
 
-def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """Set and bitmap of each class in ``pairs``, from its row in ``classes``."""
+def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Of each class in ``pairs``, from its row in ``classes``: bitmap, size and the task that holds its set; the sets by task."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class"))
     bits = Bits.of(classes.join(wanted, "class", "left_semi"), "row", 24)
     sent = spark.sparkContext.broadcast((bits.words, bits.log2))
 
-    kinds = {"class": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "grams": pa.binary()}
+    kinds = {"class": pa.int64(), "task": pa.int32(), "n": pa.int64(), "bits": pa.binary(), "grams": pa.binary()}
 
     def handed_on(rows):
         columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], [*kinds])
 
     def sets(batches):
-        table, seen = Bits(*sent.value), set()
+        table, seen, task = Bits(*sent.value), set(), TaskContext.get().partitionId()
         for batch in batches:
             batch = batch.filter(pa.array(table.has(batch["row"].to_numpy().view(np.uint64))))
             rows, held = [], 0
@@ -336,7 +337,7 @@ def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(k)
-                    rows.append((k, len(grams), _bitmap(grams), grams.tobytes()))
+                    rows.append((k, task, len(grams), _bitmap(grams), grams.tobytes()))
                     held += grams.nbytes
                     if held >= SET_BYTES:
                         yield handed_on(rows)
@@ -344,14 +345,19 @@ def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
             yield handed_on(rows)
 
     # A row that only the bit table lets in adds nothing false. Copies without an id can't be told apart, so many tasks may
-    # hold a class; one of them is taken.
-    found = docs.select("row", "text").mapInArrow(sets, "class long, n long, bits binary, grams binary")
-    return stored(found.dropDuplicates(["class"]), "ngram-texts", TEXTS)
+    # hold a class; the first one's set is taken.
+    found = docs.select("row", "text").mapInArrow(sets, "class long, task int, n long, bits binary, grams binary")
+    found = stored(found, "ngram-texts", TEXTS)
+    bitmaps = found.groupBy("class").agg(F.min("task").alias("task"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    return stored(bitmaps, "ngram-bitmaps"), found.select("class", "task", "grams")
 
 
-def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, bitmaps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` of classes whose sets link."""
-    pairs = stored(_near_by_bitmaps(pairs, found, percent), "ngram-near", TEXTS)
+    pairs = stored(_near_by_bitmaps(pairs, bitmaps, percent), "ngram-near", TEXTS)
+    sets = _holding(sets, pairs)
+    for side in "ab":
+        pairs = pairs.join(sets.select(*[F.col(c).alias(f"{c}_{side}".removeprefix("class_")) for c in sets.columns]), [side, f"task_{side}"])
 
     def linked(batches):
         for batch in batches:
@@ -363,18 +369,24 @@ def _verified(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(both) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_sets(pairs, found, ["grams"]).mapInArrow(linked, "a long, b long")
+    return pairs.select("a", "b", "grams_a", "grams_b").mapInArrow(linked, "a long, b long")
 
 
-def _with_sets(pairs: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
-    """``pairs`` with ``columns`` of both classes."""
-    for side in "ab":
-        pairs = pairs.join(found.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-    return pairs
+def _holding(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``sets`` for classes in ``pairs``, and few others: sets of other classes are not shuffled."""
+    bits = Bits.of(pairs.select(F.explode(F.array("a", "b")).alias("class")), "class", 24)
+    sent = sets.sparkSession.sparkContext.broadcast((bits.words, bits.log2))
+
+    def scan(batches):
+        table = Bits(*sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array(table.has(batch["class"].to_numpy().view(np.uint64))))
+
+    return sets.mapInArrow(scan, sets.schema)
 
 
-def _near_by_bitmaps(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The pairs that bitmaps as wide as the sets are large don't rule out.
+def _near_by_bitmaps(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs, with the tasks that hold their sets, that bitmaps as wide as the sets are large don't rule out.
 
     Signatures of one width say little of long texts; these hold a sixteenth of the sets or less.
     """
@@ -383,9 +395,11 @@ def _near_by_bitmaps(pairs: DataFrame, found: DataFrame, percent: int) -> DataFr
         for batch in batches:
             rows = zip(*(batch[c].to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")), strict=True)
             keep = [(100 + percent) * _most_common(*row) >= percent * (row[0] + row[1]) for row in rows]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["a", "b", "task_a", "task_b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_sets(pairs, found, ["n", "bits"]).mapInArrow(scan, "a long, b long")
+    for side in "ab":
+        pairs = pairs.join(bitmaps.select(*[F.col(c).alias(f"{c}_{side}".removeprefix("class_")) for c in bitmaps.columns]), side)
+    return pairs.mapInArrow(scan, "a long, b long, task_a int, task_b int")
 
 
 def _most_common(n_a: int, n_b: int, bits_a: bytes, bits_b: bytes) -> int:
