@@ -66,9 +66,11 @@ def above_marks(processed: DataFrame, names: list[str] = FEEDING) -> dict[str, C
     return {name: above(name) for name in names}
 
 
-def fact_with_changes(tables: Tables, processed: DataFrame, mdm_cryr: DataFrame | None = None) -> DataFrame:
+def fact_with_changes(
+    tables: Tables, processed: DataFrame, mdm_cryr: DataFrame | None = None, folded: bool = False
+) -> DataFrame:
     """The whole fact, each row telling whether its deal has ``changed`` since the marks; one pass over each table."""
-    return flagged_fact(tables, above_marks(processed), mdm_cryr)
+    return flagged_fact(tables, above_marks(processed), mdm_cryr, folded)
 
 
 def next_marks(lag: DataFrame) -> DataFrame:

@@ -48,6 +48,7 @@ def trade_fact(
     topics: DataFrame | None = None,
     deals: DataFrame | None = None,
     null_keys: bool = False,
+    folded: bool = False,
 ) -> DataFrame:
     """``stats_raw`` with its carriers folded into two counts per row.
 
@@ -60,7 +61,13 @@ def trade_fact(
     ``deals`` only the deal versions it lists; both cut the inputs before the
     joins.  A missing port or week matches no topic, unless ``null_keys`` lets
     it match a missing one.
+
+    ``folded`` leaves a row per deal version, with its ``routes`` and its
+    ``lines`` as arrays (see ``unfolded``), for jobs that move deals before
+    they need each route and week apart.
     """
+    if folded and topics is not None:
+        raise ValueError("a folded fact takes deals, not topics")
     if deals is not None:
         tables = of_deals(tables, deals)
     headers = deal_headers(tables["FTR_DEAL"])
@@ -68,7 +75,9 @@ def trade_fact(
     lines = deal_lines(tables["FTR_DEAL_LINE_ITEM"])
     if deals is not None:
         headers = headers.join(deals, DEAL, "left_semi")
-    if topics is None:
+    if folded:
+        fact = _folded(headers, route_lists(tables["FTR_DEAL_RTE"], DEAL, "OFFER_REG_SEQ"), lines)
+    elif topics is None:
         fact = headers.join(routes, DEAL, "left").join(lines, DEAL, "left")
     else:
         ends = topics.select(*ROUTE).distinct()
@@ -87,7 +96,9 @@ def trade_fact(
     )
 
 
-def flagged_fact(tables: Tables, fresh: Mapping[str, Column], mdm_cryr: DataFrame | None = None) -> DataFrame:
+def flagged_fact(
+    tables: Tables, fresh: Mapping[str, Column], mdm_cryr: DataFrame | None = None, folded: bool = False
+) -> DataFrame:
     """``trade_fact`` with ``changed``: whether any table has a row of the deal version that is new.
 
     ``fresh`` tells new rows by a condition per table. The flags ride along the joins, each table
@@ -100,13 +111,14 @@ def flagged_fact(tables: Tables, fresh: Mapping[str, Column], mdm_cryr: DataFram
     routes = tables["FTR_DEAL_RTE"].withColumn("routeNew", new["FTR_DEAL_RTE"])
     carriers = {**tables, "FTR_DEAL_CRYR": tables["FTR_DEAL_CRYR"].withColumn("carrierNew", new["FTR_DEAL_CRYR"])}
     # A version's header rows, too, are flagged by each other.
-    flagged = (
-        deal_headers(headers, "headerNew")
-        .withColumn("headerNew", F.max("headerNew").over(of_deal))
-        .join(route_pairs(routes, DEAL, "OFFER_REG_SEQ", flag="routeNew"), DEAL, "left")
-        .join(deal_lines(lines, "lineNew").withColumn("lineNew", F.max("lineNew").over(of_deal)), DEAL, "left")
-        .join(_carrier_counts(carriers, mdm_cryr, "carrierNew"), DEAL, "left")
-    )
+    own = deal_headers(headers, "headerNew").withColumn("headerNew", F.max("headerNew").over(of_deal))
+    if folded:
+        located = route_lists(routes, DEAL, "OFFER_REG_SEQ", flag="routeNew")
+        joined = _folded(own, located, deal_lines(lines, "lineNew"), "lineNew")
+    else:
+        located = own.join(route_pairs(routes, DEAL, "OFFER_REG_SEQ", flag="routeNew"), DEAL, "left")
+        joined = located.join(deal_lines(lines, "lineNew").withColumn("lineNew", F.max("lineNew").over(of_deal)), DEAL, "left")
+    flagged = joined.join(_carrier_counts(carriers, mdm_cryr, "carrierNew"), DEAL, "left")
     flags = ["headerNew", "routeNew", "lineNew", "carrierNew"]
     changed = F.greatest(*[F.coalesce(flag, F.lit(False)) for flag in flags])
     return flagged.withColumns(
@@ -118,6 +130,24 @@ def flagged_fact(tables: Tables, fresh: Mapping[str, Column], mdm_cryr: DataFram
     ).drop(*flags)
 
 
+def _folded(headers: DataFrame, routes: DataFrame, lines: DataFrame, *flags: str) -> DataFrame:
+    """Deal versions with ``routes`` and ``lines`` as arrays; one without any has an entry of nulls there."""
+    line = F.struct("baseYearWeek", "dealAmt", "dealPrice", "dealQty")
+    listed = lines.groupBy(*DEAL).agg(F.collect_list(line).alias("lines"), *[F.max(flag).alias(flag) for flag in flags])
+    fact = headers.join(routes, DEAL, "left").join(listed, DEAL, "left")
+    for name in ("routes", "lines"):
+        kind = fact.schema[name].dataType
+        none = F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind.elementType.fields]))
+        fact = fact.withColumn(name, F.coalesce(name, none))
+    return fact
+
+
+def unfolded(folded: DataFrame) -> DataFrame:
+    """A folded fact with a row per route and week line, as ``trade_fact`` has them."""
+    rows = folded.withColumn("route", F.explode("routes")).withColumn("line", F.explode("lines"))
+    return rows.select("*", "route.*", "line.*").drop("routes", "lines", "route", "line")
+
+
 def of_deals(tables: Tables, deals: DataFrame) -> dict[str, DataFrame]:
     """The deal tables without most rows of other deal versions than ``deals``.
 
@@ -216,19 +246,9 @@ def route_pairs(
     without one gives no row.  ``flag`` names a condition; each row then tells
     whether any row of its version meets it.
     """
-    # Inside a struct a null code still counts as a row of its type.
-    entry = F.struct(
-        F.col(registration).alias("registration"),
-        F.col("TRDE_LOC_TP_CD").alias("type"),
-        F.struct(F.col("TRDE_LOC_CD").alias("code")).alias("place"),
-    )
     unfold = F.explode if loaded_only else F.explode_outer
     kept = [flag] if flag else []
-    # Grouped by version alone, the rows stay in place for the join on the version that follows.
-    versions = routes.groupBy(*version).agg(
-        F.collect_list(entry).alias("entries"), *[F.max(name).alias(name) for name in kept]
-    )
-    registrations = F.array_distinct(F.transform("entries", lambda e: F.struct(e.registration.alias("of"))))
+    versions, registrations = _registered(routes, version, registration, kept)
 
     def places(kind: str, listed: Column) -> Column:
         def belongs(e: Column) -> Column:
@@ -251,6 +271,42 @@ def route_pairs(
     )
 
 
+def _registered(routes: DataFrame, version: list[str], registration: str, kept: list[str]) -> tuple[DataFrame, Column]:
+    """Location rows of each version as ``entries``, and its distinct registrations."""
+    # Inside a struct a null code still counts as a row of its type.
+    entry = F.struct(
+        F.col(registration).alias("registration"),
+        F.col("TRDE_LOC_TP_CD").alias("type"),
+        F.struct(F.col("TRDE_LOC_CD").alias("code")).alias("place"),
+    )
+    # Grouped by version alone, the rows stay in place for the join on the version that follows.
+    versions = routes.groupBy(*version).agg(
+        F.collect_list(entry).alias("entries"), *[F.max(name).alias(name) for name in kept]
+    )
+    return versions, F.array_distinct(F.transform("entries", lambda e: F.struct(e.registration.alias("of"))))
+
+
+def route_lists(routes: DataFrame, version: list[str], registration: str, flag: str | None = None) -> DataFrame:
+    """``route_pairs`` with a row per version, its pairs as the array ``routes``."""
+    kept = [flag] if flag else []
+    versions, registrations = _registered(routes, version, registration, kept)
+
+    def codes(kind: str, registered: Column) -> Column:
+        def belongs(e: Column) -> Column:
+            return e.registration.eqNullSafe(registered["of"]) & (e.type == kind) & registered["of"].isNotNull()
+
+        found = F.transform(F.filter("entries", belongs), lambda e: e["place"]["code"])
+        return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(None).cast("string")))
+
+    def pairs(registered: Column) -> Column:
+        def with_pods(pol: Column) -> Column:
+            return F.transform(codes(DISCHARGE, registered), lambda pod: F.struct(pol.alias("polCode"), pod.alias("podCode")))
+
+        return F.flatten(F.transform(codes(LOADING, registered), with_pods))
+
+    return versions.select(*version, *kept, F.flatten(F.transform(registrations, pairs)).alias("routes"))
+
+
 def named_routes(pairs: DataFrame, ports: DataFrame) -> DataFrame:
     """Add port names to both ends of the routes."""
     for end in ("pol", "pod"):

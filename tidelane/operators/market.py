@@ -2,6 +2,8 @@
 
 Each job comes as flat rows (``*_rows``) and as nested documents.  The input is
 either ``fact.trade_fact`` (carriers folded into counts) or ``fact.stats_raw``.
+Histories and day states also take a folded fact, whose deals move before their
+routes and weeks unfold.
 """
 
 from __future__ import annotations
@@ -11,9 +13,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidelane.functions.calendar import chart_week, day_of
 from tidelane.functions.stamps import moment_time, stamp, stamp_moment, stamp_price
 from tidelane.functions.values import TOTAL, null_safe_join, ratio
-from tidelane.operators.blocks import look_back
+from tidelane.operators.blocks import PLACE, look_back
 from tidelane.operators.nest import PAGE_ROWS, nest
 
+DEAL_KEYS = ["DEAL_NR", "DEAL_CHNG_SEQ"]
 TERMS = ["marketTypeCode", "rdTermCode", "paymentTermCode", "polCode", "podCode"]
 ROUTE_KEYS = [
     "marketTypeCode", "rdTermCode", "containerTypeCode", "paymentTermCode", "polCode", "podCode",
@@ -85,7 +88,8 @@ def mw_hst_rows(
     A deal shows once per distinct carrier name.  The look-back runs before
     that repetition: within the copies of a deal the price does not change.
     However busy a route and week, one task sees no more of it than the deals
-    that share the first ``run_digits`` digits of their time.
+    that share the first ``run_digits`` digits of their time.  Of a folded fact
+    these are the deals of one port of loading, with all its routes and weeks.
 
     ``only_touched`` keeps the routes and weeks with a row that ``changed``:
     both the deals and the count of changes per week read one shuffle.
@@ -104,6 +108,8 @@ def mw_hst_rows(
 
 def _traced_deals(fact: DataFrame, dedup_carriers: bool, run_digits: int, only_touched: bool) -> DataFrame:
     """Deals with the price ``previous`` to theirs, the entries ``before`` and their own number of entries."""
+    if "lines" in fact.columns:
+        return _traced_placed(fact, dedup_carriers, run_digits, only_touched)
     flag = ["changed"] if only_touched else []
     deals = (
         weighted(fact, dedup_carriers)
@@ -146,6 +152,72 @@ def _traded() -> Column:
     return (F.col("dealQty") != 0) & (F.col("offerTypeCode") == "S")
 
 
+def _traced_placed(folded: DataFrame, dedup_carriers: bool, run_digits: int, only_touched: bool) -> DataFrame:
+    """``_traced_deals`` of a folded fact: a deal moves once, and unfolds where its runs lie."""
+    traded = F.filter("lines", lambda line: (line.dealQty != 0) & (F.col("offerTypeCode") == "S"))
+    deals = (
+        weighted(folded, dedup_carriers)
+        .select(
+            *DEAL_KEYS, "DEAL_DT", *TERMS[:3], "offerTypeCode", "carrierNames", *(["changed"] if only_touched else []),
+            # Distinct routes and lines of distinct deals are distinct rows.
+            F.array_distinct("routes").alias("routes"),
+            F.array_distinct(F.when(F.col("changed"), F.col("lines")).otherwise(traded) if only_touched else traded).alias("lines"),
+        )
+        .filter(F.size("lines") > 0)
+        .distinct()
+    )
+    placed = _placed(deals, run_digits)
+    weeks = None
+    if only_touched:
+        weeks = _unfolded(placed.filter("deal.changed")).select(*TOUCHED_WEEK).distinct()
+    rows = _unfolded(placed).filter(_traded()).select(
+        PLACE,
+        "podCode",
+        "baseYearWeek",
+        F.col("DEAL_DT").alias("timestamp"),
+        F.col("DEAL_NR").alias("referenceEventNumber"),
+        F.col("DEAL_CHNG_SEQ").alias("referenceEventChangeNumber"),
+        "dealQty",
+        "dealPrice",
+        "dealAmt",
+        "carrierNames",
+    )
+    return look_back(
+        rows,
+        keys=[*TERMS, "baseYearWeek"],
+        block=F.substring("timestamp", 1, run_digits),
+        order=["timestamp", "referenceEventNumber", "referenceEventChangeNumber", "dealPrice", "dealQty", "dealAmt"],
+        value="dealPrice",
+        weight="carrierNames",
+        default=F.lit(0),
+        kept=weeks,
+    )
+
+
+def _placed(deals: DataFrame, time_digits: int) -> DataFrame:
+    """Rows of a folded fact, one per port of loading with its ports of discharge as ``pods``, in ``deal``.
+
+    They lie by terms, port of loading and the first ``time_digits`` digits of the time: ``__place``.
+    """
+    pols = F.array_distinct(F.transform("routes", lambda route: F.struct(route.polCode.alias("code"))))
+    located = deals.withColumn("pol", F.explode(pols))
+    own = F.filter("routes", lambda route: route.polCode.eqNullSafe(F.col("pol.code")))
+    place = F.struct(*TERMS[:3], F.col("pol.code").alias("polCode"), F.substring("DEAL_DT", 1, time_digits).alias("block"))
+    kept = [name for name in deals.columns if name not in (*TERMS[:3], "routes")]
+    # As many parts as any shuffle has, however few bytes come: rows unfold to many times their size behind it.
+    parts = int(deals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    moved = located.select(place.alias(PLACE), *kept, F.transform(own, lambda route: route.podCode).alias("pods")).repartition(parts, PLACE)
+    # Its number keeps a deal whole: filters and columns stay behind the shuffle, which is then the same for all.
+    return moved.select(PLACE, F.struct(*kept, "pods", F.monotonically_increasing_id().alias("number")).alias("deal"))
+
+
+def _unfolded(placed: DataFrame) -> DataFrame:
+    """A row per route and week line of placed deals."""
+    lined = placed.select(PLACE, "deal.*", F.explode("deal.lines").alias("line")).drop("lines", "number")
+    routed = lined.withColumn("podCode", F.explode("pods")).drop("pods")
+    return routed.select("*", *[F.col(f"{PLACE}.{name}").alias(name) for name in TERMS[:4]], "line.*").drop("line")
+
+
 def mw_hst(
     fact: DataFrame, dedup_carriers: bool = False, page_rows: int = PAGE_ROWS, only_touched: bool = False
 ) -> DataFrame:

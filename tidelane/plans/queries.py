@@ -366,7 +366,7 @@ def mw_sum_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mw_hst_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = market.mw_hst(_flagged(spark, sf_dir), only_touched=True)
+    documents = market.mw_hst(_flagged(spark, sf_dir, folded=True), only_touched=True)
     return _cells(documents, [*market.WEEK_KEYS, "page"], "priceChange")
 
 
@@ -413,8 +413,8 @@ def sample_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- shared ------------------------------------------------------------------
 
 
-def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact.trade_fact(deal_tables(spark, sf_dir))
+def _fact(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
+    return fact.trade_fact(deal_tables(spark, sf_dir, shared=folded), folded=folded)
 
 
 def _last_tenth(quotes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -553,9 +553,9 @@ def _delta(spark: SparkSession, sf_dir: str) -> tuple[fact.Tables, dict[str, Dat
     return tables, changes.delta(tables, _processed(tables))
 
 
-def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = deal_tables(spark, sf_dir)
-    return changes.fact_with_changes(tables, _processed(tables))
+def _flagged(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
+    tables = deal_tables(spark, sf_dir, shared=folded)
+    return changes.fact_with_changes(tables, _processed(tables), folded=folded)
 
 
 def _delta_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
