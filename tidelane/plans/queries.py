@@ -132,7 +132,7 @@ def mw_sum_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mw_hst_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market.mw_hst_rows(_fact(spark, sf_dir)).select(
+    return market.mw_hst_rows(_fact(spark, sf_dir, folded=True)).select(
         *market.WEEK_KEYS, "idx", "timestamp", "referenceEventNumber",
         "referenceEventChangeNumber", amount("dealQty"), amount("dealPrice"), amount("dealAmt"),
         amount("priceChange"), rounded("priceRate"),
