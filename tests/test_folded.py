@@ -64,7 +64,7 @@ def test_histories_of_folded_facts(spark, tables):
     assert same(*touched)
 
 
-@pytest.mark.parametrize("name", ["mw_hst_incr", "mw_hst_flat"])
+@pytest.mark.parametrize("name", ["mw_hst_incr", "mw_hst_flat", "mw_hst_cells"])
 def test_deals_move_once_before_they_unfold(spark, name):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

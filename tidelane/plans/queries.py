@@ -140,7 +140,7 @@ def mw_hst_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mw_hst_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = market.mw_hst(_fact(spark, sf_dir))
+    documents = market.mw_hst(_fact(spark, sf_dir, folded=True))
     return _cells(documents, [*market.WEEK_KEYS, "page"], "timestamp")
 
 
