@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.frames import deal_tables, rows, table, time
 from tidelane.operators import changes, market
@@ -64,7 +65,15 @@ def test_histories_of_folded_facts(spark, tables):
     assert same(*touched)
 
 
-@pytest.mark.parametrize("name", ["mw_hst_incr", "mw_hst_flat", "mw_hst_cells"])
+def test_day_states_of_folded_facts(spark, tables):
+    days = market.placed_days(flagged(spark, tables, True))
+    wanted = market.day_states(trade_fact(tables))
+    assert same(market.day_states(days), wanted)
+    parts = [market.day_states(days.filter(condition)) for condition in (F.col("deal.changed"), ~F.col("deal.changed"))]
+    assert same(market.merged_states(parts[0].unionByName(parts[1])), wanted)
+
+
+@pytest.mark.parametrize("name", ["mw_hst_incr", "mw_hst_flat", "mw_hst_cells", "mw_wkdetail_merged"])
 def test_deals_move_once_before_they_unfold(spark, name):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

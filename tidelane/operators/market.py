@@ -36,9 +36,11 @@ DETAIL_CELL = [
     "changeRate",
 ]
 
-# Digits of a 20-digit time down to the minute.
+# Digits of a 20-digit time down to the minute, and to the day.
 RUN_DIGITS = 12
+DAY_DIGITS = 8
 TOUCHED_WEEK = ["polCode", "podCode", "baseYearWeek"]
+STATE = ["first", "last", "high", "low", "volume", "repeats"]
 
 # The one container type and quantity unit of the market watch,
 # and the two states of a week.
@@ -268,8 +270,13 @@ def day_states(fact: DataFrame, dedup_carriers: bool = False, flagged: bool = Fa
     """State of each route, week and day: first and last deal, high, low, volume and repeats.
 
     States of disjoint sets of rows merge (``merged_states``), so they can be
-    stored and deals that come late be added without the others.
+    stored and deals that come late be added without the others.  Deals of
+    ``placed_days`` lie by day, and their states are made there.
     """
+    if PLACE in fact.columns:
+        states = _unfolded(fact).groupBy(PLACE, "podCode", "baseYearWeek").agg(*_first_and_last(), *_spread())
+        terms = [F.col(f"{PLACE}.{name}") for name in TERMS[:4]]
+        return states.select(*terms, "podCode", "baseYearWeek", F.col(f"{PLACE}.block").alias("day"), *STATE)
     # A row without a price opens no day, but its change counts.
     traded = F.col("dealPrice") != 0
     day = F.substring("DEAL_DT", 1, 8)
@@ -287,6 +294,17 @@ def day_states(fact: DataFrame, dedup_carriers: bool = False, flagged: bool = Fa
     return rows.groupBy(*TERMS, "baseYearWeek", day.alias("day")).agg(*aggregates)
 
 
+def placed_days(folded: DataFrame, dedup_carriers: bool = False) -> DataFrame:
+    """Deals of a folded fact for ``day_states``: with a price, placed by terms, port of loading and day.
+
+    A deal moves once, in ``deal``, however many routes and weeks it has. A task sees no more than the
+    deals of one port and day.
+    """
+    priced = F.filter("lines", lambda line: line.dealPrice != 0)
+    deals = weighted(folded, dedup_carriers).withColumn("lines", priced).filter(F.size("lines") > 0)
+    return _placed(deals.drop("carrierName", "carrierNames", "offerTypeCode"), DAY_DIGITS)
+
+
 def merged_states(states: DataFrame) -> DataFrame:
     """One state per route, week and day from several, of disjoint rows, in any order."""
     return states.groupBy(*TERMS, "baseYearWeek", "day").agg(

@@ -377,8 +377,9 @@ def mw_wkdetail_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mw_wkdetail_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail from the day states of unchanged deals and of changed ones, merged: equals a full build."""
-    flagged = _flagged(spark, sf_dir)
-    parts = [market.day_states(flagged.filter(condition)) for condition in (~F.col("changed"), F.col("changed"))]
+    days = market.placed_days(_flagged(spark, sf_dir, folded=True))
+    changed = F.col("deal.changed")
+    parts = [market.day_states(days.filter(condition)) for condition in (~changed, changed)]
     return _detail_output(market.wkdetail_of_states(market.merged_states(parts[0].unionByName(parts[1]))))
 
 
