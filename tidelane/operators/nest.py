@@ -59,22 +59,24 @@ def nest_ranked(
 def ranked(rows: DataFrame, keys: list[str], order: list[str], number: str) -> DataFrame:
     """Add ``rank``: the place of a row in its group, from 0, by ``order``, which starts with ``number``.
 
-    No task holds a whole group, and whole rows need not move: rows are numbered where the rows of an
-    offer lie, and only the counts of offers are shuffled.  The minute an offer was placed, read off
+    No task holds a whole group.  Rows are made once: they move to the place of their offer, where they
+    are counted and numbered, and only the counts of offers move further.  The minute an offer was placed, read off
     its number, cuts a group into runs; offers are counted within runs, the runs' sizes are added up
     within months and the months' within the group, so that a sum is over the offers of a minute, the
     minutes of a month or over months.
     """
-    # By number first: rows that lie by it stay, and so do the counts of their offers.
+    # Its place keeps a row whole: the columns that are counted stay behind the shuffle, which is then the same for all.
+    whole = F.struct(*rows.columns, F.monotonically_increasing_id().alias("__place")).alias("__row")
+    moved = rows.withColumn("__offer", F.struct(number)).repartition("__offer").select("__offer", whole).select("__offer", "__row.*").drop("__place")
+    # By offer first: rows stay there, and so do the counts of their offers.
     inside = Window.partitionBy("__run", *keys).orderBy(*order)
-    placed = rows.withColumn("__run", F.col(number)).withColumn("__nth", F.row_number().over(inside))
+    placed = moved.withColumnRenamed("__offer", "__run").withColumn("__nth", F.row_number().over(inside))
     minute, month = (F.coalesce(F.substring(number, 1, size), F.lit("")) for size in (13, 7))
-    # Counted without the other columns, which then need not be made for it.
-    counts = rows.groupBy(number, *keys).agg(F.count(F.lit(1)).alias("__size")).select(
+    counts = moved.groupBy("__offer", number, *keys).agg(F.count(F.lit(1)).alias("__size")).select(
         F.struct(*keys, F.lit(0).alias("all")).alias("__group"),
         month.alias("__month"),
         minute.alias("__minute"),
-        F.col(number).alias("__number"),
+        F.col("__offer").alias("__number"),
         "__size",
     )
     run = ["__group", "__month", "__minute"]
@@ -95,9 +97,8 @@ def ranked(rows: DataFrame, keys: list[str], order: list[str], number: str) -> D
         )
     )
     same = (F.col("__run") == F.col("__number")) & (F.struct(*keys, F.lit(0).alias("all")) == F.col("__group"))
-    # Rows without a number match no count: they come first in their group.
-    start = F.coalesce("__start", F.lit(0).cast("long"))
-    return placed.join(starts, same, "left").select(*rows.columns, (start + F.col("__nth") - 1).alias("rank"))
+    # Rows without a number are an offer of their own, the first of their group.
+    return placed.join(starts, same).select(*rows.columns, (F.col("__start") + F.col("__nth") - 1).alias("rank"))
 
 
 def _before(value: str, ordered: Window) -> Column:
